@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 from orderflow.operators import quality, reports
 from orderflow.operators.events import clean, decode, encode, rejects, with_date
 from orderflow.operators.increment import high_watermark, increment, with_position
-from orderflow.plans.views import ID_TYPE, event_orders, shop_orders
+from orderflow.plans.views import ID_TYPE, EventTable, event_orders, shop_orders
 from orderflow.schema import EPOCH
 from orderflow.session import scratch_dir
 from orderflow.sources.lake import append_by_date, data_files, read_lake
 from orderflow.sources.state import read_watermark
-from orderflow.sources.table import FrameTable
 from orderflow.sources.topic import DirectoryTopic
 from orderflow.streaming.ingest import clean_stream, start_append, start_unique
 from orderflow.streaming.poll import poll_once
@@ -63,11 +62,11 @@ def _event_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return increment(event_orders(spark, sf_dir), WAVE_CUT)
+    return increment(event_orders(spark, sf_dir, after=WAVE_CUT), WAVE_CUT)
 
 
 def incremental_scan_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return increment(event_orders(spark, sf_dir), EPOCH)
+    return increment(event_orders(spark, sf_dir, after=EPOCH), EPOCH)
 
 
 def incremental_scan_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,19 +89,16 @@ def increment_ordered_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def empty_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = event_orders(spark, sf_dir)
-    newest = FrameTable(orders).reach(EPOCH).hi
-    return high_watermark(orders, newest).select("n")
+    newest = EventTable(spark, sf_dir).reach(EPOCH).hi
+    return high_watermark(event_orders(spark, sf_dir, after=newest), newest).select("n")
 
 
 def watermark_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three polls while the table grows and one idle poll: what the state says, and how many
     rows reached the topic."""
-    orders = event_orders(spark, sf_dir)
     topic, state = DirectoryTopic(scratch_dir(spark, "topic")), scratch_dir(spark, "state")
-    for visible in ("2024-01-10 00:00:00", "2024-01-20 00:00:00", None, None):
-        table = FrameTable(increment(orders, hi=visible))
-        poll_once(spark, table, topic, state)
+    for grown_to in ("2024-01-10 00:00:00", "2024-01-20 00:00:00", None, None):
+        poll_once(spark, EventTable(spark, sf_dir, grown_to), topic, state)
     hi = F.lit(read_watermark(spark, state)).cast("timestamp_ntz")
     return topic.read(spark).agg(F.count(F.lit(1)).alias("n")).select(hi.alias("hi"), "n")
 
@@ -213,11 +209,10 @@ def lake_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lake_incremental_two_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Poll and stream, let the table grow, poll and stream again, and once more for nothing."""
-    orders = event_orders(spark, sf_dir)
     topic, state = DirectoryTopic(scratch_dir(spark, "topic")), scratch_dir(spark, "state")
     lake, checkpoint = scratch_dir(spark, "lake"), scratch_dir(spark, "checkpoint")
-    for visible in (WAVE_CUT, None, None):
-        poll_once(spark, FrameTable(increment(orders, hi=visible)), topic, state)
+    for grown_to in (WAVE_CUT, None, None):
+        poll_once(spark, EventTable(spark, sf_dir, grown_to), topic, state)
         _drain(start_append, topic, spark, lake, checkpoint)
     return _plain_time(_lake(spark, lake))
 
@@ -234,10 +229,10 @@ def stream_rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedup_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wave 1, wave 2, then wave 1 published once more: every order is stored once."""
-    orders = event_orders(spark, sf_dir)
     topic = DirectoryTopic(scratch_dir(spark, "topic"))
     lake, checkpoint = scratch_dir(spark, "lake"), scratch_dir(spark, "checkpoint")
-    first, second = increment(orders, hi=WAVE_CUT), increment(orders, WAVE_CUT)
+    first = increment(event_orders(spark, sf_dir, until=WAVE_CUT), hi=WAVE_CUT)
+    second = increment(event_orders(spark, sf_dir, after=WAVE_CUT), WAVE_CUT)
     for wave in (first, second, first):
         topic.publish(wave)
         _drain_unique(topic, spark, lake, checkpoint)

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from orderflow.operators.increment import increment
+from orderflow.sources.table import FrameTable, Reach
 
 # The given ids are 64-bit.
 ID_TYPE = "bigint"
@@ -44,17 +50,44 @@ SHOP_ORDERS = {
 }
 
 
-def _view(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
-    return spark.read.parquet(path).selectExpr(*[f"{e} AS {c}" for c, e in columns.items()])
+def _select(columns: dict[str, str]) -> list[str]:
+    return [f"{expression} AS {name}" for name, expression in columns.items()]
 
 
-def event_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(spark, f"{sf_dir}/events.parquet", EVENT_ORDERS)
+def event_orders(
+    spark: SparkSession, sf_dir: str, after: str | None = None, until: str | None = None
+) -> DataFrame:
+    """The order view of events; with bounds, a superset of the orders created within them.
+
+    created_at is ts or null, so its bounds hold for ts as well. A filter on created_at cannot
+    pass its CASE expression, one on ts reaches the Parquet scan.
+    """
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    if after is not None:
+        events = events.where(F.col("ts") > F.lit(after).cast("timestamp_ntz"))
+    if until is not None:
+        events = events.where(F.col("ts") <= F.lit(until).cast("timestamp_ntz"))
+    return events.selectExpr(*_select(EVENT_ORDERS))
 
 
 def shop_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(spark, f"{sf_dir}/orders.parquet", SHOP_ORDERS)
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(*_select(SHOP_ORDERS))
+
+
+class EventTable:
+    """The order view of events as a polled table, as far as it has grown at some moment."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, grown_to: str | None = None):
+        self._view = partial(event_orders, spark, sf_dir)
+        self.grown_to = grown_to
+
+    def reach(self, lo: str) -> Reach:
+        orders = increment(self._view(lo, self.grown_to), lo, self.grown_to)
+        return FrameTable(orders).reach(lo)
+
+    def slice(self, lo: str, reach: Reach) -> DataFrame:
+        return increment(self._view(lo, reach.hi), lo, reach.hi)
 
 
 def view_sql(table: str, columns: dict[str, str]) -> str:
-    return f"SELECT {', '.join(f'{e} AS {c}' for c, e in columns.items())} FROM {table}"
+    return f"SELECT {', '.join(_select(columns))} FROM {table}"

@@ -1,0 +1,132 @@
+import os
+import uuid
+from types import SimpleNamespace
+
+import pytest
+import yaml
+
+from orderflow.config import load_config
+from orderflow.jobs import poll as poll_job
+from orderflow.jobs import stream as stream_job
+from orderflow.session import scratch_dir
+from orderflow.sources.lake import has_sink_log, read_lake
+from tests.samples import ids, order
+
+EXAMPLE = os.path.join(os.path.dirname(os.path.dirname(__file__)), "configs", "orders_stream.yml")
+
+
+def test_example_config_is_complete():
+    config = load_config(EXAMPLE)
+    assert set(config) == {"postgres", "kafka", "datalake", "streaming"}
+    assert config["streaming"]["batch_interval"] == 5
+
+
+def test_missing_keys_are_named(tmp_path):
+    file = tmp_path / "broken.yml"
+    file.write_text("postgres: {jdbc_url: x}\nkafka: {brokers: b, topic: t}\ndatalake:\n")
+    with pytest.raises(ValueError, match="postgres.user.*datalake.path.*streaming.batch_interval"):
+        load_config(str(file))
+
+
+class Kept:
+    """The shared test session, which a job must not end."""
+
+    def __init__(self, spark):
+        self._spark = spark
+
+    def __getattr__(self, name):
+        return getattr(self._spark, name)
+
+    def stop(self):
+        pass
+
+
+@pytest.fixture
+def config_file(spark, tmp_path, monkeypatch):
+    for job in (poll_job, stream_job):
+        monkeypatch.setattr(job, "job_session", lambda name: Kept(spark))
+
+    def write(**streaming):
+        config = load_config(EXAMPLE)
+        config["postgres"].update(
+            jdbc_url=f"jdbc:derby:memory:{uuid.uuid4().hex};create=true",
+            driver="org.apache.derby.jdbc.EmbeddedDriver",
+            table="APP.ORDERS",
+            user="APP",
+        )
+        config["kafka"]["directory"] = str(tmp_path / "topic")
+        config["datalake"]["path"] = str(tmp_path / "lake")
+        config["streaming"].update(
+            checkpoint_location=str(tmp_path / "checkpoint"),
+            last_processed_timestamp_location=str(tmp_path / "state"),
+            batch_interval=0,
+            **streaming,
+        )
+        file = tmp_path / "orders.yml"
+        file.write_text(yaml.safe_dump(config))
+        return config, ["--config", str(file)]
+
+    return write
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_from_table_to_lake(spark, orders, config_file, unique):
+    config, argv = config_file(unique=unique)
+
+    def insert(*rows):
+        frame = orders(*rows)
+        frame.toDF(*[c.upper() for c in frame.columns]).write.jdbc(
+            config["postgres"]["jdbc_url"],
+            "APP.ORDERS",
+            mode="append",
+            properties={
+                "driver": config["postgres"]["driver"],
+                "user": config["postgres"]["user"],
+                "password": config["postgres"]["password"],
+            },
+        )
+
+    def run():
+        poll_job.main(argv, polls=2)
+        stream_job.main(argv, availableNow=True)
+        return ids(read_lake(spark, config["datalake"]["path"]))
+
+    insert(*[order(i, f"2025-11-18 12:00:{i:02d}.25") for i in range(1, 11)])
+    assert run() == list(range(1, 11))
+    insert(*[order(i, f"2025-11-18 13:00:{i:02d}") for i in range(11, 16)])
+    assert run() == list(range(1, 16))
+    assert has_sink_log(spark, config["datalake"]["path"]) is not unique
+
+
+def test_continuous_run_stops_and_starts_again(spark, orders, config_file):
+    from orderflow.sources.topic import configured_topic
+
+    config, _ = config_file()
+    config["streaming"]["batch_interval"] = 1
+    topic = configured_topic(config)
+    for low in (0, 5):
+        topic.publish(orders(*[order(i) for i in range(low, low + 5)]))
+        query = stream_job.start(spark, config)
+        query.processAllAvailable()
+        query.stop()
+        assert not query.isActive
+        assert ids(read_lake(spark, config["datalake"]["path"])) == list(range(low + 5))
+
+
+def session(shared, master):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: shared),
+        sparkContext=SimpleNamespace(master=master),
+    )
+
+
+def test_scratch_lies_in_the_folder_the_session_names():
+    named = session("/shared/", "spark://cluster:7077")
+    assert scratch_dir(named, "lake").startswith("/shared/orderflow-")
+    assert scratch_dir(named, "lake") != scratch_dir(named, "lake")
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    assert scratch_dir(session(None, "local[2]"), "lake").endswith("/lake")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(session(None, "spark://cluster:7077"), "lake")

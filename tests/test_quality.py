@@ -1,0 +1,38 @@
+import datetime
+
+from orderflow.operators.quality import (
+    never_polled,
+    null_violations,
+    reconcile,
+    status_violations,
+)
+from tests.samples import order
+
+
+def test_status_domain(orders):
+    table = orders(order(1), order(2, status="LOST"), order(3, status="LOST"), order(4, status=None))
+    assert [tuple(r) for r in status_violations(table).collect()] == [("LOST", 2)]
+
+
+def test_null_counts_per_required_column(orders):
+    table = orders(order(1, customer=None, amount=None), order(2, amount=None, created_at=None))
+    row = null_violations(table).first().asDict()
+    assert row == {
+        "customer_name": 1,
+        "restaurant_name": 0,
+        "item": 0,
+        "amount": 2,
+        "order_status": 0,
+    }
+    assert never_polled(table).first()["never_polled"] == 1
+
+
+def test_reconcile_finds_missing_unexpected_and_repeated(spark):
+    one, two = datetime.date(2025, 1, 1), datetime.date(2025, 1, 2)
+    schema = "order_id bigint, date date"
+    source = spark.createDataFrame([(1, one), (2, one), (3, one), (4, None)], schema)
+    lake = spark.createDataFrame(
+        [(1, one), (2, one), (2, one), (2, one), (9, two), (4, None)], schema
+    )
+    found = {r["date"]: tuple(r)[1:] for r in reconcile(source, lake).collect()}
+    assert found == {one: (3, 4, 1, 0, 1), two: (0, 1, 0, 1, 0), None: (1, 1, 0, 0, 0)}

@@ -1,0 +1,79 @@
+"""Every registered query against its SQL, over the same whole tables."""
+
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for table in ("events", "orders"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    return con
+
+
+def test_only_the_file_count_has_no_sql():
+    assert set(contract.queries()) - set(contract.oracle_sql()) == {"lake_file_count"}
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+def test_query_gives_what_the_sql_gives(spark, duck, name):
+    frame = contract.queries()[name](spark, SF_DIR)
+    columns = sorted(frame.columns)
+    found = [tuple(r) for r in frame.select(*columns).collect()]
+    wanted = duck.sql(f"SELECT {', '.join(columns)} FROM ({contract.oracle_sql()[name]})")
+    assert sorted(duck.sql(contract.oracle_sql()[name]).columns) == columns
+    assert sorted(map(repr, found)) == sorted(map(repr, wanted.fetchall()))
+
+
+def test_file_count(spark):
+    (row,) = contract.queries()["lake_file_count"](spark, SF_DIR).collect()
+    assert row["n_files"] >= 31
+
+
+def test_flagship(spark):
+    frame = contract.entry(spark)
+    assert frame.columns == ["date", "n", "amt"]
+    assert frame.count() == 31
+
+
+def explained(frame):
+    return frame._jdf.queryExecution().explainString(
+        frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+
+
+@pytest.mark.parametrize(
+    ("name", "pushed"),
+    [
+        ("incremental_scan", "GreaterThan(ts,2024-01-15T00:00)"),
+        ("incremental_scan_ties", "GreaterThan(o_orderdate,1995-06-17T00:00)"),
+        ("lake_partition_prune", "PartitionFilters: [isnotnull(date"),
+        ("point_lookup", "In(order_id, [102,103])"),
+    ],
+)
+def test_filters_reach_the_scan(spark, name, pushed):
+    assert pushed in explained(contract.queries()[name](spark, SF_DIR))
+
+
+@pytest.mark.parametrize(
+    ("name", "columns"),
+    [
+        ("high_watermark", "struct<event_id:bigint,ts:timestamp_ntz>"),
+        ("total_orders", "struct<>"),
+        ("lake_count", "struct<>"),
+    ],
+)
+def test_scans_read_only_what_is_needed(spark, name, columns):
+    assert f"ReadSchema: {columns}" in explained(contract.queries()[name](spark, SF_DIR))
+
+
+def test_events_are_parsed_once(spark):
+    assert explained(contract.queries()["clean_orders"](spark, SF_DIR)).count("from_json") == 1
