@@ -12,6 +12,9 @@ from orderflow.sources.topic import configured_topic
 from orderflow.streaming.poll import poll_forever
 
 
+log = logging.getLogger(__name__)
+
+
 def main(argv: list[str] | None = None, polls: int | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--config", required=True)
@@ -30,7 +33,7 @@ def main(argv: list[str] | None = None, polls: int | None = None) -> None:
             polls,
         )
     except KeyboardInterrupt:
-        logging.info("stopped")
+        log.info("stopped")
     finally:
         spark.stop()
 

@@ -6,7 +6,7 @@ import argparse
 import logging
 
 from pyspark.sql import SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from orderflow.config import load_config
 from orderflow.schema import DEFAULT_ID_TYPE
@@ -15,6 +15,27 @@ from orderflow.sources.topic import configured_topic
 from orderflow.streaming.ingest import clean_stream, start_append, start_unique
 
 
+log = logging.getLogger(__name__)
+
+
+class QualityLog(StreamingQueryListener):
+    """Logs, per micro-batch, how many events were seen, kept and rejected for which reason."""
+
+    def onQueryStarted(self, event):
+        log.info("stream %s started", event.id)
+
+    def onQueryProgress(self, event):
+        counts = event.progress.observedMetrics.get("events")
+        if counts is not None and event.progress.numInputRows:
+            log.info("batch %d: %s", event.progress.batchId, counts.asDict())
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        log.info("stream %s ended, error: %s", event.id, event.exception)
+
+
 def start(spark: SparkSession, config: dict, **trigger) -> StreamingQuery:
     """Start the configured stream; the trigger defaults to the poll interval.
 
@@ -37,12 +58,13 @@ def main(argv: list[str] | None = None, **trigger) -> None:
     logging.basicConfig(level=logging.INFO)
 
     spark = job_session("orderflow-stream")
+    spark.streams.addListener(QualityLog())
     query = None
     try:
         query = start(spark, config, **trigger)
         query.awaitTermination()
     except KeyboardInterrupt:
-        logging.info("stopped")
+        log.info("stopped")
     finally:
         if query is not None:
             query.stop()

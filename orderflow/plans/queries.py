@@ -48,14 +48,18 @@ def _lake(spark: SparkSession, path: str) -> DataFrame:
 _built: dict[tuple[str, str], str] = {}
 
 
-def _event_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _event_lake_path(spark: SparkSession, sf_dir: str) -> str:
     """The lake of all event orders, written once per session and read by several queries."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _built:
         path = scratch_dir(spark, "lake")
         append_by_date(_cleaned(spark, sf_dir), path)
         _built[key] = path
-    return _lake(spark, _built[key])
+    return _built[key]
+
+
+def _event_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lake(spark, _event_lake_path(spark, sf_dir))
 
 
 # --- polling -------------------------------------------------------------------------------
@@ -157,9 +161,7 @@ def lake_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lake_file_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_dir(spark, "lake")
-    append_by_date(_cleaned(spark, sf_dir), path)
-    return data_files(spark, path)
+    return data_files(spark, _event_lake_path(spark, sf_dir))
 
 
 def lake_partition_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,7 +245,7 @@ def dedup_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_per_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.orders_per_date(_cleaned(spark, sf_dir))
+    return reports.orders_per_date(_event_lake(spark, sf_dir))
 
 
 def revenue_per_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,7 +256,7 @@ def revenue_per_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def distinct_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.distinct_dates(_cleaned(spark, sf_dir))
+    return reports.distinct_dates(_event_lake(spark, sf_dir))
 
 
 def total_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,8 +22,8 @@ def by_date(orders: DataFrame) -> DataFrame:
 
 
 def append_by_date(orders: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Append cleaned orders. Sorting by id within a file gives its row groups narrow id
-    ranges, which lookups by id and the search for known ids skip on."""
+    """Append cleaned orders. The writer sorts by day anyway; sorting by id as well gives row
+    groups narrow id ranges, which lookups by id and the search for known ids skip on."""
     (
         by_date(orders)
         .sortWithinPartitions("date", "order_id")

@@ -12,10 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from orderflow.operators.events import encode
 
 
+# A backlog is worked off in batches that commit one by one, and a crowded topic partition is
+# read by several tasks. Both only say how the records are cut up; all of them are read.
+READ_LIMITS = {"maxOffsetsPerTrigger": "100000000", "maxRecordsPerPartition": "1000000"}
+
+
 @dataclass
 class KafkaTopic:
-    """options go to the reader as they are, e.g. maxOffsetsPerTrigger to bound a batch, or
-    maxRecordsPerPartition to split one crowded topic partition over several tasks."""
+    """options go to the reader and take precedence over READ_LIMITS."""
 
     brokers: str
     name: str
@@ -36,6 +40,7 @@ class KafkaTopic:
             "subscribe": self.name,
             "startingOffsets": "earliest",
             "failOnDataLoss": "false",
+            **READ_LIMITS,
             **self.options,
         }
 
@@ -46,7 +51,7 @@ class KafkaTopic:
 
 @dataclass
 class DirectoryTopic:
-    """options, e.g. maxFilesPerTrigger, go to the reader as they are."""
+    """options, e.g. maxFilesPerTrigger, go to the reader."""
 
     path: str
     options: dict = field(default_factory=dict)

@@ -157,6 +157,7 @@ def test_topic_forms():
         "startingOffsets": "earliest",
         "failOnDataLoss": "false",
         "maxOffsetsPerTrigger": "500000",
+        "maxRecordsPerPartition": "1000000",
     }
     assert configured_topic({"kafka": {**kafka, "directory": "/x"}}) == DirectoryTopic("/x")
 
