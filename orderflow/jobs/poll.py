@@ -4,18 +4,16 @@ from __future__ import annotations
 
 import argparse
 import logging
+import threading
 
 from orderflow.config import load_config
-from orderflow.session import job_session
+from orderflow.session import job_session, stop_on_signal
 from orderflow.sources.table import jdbc_table
 from orderflow.sources.topic import configured_topic
-from orderflow.streaming.poll import poll_forever
+from orderflow.streaming.poll import poll_until
 
 
-log = logging.getLogger(__name__)
-
-
-def main(argv: list[str] | None = None, polls: int | None = None) -> None:
+def main(argv: list[str] | None = None, stop: threading.Event | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--config", required=True)
     config = load_config(parser.parse_args(argv).config)
@@ -24,16 +22,14 @@ def main(argv: list[str] | None = None, polls: int | None = None) -> None:
     spark = job_session("orderflow-poll")
     streaming = config["streaming"]
     try:
-        poll_forever(
+        poll_until(
+            stop or stop_on_signal(),
             spark,
             jdbc_table(spark, config),
             configured_topic(config),
             streaming["last_processed_timestamp_location"],
             streaming["batch_interval"],
-            polls,
         )
-    except KeyboardInterrupt:
-        log.info("stopped")
     finally:
         spark.stop()
 

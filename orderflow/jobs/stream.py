@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from orderflow.config import load_config
 from orderflow.schema import DEFAULT_ID_TYPE
-from orderflow.session import job_session
+from orderflow.session import job_session, stop_on_signal
 from orderflow.sources.topic import configured_topic
 from orderflow.streaming.ingest import clean_stream, start_append, start_unique
 
@@ -59,15 +59,13 @@ def main(argv: list[str] | None = None, **trigger) -> None:
 
     spark = job_session("orderflow-stream")
     spark.streams.addListener(QualityLog())
-    query = None
+    stop = stop_on_signal()
     try:
         query = start(spark, config, **trigger)
-        query.awaitTermination()
-    except KeyboardInterrupt:
-        log.info("stopped")
+        while not stop.is_set() and not query.awaitTermination(timeout=1):
+            pass
+        query.stop()
     finally:
-        if query is not None:
-            query.stop()
         spark.stop()
 
 

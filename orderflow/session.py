@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import signal
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -22,6 +24,14 @@ def job_session(app_name: str) -> SparkSession:
     )
 
 
+def stop_on_signal() -> threading.Event:
+    """An event that Ctrl-C and a polite kill set, so that a job can end between two steps."""
+    stop = threading.Event()
+    for number in (signal.SIGINT, signal.SIGTERM):
+        signal.signal(number, lambda *_: stop.set())
+    return stop
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import logging
-import time
-from collections.abc import Callable
+import threading
 
 from pyspark.sql import SparkSession
 
@@ -28,25 +27,18 @@ def poll_once(spark: SparkSession, table, topic, state: str) -> int:
     return reach.rows
 
 
-def poll_forever(
-    spark: SparkSession,
-    table,
-    topic,
-    state: str,
-    interval: float,
-    polls: int | None = None,
-    sleep: Callable[[float], None] = time.sleep,
+def poll_until(
+    stop: threading.Event, spark: SparkSession, table, topic, state: str, interval: float
 ) -> None:
-    """Poll at the interval. A failed poll leaves the watermark where it was and is retried.
+    """Poll at the interval until the event is set; the poll under way is finished first.
 
-    polls ends the loop after that many rounds; by default it runs until interrupted.
+    A failed poll leaves the watermark where it was, so the next one repeats it.
     """
-    done = 0
-    while polls is None or done < polls:
+    while True:
         try:
             found = poll_once(spark, table, topic, state)
             log.info("published %d orders", found)
         except Exception:
             log.exception("poll failed, next try in %s s", interval)
-        done += 1
-        sleep(interval)
+        if stop.wait(interval):
+            return

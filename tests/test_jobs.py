@@ -1,4 +1,6 @@
 import os
+import signal
+import threading
 import uuid
 from types import SimpleNamespace
 
@@ -8,7 +10,7 @@ import yaml
 from orderflow.config import load_config
 from orderflow.jobs import poll as poll_job
 from orderflow.jobs import stream as stream_job
-from orderflow.session import scratch_dir
+from orderflow.session import scratch_dir, stop_on_signal
 from orderflow.sources.lake import has_sink_log, read_lake
 from tests.samples import ids, order
 
@@ -45,6 +47,7 @@ class Kept:
 def config_file(spark, tmp_path, monkeypatch):
     for job in (poll_job, stream_job):
         monkeypatch.setattr(job, "job_session", lambda name: Kept(spark))
+    monkeypatch.setattr(stream_job, "stop_on_signal", threading.Event)
 
     def write(**streaming):
         config = load_config(EXAMPLE)
@@ -87,7 +90,9 @@ def test_from_table_to_lake(spark, orders, config_file, unique):
         )
 
     def run():
-        poll_job.main(argv, polls=2)
+        stop = threading.Event()
+        stop.set()
+        poll_job.main(argv, stop)
         stream_job.main(argv, availableNow=True)
         return ids(read_lake(spark, config["datalake"]["path"]))
 
@@ -113,6 +118,18 @@ def test_continuous_run_stops_and_starts_again(spark, orders, config_file):
         assert ids(read_lake(spark, config["datalake"]["path"])) == list(range(low + 5))
 
 
+def test_signals_set_the_stop_event():
+    before = [signal.getsignal(n) for n in (signal.SIGINT, signal.SIGTERM)]
+    try:
+        for number in (signal.SIGINT, signal.SIGTERM):
+            stop = stop_on_signal()
+            os.kill(os.getpid(), number)
+            assert stop.wait(5)
+    finally:
+        signal.signal(signal.SIGINT, before[0])
+        signal.signal(signal.SIGTERM, before[1])
+
+
 def session(shared, master):
     return SimpleNamespace(
         conf=SimpleNamespace(get=lambda key, default: shared),

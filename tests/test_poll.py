@@ -9,7 +9,7 @@ from orderflow.sources.state import read_watermark
 from orderflow.sources.table import FrameTable, JdbcTable
 from orderflow.sources.topic import DirectoryTopic, KafkaTopic, configured_topic
 from orderflow.streaming import poll
-from orderflow.streaming.poll import poll_forever, poll_once
+from orderflow.streaming.poll import poll_once, poll_until
 from tests.samples import ids, order
 
 SEED = [order(i, f"2025-11-18 12:00:{i:02d}.5", status=STATUSES[i % 4]) for i in range(1, 11)]
@@ -60,14 +60,16 @@ def test_a_row_inserted_during_the_poll_waits_for_the_next(spark, orders, folder
 
 
 def test_poll_retry_publishes_the_same_slice(spark, orders, folder):
-    topic, state, waits = FailingTopic(folder("topic")), folder("state"), []
-    marks = []
+    topic, state = FailingTopic(folder("topic")), folder("state")
+    waits, marks = [], []
 
-    def sleep(seconds):
-        waits.append(seconds)
-        marks.append(read_watermark(spark, state))
+    class ThreeRounds:
+        def wait(self, seconds):
+            waits.append(seconds)
+            marks.append(read_watermark(spark, state))
+            return len(waits) == 3
 
-    poll_forever(spark, FrameTable(orders(*SEED)), topic, state, 5, polls=3, sleep=sleep)
+    poll_until(ThreeRounds(), spark, FrameTable(orders(*SEED)), topic, state, 5)
     assert waits == [5, 5, 5]
     assert marks == [EPOCH, "2025-11-18 12:00:10.5", "2025-11-18 12:00:10.5"]
     assert published(spark, topic) == list(range(1, 11))
