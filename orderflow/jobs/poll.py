@@ -29,6 +29,7 @@ def main(argv: list[str] | None = None, stop: threading.Event | None = None) ->
             configured_topic(config),
             streaming["last_processed_timestamp_location"],
             streaming["batch_interval"],
+            streaming.get("look_back", 0),
         )
     finally:
         spark.stop()

@@ -12,7 +12,7 @@ from orderflow.config import load_config
 from orderflow.schema import DEFAULT_ID_TYPE
 from orderflow.session import job_session, stop_on_signal
 from orderflow.sources.topic import configured_topic
-from orderflow.streaming.ingest import clean_stream, start_append, start_unique
+from orderflow.streaming.ingest import clean_stream, start_append, start_rejects, start_unique
 
 
 log = logging.getLogger(__name__)
@@ -36,19 +36,26 @@ class QualityLog(StreamingQueryListener):
         log.info("stream %s ended, error: %s", event.id, event.exception)
 
 
-def start(spark: SparkSession, config: dict, **trigger) -> StreamingQuery:
-    """Start the configured stream; the trigger defaults to the poll interval.
+def start(spark: SparkSession, config: dict, **trigger) -> list[StreamingQuery]:
+    """Start the configured streams; the trigger defaults to the poll interval.
 
-    streaming.unique: false selects the plain file sink, which keeps copies.
+    streaming.unique: false selects the plain file sink, which keeps copies. datalake.rejects
+    names a folder for the events left out; they are read by a stream of their own.
     """
     lake, streaming = config["datalake"], config["streaming"]
     id_type = streaming.get("id_type", DEFAULT_ID_TYPE)
-    orders = clean_stream(configured_topic(config).stream(spark), id_type)
+    raw = configured_topic(config).stream(spark)
+    orders = clean_stream(raw, id_type)
     where = (lake["path"], streaming["checkpoint_location"], lake["format"])
     trigger = trigger or {"processingTime": f"{streaming['batch_interval']} seconds"}
     if streaming.get("unique", True):
-        return start_unique(orders, *where, id_type=id_type, **trigger)
-    return start_append(orders, *where, **trigger)
+        queries = [start_unique(orders, *where, id_type=id_type, **trigger)]
+    else:
+        queries = [start_append(orders, *where, **trigger)]
+    if "rejects" in lake:
+        checkpoint = f"{streaming['checkpoint_location']}_rejects"
+        queries.append(start_rejects(raw, lake["rejects"], checkpoint, id_type, **trigger))
+    return queries
 
 
 def main(argv: list[str] | None = None, **trigger) -> None:
@@ -61,10 +68,11 @@ def main(argv: list[str] | None = None, **trigger) -> None:
     spark.streams.addListener(QualityLog())
     stop = stop_on_signal()
     try:
-        query = start(spark, config, **trigger)
-        while not stop.is_set() and not query.awaitTermination(timeout=1):
+        queries = start(spark, config, **trigger)
+        while not stop.is_set() and not all([q.awaitTermination(timeout=1) for q in queries]):
             pass
-        query.stop()
+        for query in queries:
+            query.stop()
     finally:
         spark.stop()
 

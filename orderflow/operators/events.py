@@ -20,13 +20,14 @@ def encode(orders: DataFrame) -> DataFrame:
     return orders.select(event_json().alias("value"))
 
 
-def decode(raw: DataFrame, id_type: str = DEFAULT_ID_TYPE) -> DataFrame:
-    """Topic values to the seven event columns, one row out per row in.
+def decode(raw: DataFrame, id_type: str = DEFAULT_ID_TYPE, keep_text: bool = False) -> DataFrame:
+    """Topic values to the seven event columns, one row out per row in; on request the text too.
 
     inline() keeps the parse below a Generate node. Written as select("o.*"), the optimizer
     copies from_json into the cleaning filter and every text is parsed three times.
     """
-    return raw.select(F.inline(F.array(parsed_event("value", id_type))))
+    text = [F.col("value").cast("string").alias("value")] if keep_text else []
+    return raw.select(*text, F.inline(F.array(parsed_event("value", id_type))))
 
 
 def with_date(events: DataFrame) -> DataFrame:

@@ -14,8 +14,8 @@ SLOTS = ("slot_a", "slot_b")
 
 
 def _entries(spark: SparkSession, location: str) -> list[tuple[datetime, str, str]]:
-    """Every stored watermark as (moment, text, file): at most one per slot, plus a
-    last_timestamp.txt somebody put there to start from."""
+    """Every stored watermark as (moment, text, file): at most one per slot, plus any text file
+    somebody put there to start from."""
     reader = (
         spark.read.format("text")
         .option("recursiveFileLookup", "true")

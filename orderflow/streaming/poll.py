@@ -4,31 +4,46 @@ from __future__ import annotations
 
 import logging
 import threading
+from datetime import datetime, timedelta
 
 from pyspark.sql import SparkSession
 
+from orderflow.schema import EPOCH
 from orderflow.sources.state import read_watermark, save_watermark
 
 log = logging.getLogger(__name__)
 
 
-def poll_once(spark: SparkSession, table, topic, state: str) -> int:
-    """Publish what is new and move the watermark; returns the number of rows found.
+def poll_once(
+    spark: SparkSession, table, topic, state: str, look_back: float = 0
+) -> int:
+    """Publish what is new and move the watermark; returns the number of rows beyond it.
 
     The watermark moves after the write. A crash in between publishes the slice again, and the
-    lake's duplicate removal takes the second copy out.
+    lake's duplicate removal takes the second copy out. The same removal makes look_back safe:
+    so many seconds before the watermark are published along with what is new, which picks up
+    rows committed late with an older created_at, or with the watermark's own.
     """
     lo = read_watermark(spark, state)
     reach = table.reach(lo)
     if reach.hi is None:
         return 0
-    topic.publish(table.slice(lo, reach))
+    start = lo
+    if look_back and lo != EPOCH:
+        start = str(datetime.fromisoformat(lo) - timedelta(seconds=look_back))
+    topic.publish(table.slice(start, reach))
     save_watermark(spark, state, reach.hi)
     return reach.rows
 
 
 def poll_until(
-    stop: threading.Event, spark: SparkSession, table, topic, state: str, interval: float
+    stop: threading.Event,
+    spark: SparkSession,
+    table,
+    topic,
+    state: str,
+    interval: float,
+    look_back: float = 0,
 ) -> None:
     """Poll at the interval until the event is set; the poll under way is finished first.
 
@@ -36,7 +51,7 @@ def poll_until(
     """
     while True:
         try:
-            found = poll_once(spark, table, topic, state)
+            found = poll_once(spark, table, topic, state, look_back)
             log.info("published %d orders", found)
         except Exception:
             log.exception("poll failed, next try in %s s", interval)

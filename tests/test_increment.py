@@ -73,7 +73,7 @@ def test_missing_state_is_the_epoch(spark, folder):
 
 def test_blank_state_is_the_epoch(spark, folder, tmp_path):
     (tmp_path / "state").mkdir()
-    (tmp_path / "state" / "last_timestamp.txt").write_text(" \n")
+    (tmp_path / "state" / "start.txt").write_text(" \n")
     assert read_watermark(spark, folder("state")) == EPOCH
 
 
@@ -96,7 +96,7 @@ def test_losing_the_slot_being_written_falls_back_to_the_one_before(spark, folde
 
 def test_a_single_timestamp_file_is_taken_over(spark, folder, tmp_path):
     (tmp_path / "state").mkdir()
-    (tmp_path / "state" / "last_timestamp.txt").write_text("2025-12-03 16:16:04.294904")
+    (tmp_path / "state" / "start.txt").write_text("2025-12-03 16:16:04.294904")
     assert read_watermark(spark, folder("state")) == "2025-12-03 16:16:04.294904"
     save_watermark(spark, folder("state"), "2025-12-04 00:00:00")
     assert read_watermark(spark, folder("state")) == "2025-12-04 00:00:00"
@@ -104,6 +104,6 @@ def test_a_single_timestamp_file_is_taken_over(spark, folder, tmp_path):
 
 def test_unreadable_state_stops_instead_of_starting_over(spark, folder, tmp_path):
     (tmp_path / "state").mkdir()
-    (tmp_path / "state" / "last_timestamp.txt").write_text("soon")
+    (tmp_path / "state" / "start.txt").write_text("soon")
     with pytest.raises(ValueError):
         read_watermark(spark, folder("state"))

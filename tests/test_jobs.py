@@ -111,13 +111,35 @@ def test_continuous_run_stops_and_starts_again(spark, orders, config_file):
     topic = configured_topic(config)
     for low in (0, 5):
         topic.publish(orders(*[order(i) for i in range(low, low + 5)]))
-        query = stream_job.start(spark, config)
+        (query,) = stream_job.start(spark, config)
         query.processAllAvailable()
         query.stop()
         assert not query.isActive
         assert ids(read_lake(spark, config["datalake"]["path"])) == list(range(low + 5))
 
 
+def test_rejects_are_kept_with_text_and_reason(spark, orders, config_file, tmp_path):
+    from orderflow.sources.topic import configured_topic
+
+    config, argv = config_file()
+    config["datalake"]["rejects"] = str(tmp_path / "rejects")
+    (tmp_path / "orders.yml").write_text(yaml.safe_dump(config))
+    topic = configured_topic(config)
+    topic.publish(orders(order(1), order(2, amount="-5.00"), order(3, amount=None)))
+    topic.publish_raw(spark.createDataFrame([("not json",)], "value string"))
+    for _ in range(2):
+        stream_job.main(argv, availableNow=True)
+    assert ids(read_lake(spark, config["datalake"]["path"])) == [1]
+    kept = spark.read.parquet(config["datalake"]["rejects"]).collect()
+    assert {(r["order_id"], r["reason"]) for r in kept} == {
+        (2, "non_positive_amount"),
+        (3, "null_amount"),
+        (None, "null_order_id"),
+    }
+    assert len(kept) == 3
+    assert [r["value"] for r in kept if r["order_id"] is None] == ["not json"]
+
+
 def test_signals_set_the_stop_event():
     before = [signal.getsignal(n) for n in (signal.SIGINT, signal.SIGTERM)]
     try:

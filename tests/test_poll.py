@@ -89,6 +89,22 @@ def test_crash_before_the_state_is_saved_publishes_again(spark, orders, folder,
     assert published(spark, topic) == sorted(list(range(1, 11)) * 2)
 
 
+LATE = [
+    order(50, "2025-11-18 12:00:10.5"),  # ties with the watermark
+    order(51, "2025-11-18 12:00:09"),  # before it, within the look-back
+    order(52, "2025-11-18 11:00:00"),  # before it, beyond the look-back
+]
+
+
+@pytest.mark.parametrize(("look_back", "found"), [(0, []), (5, [50, 51]), (7200, [50, 51, 52])])
+def test_look_back_picks_up_late_commits(spark, orders, folder, look_back, found):
+    topic, state = DirectoryTopic(folder("topic")), folder("state")
+    poll_once(spark, FrameTable(orders(*SEED)), topic, state, look_back)
+    assert poll_once(spark, FrameTable(orders(*SEED, *LATE)), topic, state, look_back) == 0
+    assert poll_once(spark, FrameTable(orders(*SEED, *LATE, *MORE)), topic, state, look_back) == 5
+    assert sorted(set(published(spark, topic))) == [*range(1, 16), *found]
+
+
 @pytest.fixture
 def database(spark):
     """An embedded database inside this JVM: no server, no port."""
