@@ -10,9 +10,9 @@ def total_orders(orders: DataFrame) -> DataFrame:
     return orders.agg(F.count(F.lit(1)).alias("total_orders"))
 
 
-def require_orders(orders: DataFrame, at_least: int = 10) -> int:
-    """The start-up gate: fail unless the table holds enough rows."""
-    found = total_orders(orders).first()["total_orders"]
+def require_orders(total: DataFrame, at_least: int = 10) -> int:
+    """The start-up gate: fail unless total_orders found enough rows."""
+    found = total.first()["total_orders"]
     if found < at_least:
         raise ValueError(f"expected at least {at_least} orders, found {found}")
     return found

@@ -64,14 +64,16 @@ class JdbcTable:
             **self.properties,
         }
 
+    def query(self, sql: str, **split) -> DataFrame:
+        """What the database answers to a SELECT."""
+        return self.spark.read.jdbc(self.url, f"({sql}) q", properties=self.properties, **split)
+
     def reach(self, lo: str) -> Reach:
-        query = (
-            "(SELECT MAX(created_at) AS hi, COUNT(*) AS n, MIN(order_id) AS min_id, "
-            f"MAX(order_id) AS max_id FROM {self.table} "
-            f"WHERE created_at > '{_checked(lo)}') reach"
-        )
         row = (
-            self.spark.read.jdbc(self.url, query, properties=self.properties)
+            self.query(
+                "SELECT MAX(created_at) AS hi, COUNT(*) AS n, MIN(order_id) AS min_id, "
+                f"MAX(order_id) AS max_id FROM {self.table} WHERE created_at > '{_checked(lo)}'"
+            )
             .toDF("hi", "n", "min_id", "max_id")
             .selectExpr("cast(hi AS string) AS hi", "n", "min_id", "max_id")
             .first()
@@ -79,11 +81,6 @@ class JdbcTable:
         return Reach(row["hi"], row["n"], row["min_id"], row["max_id"])
 
     def slice(self, lo: str, reach: Reach) -> DataFrame:
-        query = (
-            f"(SELECT {', '.join(ORDER_COLS)} FROM {self.table} "
-            f"WHERE created_at > '{_checked(lo)}' AND created_at <= '{_checked(reach.hi)}'"
-            ") new_orders"
-        )
         reads = min(self.max_connections, 1 + reach.rows // self.rows_per_read)
         # The id bounds only place the cuts between the reads; rows outside them, committed
         # since, still fall into the first or last read.
@@ -93,8 +90,26 @@ class JdbcTable:
             "upperBound": reach.max_id + 1,
             "numPartitions": reads,
         }
-        rows = self.spark.read.jdbc(self.url, query, properties=self.properties, **split)
-        return rows.toDF(*ORDER_COLS)
+        return self.query(
+            f"SELECT {', '.join(ORDER_COLS)} FROM {self.table} "
+            f"WHERE created_at > '{_checked(lo)}' AND created_at <= '{_checked(reach.hi)}'",
+            **split,
+        ).toDF(*ORDER_COLS)
+
+    def total_orders(self) -> DataFrame:
+        return self.query(f"SELECT COUNT(*) AS n FROM {self.table}").toDF("total_orders")
+
+    def never_polled(self) -> DataFrame:
+        return self.query(
+            f"SELECT COUNT(*) AS n FROM {self.table} WHERE created_at IS NULL"
+        ).toDF("never_polled")
+
+    def latest_orders(self, k: int = 5) -> DataFrame:
+        """The k newest orders, from the database's index on created_at if it has one."""
+        return self.query(
+            f"SELECT {', '.join(ORDER_COLS)} FROM {self.table} WHERE created_at IS NOT NULL "
+            f"ORDER BY created_at DESC, order_id FETCH FIRST {int(k)} ROWS ONLY"
+        ).toDF(*ORDER_COLS)
 
 
 def _checked(moment: str) -> str:

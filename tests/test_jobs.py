@@ -8,10 +8,13 @@ import pytest
 import yaml
 
 from orderflow.config import load_config
+from orderflow.jobs import check as check_job
 from orderflow.jobs import poll as poll_job
 from orderflow.jobs import stream as stream_job
+from orderflow.operators.events import clean, decode, encode
 from orderflow.session import scratch_dir, stop_on_signal
-from orderflow.sources.lake import has_sink_log, read_lake
+from orderflow.sources.lake import append_by_date, has_sink_log, read_lake
+from orderflow.sources.topic import configured_topic
 from tests.samples import ids, order
 
 EXAMPLE = os.path.join(os.path.dirname(os.path.dirname(__file__)), "configs", "orders_stream.yml")
@@ -45,7 +48,7 @@ class Kept:
 
 @pytest.fixture
 def config_file(spark, tmp_path, monkeypatch):
-    for job in (poll_job, stream_job):
+    for job in (check_job, poll_job, stream_job):
         monkeypatch.setattr(job, "job_session", lambda name: Kept(spark))
     monkeypatch.setattr(stream_job, "stop_on_signal", threading.Event)
 
@@ -72,40 +75,71 @@ def config_file(spark, tmp_path, monkeypatch):
     return write
 
 
-@pytest.mark.parametrize("unique", [True, False])
-def test_from_table_to_lake(spark, orders, config_file, unique):
-    config, argv = config_file(unique=unique)
-
-    def insert(*rows):
+@pytest.fixture
+def insert(spark, orders):
+    def into(config, *rows):
         frame = orders(*rows)
+        db = config["postgres"]
         frame.toDF(*[c.upper() for c in frame.columns]).write.jdbc(
-            config["postgres"]["jdbc_url"],
-            "APP.ORDERS",
+            db["jdbc_url"],
+            db["table"],
             mode="append",
-            properties={
-                "driver": config["postgres"]["driver"],
-                "user": config["postgres"]["user"],
-                "password": config["postgres"]["password"],
-            },
+            properties={k: db[k] for k in ("driver", "user", "password")},
         )
 
-    def run():
-        stop = threading.Event()
-        stop.set()
-        poll_job.main(argv, stop)
-        stream_job.main(argv, availableNow=True)
-        return ids(read_lake(spark, config["datalake"]["path"]))
+    return into
 
-    insert(*[order(i, f"2025-11-18 12:00:{i:02d}.25") for i in range(1, 11)])
-    assert run() == list(range(1, 11))
-    insert(*[order(i, f"2025-11-18 13:00:{i:02d}") for i in range(11, 16)])
-    assert run() == list(range(1, 16))
-    assert has_sink_log(spark, config["datalake"]["path"]) is not unique
 
+def poll_and_stream(argv):
+    stop = threading.Event()
+    stop.set()
+    poll_job.main(argv, stop)
+    stream_job.main(argv, availableNow=True)
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_from_table_to_lake(spark, config_file, insert, unique):
+    config, argv = config_file(unique=unique)
+    lake = config["datalake"]["path"]
+    insert(config, *[order(i, f"2025-11-18 12:00:{i:02d}.25") for i in range(1, 11)])
+    poll_and_stream(argv)
+    assert ids(read_lake(spark, lake)) == list(range(1, 11))
+    insert(config, *[order(i, f"2025-11-18 13:00:{i:02d}") for i in range(11, 16)])
+    poll_and_stream(argv)
+    assert ids(read_lake(spark, lake)) == list(range(1, 16))
+    assert has_sink_log(spark, lake) is not unique
+
+
+def test_check_sees_what_went_wrong(spark, orders, config_file, insert, capsys):
+    config, argv = config_file()
+    rows = [order(i, f"2025-11-18 12:00:{i:02d}.25") for i in range(1, 12)]
+    insert(config, *rows, order(90, None), order(91, "2025-11-18 12:00:01", amount="-1.00"))
+    poll_and_stream(argv)
+    insert(config, order(12, "2025-11-19 00:00:00"))  # not polled yet, so not missing
+    assert check_job.main(argv) == 0
+    seen = check_job.reports(spark, config)
+    assert seen["orders in the table"].first()["total_orders"] == 14
+    assert seen["orders without a time, which no poll sees"].first()["never_polled"] == 1
+    assert [r["order_id"] for r in seen["newest orders"].collect()] == [12, 11, 10]
+    assert seen["last processed timestamp"].first()["hi"] == "2025-11-18 12:00:11.25"
+    assert [r["n"] for r in seen["lake, per day"].collect()] == [11]
+    assert seen["lake, data files"].first()["n_files"] == 1
+
+    append_by_date(clean(decode(encode(orders(rows[0], order(77))))), config["datalake"]["path"])
+    assert check_job.main(argv) == 1
+    (day,) = check_job.reports(spark, config)["differences"].collect()
+    assert (day["missing"], day["unexpected"], day["repeated"]) == (0, 1, 1)
+    assert "newest orders" in capsys.readouterr().out
+
+
+def test_check_wants_ten_orders(config_file, insert):
+    config, argv = config_file()
+    insert(config, order(1))
+    with pytest.raises(ValueError, match="expected at least 10 orders, found 1"):
+        check_job.main(argv)
 
-def test_continuous_run_stops_and_starts_again(spark, orders, config_file):
-    from orderflow.sources.topic import configured_topic
 
+def test_continuous_run_stops_and_starts_again(spark, orders, config_file):
     config, _ = config_file()
     config["streaming"]["batch_interval"] = 1
     topic = configured_topic(config)
@@ -119,8 +153,6 @@ def test_continuous_run_stops_and_starts_again(spark, orders, config_file):
 
 
 def test_rejects_are_kept_with_text_and_reason(spark, orders, config_file, tmp_path):
-    from orderflow.sources.topic import configured_topic
-
     config, argv = config_file()
     config["datalake"]["rejects"] = str(tmp_path / "rejects")
     (tmp_path / "orders.yml").write_text(yaml.safe_dump(config))

@@ -121,6 +121,6 @@ def test_newest_first_ties_by_id_and_no_missing_times(orders):
 
 def test_gate_on_the_number_of_orders(orders):
     table = orders(*[order(i) for i in range(10)])
-    assert require_orders(table) == 10
+    assert require_orders(total_orders(table)) == 10
     with pytest.raises(ValueError, match="found 10"):
-        require_orders(table, 11)
+        require_orders(total_orders(table), 11)
