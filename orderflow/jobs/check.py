@@ -7,7 +7,6 @@ not hold or holds it more than once.
 from __future__ import annotations
 
 import argparse
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +31,7 @@ def reports(spark: SparkSession, config: dict) -> dict[str, DataFrame]:
     lake = read_lake(spark, lake_config["path"], lake_config["format"], id_type)
 
     # Only what was polled can have arrived. Wire and cleaning decide what should have.
-    polled = table.slice(EPOCH, replace(table.reach(EPOCH), hi=hi))
+    polled = table.slice(EPOCH, table.reach_to(hi))
     expected = clean(decode(encode(polled), id_type))
     differences = reconcile(expected, lake).where(
         (F.col("missing") > 0) | (F.col("unexpected") > 0) | (F.col("repeated") > 0)

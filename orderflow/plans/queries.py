@@ -220,10 +220,13 @@ def lake_incremental_two_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file per micro-batch; the last one takes what is left."""
-    topic = DirectoryTopic(scratch_dir(spark, "topic"), {"maxFilesPerTrigger": "1"})
-    orders = event_orders(spark, sf_dir)
-    topic.publish(orders.repartition(5, F.hash("customer_name", "created_at", "amount")))
+    """A fifth of the topic's files per micro-batch; the last one takes what is left."""
+    topic = DirectoryTopic(scratch_dir(spark, "topic"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = F.hash("customer_name", "created_at", "amount")
+    topic.publish(event_orders(spark, sf_dir).repartition(tasks, spread))
+    files = data_files(spark, topic.path, "txt").first()["n_files"]
+    topic.options["maxFilesPerTrigger"] = str(max(1, files // 5))
     lake = scratch_dir(spark, "lake")
     _drain(start_append, topic, spark, lake, scratch_dir(spark, "checkpoint"))
     return _plain_time(_lake(spark, lake))

@@ -8,7 +8,7 @@ while a poll runs is left to the next poll instead of being skipped.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,12 +19,14 @@ from orderflow.schema import ORDER_COLS
 
 @dataclass(frozen=True)
 class Reach:
-    """What lies beyond a watermark: newest created_at as text, row count, id range."""
+    """What one poll takes beyond a watermark: newest created_at as text, row count, id range,
+    and whether the table holds more behind it."""
 
     hi: str | None
     rows: int
     min_id: int | None = None
     max_id: int | None = None
+    more: bool = False
 
 
 class FrameTable:
@@ -45,12 +47,16 @@ class FrameTable:
 class JdbcTable:
     """A database table. The database evaluates range and aggregate; Spark reads the slice in
     parallel over ranges of order_id, which is unique, so one busy instant cannot fill a range.
+
+    A backlog of more than rows_per_poll rows is taken in several polls, each with a watermark
+    of its own, so that a failure repeats one of them and not all.
     """
 
     spark: SparkSession
     url: str
     table: str
     properties: dict = field(default_factory=dict)
+    rows_per_poll: int = 20_000_000
     rows_per_read: int = 500_000
     max_connections: int = 16
 
@@ -69,16 +75,37 @@ class JdbcTable:
         return self.spark.read.jdbc(self.url, f"({sql}) q", properties=self.properties, **split)
 
     def reach(self, lo: str) -> Reach:
-        row = (
+        rows = f"FROM {self.table} WHERE created_at > '{_checked(lo)}'"
+        whole = self._extent(rows)
+        if whole.rows <= self.rows_per_poll:
+            return whole
+        # The row this far down the index on created_at ends the poll; its ties come along.
+        end = (
             self.query(
+                f"SELECT created_at AS hi {rows} ORDER BY created_at "
+                f"OFFSET {self.rows_per_poll - 1} ROWS FETCH NEXT 1 ROWS ONLY"
+            )
+            .toDF("hi")
+            .selectExpr("cast(hi AS string) AS hi")
+            .first()["hi"]
+        )
+        return replace(self._extent(f"{rows} AND created_at <= '{end}'"), more=end != whole.hi)
+
+    def reach_to(self, hi: str) -> Reach:
+        """Everything up to a watermark, however much it is."""
+        rows = f"FROM {self.table} WHERE created_at <= '{_checked(hi)}'"
+        return replace(self._extent(rows), hi=hi)
+
+    def _extent(self, rows: str) -> Reach:
+        return Reach(
+            *self.query(
                 "SELECT MAX(created_at) AS hi, COUNT(*) AS n, MIN(order_id) AS min_id, "
-                f"MAX(order_id) AS max_id FROM {self.table} WHERE created_at > '{_checked(lo)}'"
+                f"MAX(order_id) AS max_id {rows}"
             )
             .toDF("hi", "n", "min_id", "max_id")
             .selectExpr("cast(hi AS string) AS hi", "n", "min_id", "max_id")
             .first()
         )
-        return Reach(row["hi"], row["n"], row["min_id"], row["max_id"])
 
     def slice(self, lo: str, reach: Reach) -> DataFrame:
         reads = min(self.max_connections, 1 + reach.rows // self.rows_per_read)
@@ -129,4 +156,5 @@ def jdbc_table(spark: SparkSession, config: dict) -> JdbcTable:
             "password": db["password"],
             "driver": db.get("driver", "org.postgresql.Driver"),
         },
+        **{k: db[k] for k in ("rows_per_poll", "rows_per_read", "max_connections") if k in db},
     )

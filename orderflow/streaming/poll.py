@@ -10,14 +10,15 @@ from pyspark.sql import SparkSession
 
 from orderflow.schema import EPOCH
 from orderflow.sources.state import read_watermark, save_watermark
+from orderflow.sources.table import Reach
 
 log = logging.getLogger(__name__)
 
 
 def poll_once(
     spark: SparkSession, table, topic, state: str, look_back: float = 0
-) -> int:
-    """Publish what is new and move the watermark; returns the number of rows beyond it.
+) -> Reach:
+    """Publish what is new and move the watermark; returns what the poll took.
 
     The watermark moves after the write. A crash in between publishes the slice again, and the
     lake's duplicate removal takes the second copy out. The same removal makes look_back safe:
@@ -27,13 +28,13 @@ def poll_once(
     lo = read_watermark(spark, state)
     reach = table.reach(lo)
     if reach.hi is None:
-        return 0
+        return reach
     start = lo
     if look_back and lo != EPOCH:
         start = str(datetime.fromisoformat(lo) - timedelta(seconds=look_back))
     topic.publish(table.slice(start, reach))
     save_watermark(spark, state, reach.hi)
-    return reach.rows
+    return reach
 
 
 def poll_until(
@@ -47,13 +48,16 @@ def poll_until(
 ) -> None:
     """Poll at the interval until the event is set; the poll under way is finished first.
 
-    A failed poll leaves the watermark where it was, so the next one repeats it.
+    A failed poll leaves the watermark where it was, so the next one repeats it. While the
+    table holds more than a poll takes, the next one follows at once.
     """
     while True:
+        more = False
         try:
-            found = poll_once(spark, table, topic, state, look_back)
-            log.info("published %d orders", found)
+            taken = poll_once(spark, table, topic, state, look_back)
+            more = taken.more
+            log.info("published %d orders", taken.rows)
         except Exception:
             log.exception("poll failed, next try in %s s", interval)
-        if stop.wait(interval):
+        if stop.wait(0 if more else interval):
             return

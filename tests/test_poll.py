@@ -32,15 +32,15 @@ def published(spark, topic):
 
 def test_only_new_rows_are_published(spark, orders, folder):
     topic, state = DirectoryTopic(folder("topic")), folder("state")
-    assert poll_once(spark, FrameTable(orders(*SEED)), topic, state) == 10
-    assert poll_once(spark, FrameTable(orders(*SEED)), topic, state) == 0
-    assert poll_once(spark, FrameTable(orders(*SEED, *MORE)), topic, state) == 5
+    assert poll_once(spark, FrameTable(orders(*SEED)), topic, state).rows == 10
+    assert poll_once(spark, FrameTable(orders(*SEED)), topic, state).rows == 0
+    assert poll_once(spark, FrameTable(orders(*SEED, *MORE)), topic, state).rows == 5
     assert published(spark, topic) == list(range(1, 16))
     assert read_watermark(spark, state) == "2025-11-18 13:00:15"
 
 
 def test_empty_table_publishes_nothing_and_keeps_the_state(spark, orders, folder, tmp_path):
-    assert poll_once(spark, FrameTable(orders()), DirectoryTopic(folder("topic")), folder("s")) == 0
+    assert poll_once(spark, FrameTable(orders()), DirectoryTopic(folder("topic")), folder("s")).rows == 0
     assert not (tmp_path / "topic").exists()
     assert read_watermark(spark, folder("s")) == EPOCH
 
@@ -100,8 +100,8 @@ LATE = [
 def test_look_back_picks_up_late_commits(spark, orders, folder, look_back, found):
     topic, state = DirectoryTopic(folder("topic")), folder("state")
     poll_once(spark, FrameTable(orders(*SEED)), topic, state, look_back)
-    assert poll_once(spark, FrameTable(orders(*SEED, *LATE)), topic, state, look_back) == 0
-    assert poll_once(spark, FrameTable(orders(*SEED, *LATE, *MORE)), topic, state, look_back) == 5
+    assert poll_once(spark, FrameTable(orders(*SEED, *LATE)), topic, state, look_back).rows == 0
+    assert poll_once(spark, FrameTable(orders(*SEED, *LATE, *MORE)), topic, state, look_back).rows == 5
     assert sorted(set(published(spark, topic))) == [*range(1, 16), *found]
 
 
@@ -127,13 +127,33 @@ def test_database_table_is_polled_in_parallel(spark, orders, folder, database):
     assert table.slice(EPOCH, reach).rdd.getNumPartitions() == 3
 
     topic, state = DirectoryTopic(folder("topic")), folder("state")
-    assert poll_once(spark, table, topic, state) == 10
+    assert poll_once(spark, table, topic, state).rows == 10
     insert(orders(*MORE))
-    assert poll_once(spark, table, topic, state) == 5
-    assert poll_once(spark, table, topic, state) == 0
+    assert poll_once(spark, table, topic, state).rows == 5
+    assert poll_once(spark, table, topic, state).rows == 0
     assert published(spark, topic) == list(range(1, 16))
 
 
+def test_a_backlog_is_taken_in_several_polls(spark, orders, folder, database):
+    url, properties, insert = database
+    tied = [order(i, "2025-11-18 12:00:05.5") for i in range(20, 26)]
+    insert(orders(*SEED, *tied))
+    table = JdbcTable(spark, url, "ORDERS", properties, rows_per_poll=6)
+    topic, state = DirectoryTopic(folder("topic")), folder("state")
+    waits = []
+
+    class FourRounds:
+        def wait(self, seconds):
+            waits.append(seconds)
+            return len(waits) == 4
+
+    taken = [r.rows for r in (table.reach(EPOCH), table.reach("2025-11-18 12:00:05.5"))]
+    assert taken == [11, 5]  # the tie at the end of the first poll comes along whole
+    poll_until(FourRounds(), spark, table, topic, state, 5)
+    assert waits == [0, 5, 5, 5]
+    assert published(spark, topic) == [*range(1, 11), *range(20, 26)]
+
+
 def test_late_commits_outside_the_id_bounds_are_still_read(spark, orders, database):
     url, properties, insert = database
     insert(orders(*[order(i) for i in range(100, 110)]))
