@@ -16,6 +16,11 @@ OK = "ok AS (SELECT * FROM wire WHERE order_id IS NOT NULL AND amount > 0)"
 POLLED = "polled AS (SELECT * FROM ok WHERE created_at IS NOT NULL)"
 
 EVENT_COLS = "order_id, customer_name, restaurant_name, item, amount, order_status, created_at"
+NO_EVENT = ", ".join(["NULL"] * 7)
+REASON = (
+    "CASE WHEN order_id IS NULL THEN 'null_order_id' WHEN amount IS NULL THEN 'null_amount' "
+    "ELSE 'non_positive_amount' END"
+)
 READBACK_COLS = "order_id, customer_name, amount, order_status, date"
 
 
@@ -60,9 +65,7 @@ def registered() -> dict[str, str]:
         "clean_orders": ok + "SELECT * FROM ok",
         "clean_count": ok + "SELECT count(*) AS n FROM ok",
         "rejects_by_reason": src
-        + "SELECT CASE WHEN order_id IS NULL THEN 'null_order_id' "
-        "WHEN amount IS NULL THEN 'null_amount' ELSE 'non_positive_amount' END AS reason, "
-        "count(*) AS n FROM src "
+        + f"SELECT {REASON} AS reason, count(*) AS n FROM src "
         "WHERE order_id IS NULL OR amount IS NULL OR amount <= 0 GROUP BY 1",
         "lake_append_by_date": ok + "SELECT * FROM ok",
         "lake_readback": ok + f"SELECT {READBACK_COLS} FROM ok",
@@ -75,6 +78,12 @@ def registered() -> dict[str, str]:
         "lake_stream_append": ok + "SELECT * FROM ok",
         "lake_incremental_two_waves": polled + "SELECT * FROM polled",
         "stream_rate_limited": ok + "SELECT * FROM ok",
+        "late_commits": polled + "SELECT * FROM polled",
+        "reject_table": wire
+        + f"SELECT {EVENT_COLS}, {REASON} AS reason, CAST(NULL AS VARCHAR) AS value FROM wire "
+        "WHERE order_id IS NULL OR amount IS NULL OR amount <= 0 "
+        f"UNION ALL SELECT {NO_EVENT}, 'null_order_id', props FROM events "
+        f"UNION ALL SELECT {NO_EVENT}, 'null_order_id', event_type FROM events",
         "dedup_replay": polled + "SELECT * FROM polled",
         "orders_per_date": per_date,
         "revenue_per_date": per_date,

@@ -15,8 +15,14 @@ from orderflow.schema import EPOCH
 from orderflow.session import scratch_dir
 from orderflow.sources.lake import append_by_date, data_files, read_lake
 from orderflow.sources.state import read_watermark
+from orderflow.sources.table import FrameTable
 from orderflow.sources.topic import DirectoryTopic
-from orderflow.streaming.ingest import clean_stream, start_append, start_unique
+from orderflow.streaming.ingest import (
+    clean_stream,
+    start_append,
+    start_rejects,
+    start_unique,
+)
 from orderflow.streaming.poll import poll_once
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -197,13 +203,18 @@ def _drain_unique(topic: DirectoryTopic, spark: SparkSession, lake: str, cp: str
     return query
 
 
-def lake_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _mixed_topic(spark: SparkSession, sf_dir: str) -> DirectoryTopic:
     """Events mixed with as many texts of another JSON shape and as many that are not JSON."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     topic = DirectoryTopic(scratch_dir(spark, "topic"))
     topic.publish(event_orders(spark, sf_dir))
     topic.publish_raw(events.select(F.col("props").alias("value")))
     topic.publish_raw(events.select(F.col("event_type").alias("value")))
+    return topic
+
+
+def lake_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    topic = _mixed_topic(spark, sf_dir)
     lake = scratch_dir(spark, "lake")
     _drain(start_append, topic, spark, lake, scratch_dir(spark, "checkpoint"))
     return _plain_time(_lake(spark, lake))
@@ -244,6 +255,34 @@ def dedup_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_time(_lake(spark, lake))
 
 
+def late_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sign-ups of the first wave commit only after its poll, behind the watermark it leaves.
+    The second poll looks back over them, and what it repeats is stored once."""
+    topic, state = DirectoryTopic(scratch_dir(spark, "topic")), scratch_dir(spark, "state")
+    lake, checkpoint = scratch_dir(spark, "lake"), scratch_dir(spark, "checkpoint")
+    in_time = event_orders(spark, sf_dir, until=WAVE_CUT).where("item <> 'signup'")
+    month = 31 * 24 * 3600
+    for table in (FrameTable(in_time), EventTable(spark, sf_dir)):
+        poll_once(spark, table, topic, state, look_back=month)
+        _drain_unique(topic, spark, lake, checkpoint)
+    return _plain_time(_lake(spark, lake))
+
+
+def reject_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything the cleaning leaves out of a topic of events, other JSON and plain words.
+
+    An event's own JSON text is not compared, since writers space it differently.
+    """
+    topic = _mixed_topic(spark, sf_dir)
+    path = scratch_dir(spark, "rejects")
+    query = start_rejects(
+        topic.stream(spark), path, scratch_dir(spark, "checkpoint"), ID_TYPE, availableNow=True
+    )
+    query.awaitTermination()
+    other_text = F.when(~F.col("value").startswith('{"order_id"'), F.col("value"))
+    return spark.read.parquet(path).withColumn("value", other_text)
+
+
 # --- reports and checks --------------------------------------------------------------------
 
 
@@ -317,6 +356,8 @@ def registered() -> dict[str, Query]:
         "lake_incremental_two_waves": lake_incremental_two_waves,
         "stream_rate_limited": stream_rate_limited,
         "dedup_replay": dedup_replay,
+        "late_commits": late_commits,
+        "reject_table": reject_table,
         "orders_per_date": orders_per_date,
         "revenue_per_date": revenue_per_date,
         "distinct_dates": distinct_dates,
