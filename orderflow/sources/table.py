@@ -76,20 +76,20 @@ class JdbcTable:
 
     def reach(self, lo: str) -> Reach:
         rows = f"FROM {self.table} WHERE created_at > '{_checked(lo)}'"
-        whole = self._extent(rows)
-        if whole.rows <= self.rows_per_poll:
-            return whole
-        # The row this far down the index on created_at ends the poll; its ties come along.
-        end = (
+        # The row this far down the index on created_at ends the poll; its ties come along. The
+        # rest of the backlog is neither read nor counted.
+        last = (
             self.query(
                 f"SELECT created_at AS hi {rows} ORDER BY created_at "
                 f"OFFSET {self.rows_per_poll - 1} ROWS FETCH NEXT 1 ROWS ONLY"
             )
             .toDF("hi")
             .selectExpr("cast(hi AS string) AS hi")
-            .first()["hi"]
+            .first()
         )
-        return replace(self._extent(f"{rows} AND created_at <= '{end}'"), more=end != whole.hi)
+        if last is None:
+            return self._extent(rows)
+        return replace(self._extent(f"{rows} AND created_at <= '{last['hi']}'"), more=True)
 
     def reach_to(self, hi: str) -> Reach:
         """Everything up to a watermark, however much it is."""
