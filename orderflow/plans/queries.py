@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -237,7 +238,7 @@ def stream_rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
     spread = F.hash("customer_name", "created_at", "amount")
     topic.publish(event_orders(spark, sf_dir).repartition(tasks, spread))
     files = data_files(spark, topic.path, "txt").first()["n_files"]
-    topic.options["maxFilesPerTrigger"] = str(max(1, files // 5))
+    topic.options["maxFilesPerTrigger"] = str(math.ceil(files / 5))
     lake = scratch_dir(spark, "lake")
     _drain(start_append, topic, spark, lake, scratch_dir(spark, "checkpoint"))
     return _plain_time(_lake(spark, lake))
