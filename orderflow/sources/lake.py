@@ -40,16 +40,19 @@ def read_lake(
     return spark.read.format(fmt).schema(lake_schema(id_type)).load(path)
 
 
-def read_lake_days(
+def find_lake(
     spark: SparkSession,
     path: str,
-    days: list[str | None],
+    days: list[str | None] | None = None,
     fmt: str = "parquet",
     id_type: str = DEFAULT_ID_TYPE,
 ) -> DataFrame | None:
-    """The given days of the lake, listing no other folder; None when it holds none of them."""
-    folders = ",".join(f"date={day or NULL_DATE}" for day in days)
+    """The lake, or the given days of it without listing any other folder; None when there is
+    no such folder yet."""
     reader = spark.read.format(fmt).schema(lake_schema(id_type)).option("basePath", path)
+    if days is None:
+        return load_if_any(reader, path)
+    folders = ",".join(f"date={day or NULL_DATE}" for day in days)
     return load_if_any(reader, f"{path}/{{{folders}}}")
 
 
