@@ -1,7 +1,7 @@
 """The relational table as a polled source.
 
-Both classes answer two questions: how far does the table reach beyond a watermark, and which
-rows lie in a bounded slice. The upper end is fixed before any row is read, so a row inserted
+A table answers two questions: how far does it reach beyond a watermark, and which rows lie in a
+bounded slice. The upper end is fixed before any row is read, so a row inserted
 while a poll runs is left to the next poll instead of being skipped.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field, replace
 from datetime import datetime
+from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +30,14 @@ class Reach:
     more: bool = False
 
 
+class OrderTable(Protocol):
+    """What the poller asks of a table."""
+
+    def reach(self, lo: str) -> Reach: ...
+
+    def slice(self, lo: str, reach: Reach) -> DataFrame: ...
+
+
 class FrameTable:
     """Any DataFrame with the order columns; its filters reach a Parquet scan by themselves."""
 

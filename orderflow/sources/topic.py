@@ -6,12 +6,21 @@ Both forms carry one event per record in a column called value.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 
 from orderflow.operators.events import encode
 
 
+class Topic(Protocol):
+    """What poller and stream ask of a topic."""
+
+    def publish(self, orders: DataFrame) -> None: ...
+
+    def stream(self, spark: SparkSession) -> DataFrame: ...
+
+
 # A backlog is worked off in batches that commit one by one, and a crowded topic partition is
 # read by several tasks. Both only say how the records are cut up; all of them are read.
 READ_LIMITS = {"maxOffsetsPerTrigger": "100000000", "maxRecordsPerPartition": "1000000"}
@@ -69,7 +78,7 @@ class DirectoryTopic:
         return spark.read.text(self.path)
 
 
-def configured_topic(config: dict) -> KafkaTopic | DirectoryTopic:
+def configured_topic(config: dict) -> Topic:
     kafka = config["kafka"]
     options = dict(kafka.get("options") or {})
     if "directory" in kafka:

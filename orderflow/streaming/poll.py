@@ -10,13 +10,14 @@ from pyspark.sql import SparkSession
 
 from orderflow.schema import EPOCH
 from orderflow.sources.state import read_watermark, save_watermark
-from orderflow.sources.table import Reach
+from orderflow.sources.table import OrderTable, Reach
+from orderflow.sources.topic import Topic
 
 log = logging.getLogger(__name__)
 
 
 def poll_once(
-    spark: SparkSession, table, topic, state: str, look_back: float = 0
+    spark: SparkSession, table: OrderTable, topic: Topic, state: str, look_back: float = 0
 ) -> Reach:
     """Publish what is new and move the watermark; returns what the poll took.
 
@@ -40,8 +41,8 @@ def poll_once(
 def poll_until(
     stop: threading.Event,
     spark: SparkSession,
-    table,
-    topic,
+    table: OrderTable,
+    topic: Topic,
     state: str,
     interval: float,
     look_back: float = 0,
