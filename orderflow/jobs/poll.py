@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import argparse
-import logging
 import threading
 
 from orderflow.config import load_config
@@ -17,8 +16,6 @@ def main(argv: list[str] | None = None, stop: threading.Event | None = None) ->
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--config", required=True)
     config = load_config(parser.parse_args(argv).config)
-    logging.basicConfig(level=logging.INFO)
-
     spark = job_session("orderflow-poll")
     streaming = config["streaming"]
     try:

@@ -62,8 +62,6 @@ def main(argv: list[str] | None = None, **trigger) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--config", required=True)
     config = load_config(parser.parse_args(argv).config)
-    logging.basicConfig(level=logging.INFO)
-
     spark = job_session("orderflow-stream")
     spark.streams.addListener(QualityLog())
     stop = stop_on_signal()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import signal
 import tempfile
 import threading
@@ -14,12 +15,16 @@ def job_session(app_name: str) -> SparkSession:
     """Event times are wall-clock text stamped with a literal Z, so the jobs run in UTC.
 
     Adaptive execution is what splits a hot date and merges tiny ones when the lake is written.
+    Timestamps are stored as 64-bit microseconds, which have row group statistics.
     Master, memory and connector packages belong to spark-submit.
     """
+    logging.basicConfig(level=logging.INFO)
+    logging.getLogger("py4j").setLevel(logging.WARNING)
     return (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
         .getOrCreate()
     )
 

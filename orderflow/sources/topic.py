@@ -28,7 +28,8 @@ READ_LIMITS = {"maxOffsetsPerTrigger": "100000000", "maxRecordsPerPartition": "1
 
 @dataclass
 class KafkaTopic:
-    """options go to the reader and take precedence over READ_LIMITS."""
+    """options go to the reader and take precedence over READ_LIMITS; those that start with
+    "kafka.", such as security settings, go to the writer as well."""
 
     brokers: str
     name: str
@@ -38,11 +39,14 @@ class KafkaTopic:
         (
             encode(orders)
             .write.format("kafka")
-            .option("kafka.bootstrap.servers", self.brokers)
-            .option("topic", self.name)
+            .options(**self.write_options())
             .save()
         )
 
+    def write_options(self) -> dict:
+        client = {k: v for k, v in self.options.items() if k.startswith("kafka.")}
+        return {"kafka.bootstrap.servers": self.brokers, "topic": self.name, **client}
+
     def read_options(self) -> dict:
         return {
             "kafka.bootstrap.servers": self.brokers,

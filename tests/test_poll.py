@@ -187,15 +187,22 @@ def test_watermarks_cannot_carry_sql(spark, database):
 
 def test_topic_forms():
     kafka = {"brokers": "broker:9092", "topic": "orders_raw"}
-    topic = configured_topic({"kafka": {**kafka, "options": {"maxOffsetsPerTrigger": "500000"}}})
+    options = {"maxOffsetsPerTrigger": "5", "kafka.security.protocol": "SSL"}
+    topic = configured_topic({"kafka": {**kafka, "options": options}})
     assert isinstance(topic, KafkaTopic)
     assert topic.read_options() == {
         "kafka.bootstrap.servers": "broker:9092",
         "subscribe": "orders_raw",
         "startingOffsets": "earliest",
         "failOnDataLoss": "false",
-        "maxOffsetsPerTrigger": "500000",
+        "maxOffsetsPerTrigger": "5",
         "maxRecordsPerPartition": "1000000",
+        "kafka.security.protocol": "SSL",
+    }
+    assert topic.write_options() == {
+        "kafka.bootstrap.servers": "broker:9092",
+        "topic": "orders_raw",
+        "kafka.security.protocol": "SSL",
     }
     assert configured_topic({"kafka": {**kafka, "directory": "/x"}}) == DirectoryTopic("/x")
 
