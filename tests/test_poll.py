@@ -30,11 +30,15 @@ def published(spark, topic):
     return ids(decode(topic.read(spark)))
 
 
-def test_only_new_rows_are_published(spark, orders, folder):
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+def test_only_new_rows_are_published(spark, orders, folder, kind):
+    def table(*rows):
+        return FrameTable(orders(*rows).withColumn("created_at", F.col("created_at").cast(kind)))
+
     topic, state = DirectoryTopic(folder("topic")), folder("state")
-    assert poll_once(spark, FrameTable(orders(*SEED)), topic, state).rows == 10
-    assert poll_once(spark, FrameTable(orders(*SEED)), topic, state).rows == 0
-    assert poll_once(spark, FrameTable(orders(*SEED, *MORE)), topic, state).rows == 5
+    assert poll_once(spark, table(*SEED), topic, state).rows == 10
+    assert poll_once(spark, table(*SEED), topic, state).rows == 0
+    assert poll_once(spark, table(*SEED, *MORE), topic, state).rows == 5
     assert published(spark, topic) == list(range(1, 16))
     assert read_watermark(spark, state) == "2025-11-18 13:00:15"
 
