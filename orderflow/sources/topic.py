@@ -22,13 +22,14 @@ class Topic(Protocol):
 
 
 # A backlog is worked off in batches that commit one by one, and a crowded topic partition is
-# read by several tasks. Both only say how the records are cut up; all of them are read.
-READ_LIMITS = {"maxOffsetsPerTrigger": "100000000", "maxRecordsPerPartition": "1000000"}
+# read by several tasks. The limits only say how the records are cut up; all of them are read.
+TOPIC_LIMITS = {"maxOffsetsPerTrigger": "100000000", "maxRecordsPerPartition": "1000000"}
+DIRECTORY_LIMITS = {"maxFilesPerTrigger": "10000"}
 
 
 @dataclass
 class KafkaTopic:
-    """options go to the reader and take precedence over READ_LIMITS; those that start with
+    """options go to the reader and take precedence over TOPIC_LIMITS; those that start with
     "kafka.", such as security settings, go to the writer as well."""
 
     brokers: str
@@ -53,7 +54,7 @@ class KafkaTopic:
             "subscribe": self.name,
             "startingOffsets": "earliest",
             "failOnDataLoss": "false",
-            **READ_LIMITS,
+            **TOPIC_LIMITS,
             **self.options,
         }
 
@@ -64,7 +65,7 @@ class KafkaTopic:
 
 @dataclass
 class DirectoryTopic:
-    """options, e.g. maxFilesPerTrigger, go to the reader."""
+    """options go to the reader and take precedence over DIRECTORY_LIMITS."""
 
     path: str
     options: dict = field(default_factory=dict)
@@ -76,7 +77,7 @@ class DirectoryTopic:
         values.select("value").write.mode("append").text(self.path)
 
     def stream(self, spark: SparkSession) -> DataFrame:
-        return spark.readStream.options(**self.options).text(self.path)
+        return spark.readStream.options(**{**DIRECTORY_LIMITS, **self.options}).text(self.path)
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.text(self.path)
