@@ -35,14 +35,11 @@ class KafkaTopic:
     brokers: str
     name: str
     options: dict = field(default_factory=dict)
+    connector: str = "kafka"
 
     def publish(self, orders: DataFrame) -> None:
-        (
-            encode(orders)
-            .write.format("kafka")
-            .options(**self.write_options())
-            .save()
-        )
+        writer = encode(orders).write.format(self.connector)
+        writer.options(**self.write_options()).mode("append").save()
 
     def write_options(self) -> dict:
         client = {k: v for k, v in self.options.items() if k.startswith("kafka.")}
@@ -59,7 +56,7 @@ class KafkaTopic:
         }
 
     def stream(self, spark: SparkSession) -> DataFrame:
-        reader = spark.readStream.format("kafka").options(**self.read_options())
+        reader = spark.readStream.format(self.connector).options(**self.read_options())
         return reader.load().select("value")
 
 

@@ -1,0 +1,118 @@
+"""The Kafka form against a stand-in for the connector.
+
+There is no connector and no broker here. The stand-in keeps records in a folder and hands them
+out by offset, with the connector's columns and the options it insists on.
+"""
+
+import os
+import uuid
+
+import pytest
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceStreamReader,
+    DataSourceWriter,
+    InputPartition,
+    WriterCommitMessage,
+)
+
+from orderflow.sources.lake import read_lake
+from orderflow.sources.topic import KafkaTopic
+from orderflow.streaming.ingest import clean_stream, start_unique
+from tests.samples import ids, order
+
+
+class StandIn(DataSource):
+    @classmethod
+    def name(cls):
+        return "kafka_stand_in"
+
+    def schema(self):
+        return "key binary, value binary, topic string, partition int, offset bigint"
+
+    def writer(self, schema, overwrite):
+        return Writer(self.options)
+
+    def streamReader(self, schema):
+        return Reader(self.options)
+
+
+def folder_of(options, topic):
+    # The brokers name the folder: the stand-in's only use of them.
+    return os.path.join(options["kafka.bootstrap.servers"], topic)
+
+
+class Writer(DataSourceWriter):
+    def __init__(self, options):
+        self.folder = folder_of(options, options["topic"])
+
+    def write(self, rows):
+        os.makedirs(self.folder, exist_ok=True)
+        for row in rows:
+            with open(os.path.join(self.folder, uuid.uuid4().hex), "w", encoding="utf-8") as f:
+                f.write(row["value"])
+        return WriterCommitMessage()
+
+    def commit(self, messages):
+        pass
+
+    def abort(self, messages):
+        pass
+
+
+class Span(InputPartition):
+    def __init__(self, start, end):
+        self.start, self.end = start, end
+
+
+class Reader(DataSourceStreamReader):
+    def __init__(self, options):
+        assert options["startingOffsets"] == "earliest"
+        assert options["failOnDataLoss"] == "false"
+        self.topic = options["subscribe"]
+        self.folder = folder_of(options, self.topic)
+
+    def records(self):
+        """Oldest first, so that an offset keeps its record when others arrive."""
+        paths = [os.path.join(self.folder, name) for name in os.listdir(self.folder)]
+        return sorted(paths, key=lambda p: (os.stat(p).st_mtime_ns, p))
+
+    def initialOffset(self):
+        return {"at": 0}
+
+    def latestOffset(self):
+        return {"at": len(self.records())}
+
+    def partitions(self, start, end):
+        return [Span(start["at"], end["at"])]
+
+    def read(self, span):
+        for at, path in enumerate(self.records()[span.start : span.end], span.start):
+            with open(path, "rb") as f:
+                yield (None, f.read(), self.topic, 0, at)
+
+    def commit(self, end):
+        pass
+
+
+@pytest.fixture
+def topic(spark, tmp_path):
+    spark.dataSource.register(StandIn)
+    return KafkaTopic(str(tmp_path), "orders_raw", connector=StandIn.name())
+
+
+def test_events_go_through_the_topic_once(spark, orders, topic, folder):
+    def drain():
+        stream = clean_stream(topic.stream(spark))
+        query = start_unique(stream, folder("lake"), folder("cp"), processingTime="1 second")
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+        return ids(read_lake(spark, folder("lake")))
+
+    first = [order(i) for i in range(5)]
+    topic.publish(orders(*first, order(None), order(9, amount="-1.00")))
+    assert drain() == list(range(5))
+    topic.publish(orders(*first, *[order(i) for i in range(5, 8)]))
+    assert drain() == list(range(8))
