@@ -21,12 +21,18 @@ def by_date(orders: DataFrame) -> DataFrame:
     return orders.hint("rebalance", "date")
 
 
-def append_by_date(orders: DataFrame, path: str, fmt: str = "parquet") -> None:
+def append_by_date(
+    orders: DataFrame, path: str, fmt: str = "parquet", tasks: int | None = None
+) -> None:
     """Append cleaned orders. The writer sorts by day anyway; sorting by id as well gives row
-    groups narrow id ranges, which lookups by id and the search for known ids skip on."""
+    groups narrow id ranges, which lookups by id and the search for known ids skip on.
+
+    tasks spreads the days evenly over so many tasks, for a caller who knows that no day is
+    large: with many thin days, opening the files is the work, not filling them.
+    """
+    spread = orders.repartition(tasks, "date") if tasks else by_date(orders)
     (
-        by_date(orders)
-        .sortWithinPartitions("date", "order_id")
+        spread.sortWithinPartitions("date", "order_id")
         .write.mode("append")
         .format(fmt)
         .partitionBy("date")
