@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from orderflow.plans.views import ID_TYPE, EventTable, event_orders, shop_orders
 from orderflow.schema import EPOCH
 from orderflow.session import scratch_dir
 from orderflow.sources.lake import append_by_date, data_files, read_lake
+from orderflow.sources.paths import path_exists
 from orderflow.sources.state import read_watermark
 from orderflow.sources.table import FrameTable
 from orderflow.sources.topic import DirectoryTopic
@@ -58,7 +60,7 @@ _built: dict[tuple[str, str], str] = {}
 def _event_lake_path(spark: SparkSession, sf_dir: str) -> str:
     """The lake of all event orders, written once per session and read by several queries."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _built:
+    if key not in _built or not path_exists(spark, f"{_built[key]}/_SUCCESS"):
         path = scratch_dir(spark, "lake")
         append_by_date(_cleaned(spark, sf_dir), path)
         _built[key] = path
@@ -189,19 +191,15 @@ def reconcile_source_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming -----------------------------------------------------------------------------
 
 
-def _drain(start: Callable, topic: DirectoryTopic, spark: SparkSession, lake: str, cp: str):
+def _drain(
+    start: Callable, topic: DirectoryTopic, spark: SparkSession, lake: str, checkpoint: str
+) -> None:
     """Run a stream over what the topic holds now, until it is used up."""
-    query = start(clean_stream(topic.stream(spark), ID_TYPE), lake, cp, availableNow=True)
-    query.awaitTermination()
-    return query
+    orders = clean_stream(topic.stream(spark), ID_TYPE)
+    start(orders, lake, checkpoint, availableNow=True).awaitTermination()
 
 
-def _drain_unique(topic: DirectoryTopic, spark: SparkSession, lake: str, cp: str):
-    query = start_unique(
-        clean_stream(topic.stream(spark), ID_TYPE), lake, cp, id_type=ID_TYPE, availableNow=True
-    )
-    query.awaitTermination()
-    return query
+_start_unique = partial(start_unique, id_type=ID_TYPE)
 
 
 def _mixed_topic(spark: SparkSession, sf_dir: str) -> DirectoryTopic:
@@ -252,7 +250,7 @@ def dedup_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = increment(event_orders(spark, sf_dir, after=WAVE_CUT), WAVE_CUT)
     for wave in (first, second, first):
         topic.publish(wave)
-        _drain_unique(topic, spark, lake, checkpoint)
+        _drain(_start_unique, topic, spark, lake, checkpoint)
     return _plain_time(_lake(spark, lake))
 
 
@@ -265,7 +263,7 @@ def late_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     month = 31 * 24 * 3600
     for table in (FrameTable(in_time), EventTable(spark, sf_dir)):
         poll_once(spark, table, topic, state, look_back=month)
-        _drain_unique(topic, spark, lake, checkpoint)
+        _drain(_start_unique, topic, spark, lake, checkpoint)
     return _plain_time(_lake(spark, lake))
 
 

@@ -41,6 +41,18 @@ def test_file_count(spark):
     assert row["n_files"] == len(list(Path(lake).rglob("*.parquet"))) >= 31
 
 
+def test_a_shared_lake_that_was_cleared_is_written_again(spark):
+    key = (spark.sparkContext.applicationId, SF_DIR)
+    contract.queries()["lake_count"](spark, SF_DIR)
+    known = queries._built[key]
+    contract.queries()["lake_count"](spark, SF_DIR)
+    assert queries._built[key] == known
+    queries._built[key] = "/nowhere"
+    (row,) = contract.queries()["lake_count"](spark, SF_DIR).collect()
+    assert row["n"] > 0
+    assert queries._built[key] not in (known, "/nowhere")
+
+
 def test_flagship(spark):
     frame = contract.entry(spark)
     assert frame.columns == ["date", "n", "amt"]
