@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from orderflow.operators.events import decode
 from orderflow.schema import EPOCH, ORDER_COLS, STATUSES, table_schema
 from orderflow.sources.state import read_watermark
-from orderflow.sources.table import FrameTable, JdbcTable
+from orderflow.sources.table import FrameTable, JdbcTable, Reach
 from orderflow.sources.topic import DirectoryTopic, KafkaTopic, configured_topic
 from orderflow.streaming import poll
 from orderflow.streaming.poll import poll_once, poll_until
@@ -138,6 +138,19 @@ def test_database_table_is_polled_in_parallel(spark, orders, folder, database):
     assert published(spark, topic) == list(range(1, 16))
 
 
+def test_a_database_table_without_times_has_nothing_to_poll(spark, orders, folder, database):
+    url, properties, insert = database
+    insert(orders())
+    table, topic = JdbcTable(spark, url, "ORDERS", properties), DirectoryTopic(folder("topic"))
+    for _ in range(2):
+        assert table.reach(EPOCH) == Reach(None, 0)
+        assert poll_once(spark, table, topic, folder("state")).rows == 0
+        assert table.slice(EPOCH, table.reach_to(EPOCH)).count() == 0
+        insert(orders(order(1, None)))
+    assert table.never_polled().first()["never_polled"] == 2
+    assert read_watermark(spark, folder("state")) == EPOCH
+
+
 def test_a_backlog_is_taken_in_several_polls(spark, orders, folder, database):
     url, properties, insert = database
     tied = [order(i, "2025-11-18 12:00:05.5") for i in range(20, 26)]
