@@ -24,10 +24,9 @@ from pyspark.sql import DataFrame
 from orderflow.llm.common import map_batches, texts_of
 from orderflow.llm.words import blocks, column_bytes
 
-# Distinct chunks a worker keeps between groups of texts; characters of a group; pre-token bytes
-# merged at a time; a longer pre-token gets a queue of its own.
-CACHED = 500_000
-GROUP_CHARS = 4 << 20
+# Distinct chunks a worker keeps between groups of texts; pre-token bytes merged at a time; a
+# longer pre-token gets a queue of its own.
+CACHED = 200_000
 MERGED_BYTES = 2 << 20
 LONG_PIECE = 1 << 12
 # White space other than the space and the line break.
@@ -251,19 +250,9 @@ class Vocabulary:
             return ["\n" + text]
         return ("\n" + text).split(" ")
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
+    def encode_group(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        out, at = [], 0
-        while at < len(texts):
-            group, total = [], 0
-            while at < len(texts) and total < GROUP_CHARS:
-                group.append(self._parts(texts[at]))
-                total += len(texts[at])
-                at += 1
-            out += self._encode_group(group)
-        return out
-
-    def _encode_group(self, group: list[list[str]]) -> list[bytes]:
+        group = [self._parts(text) for text in texts]
         chunks, find = self.chunks, self.find
         fresh = set().union(*group).difference(chunks)
         # A chunk stands for itself behind the space it was cut at, or, marked by a line break,
@@ -325,8 +314,11 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         vocabulary = _vocabulary(rank_file.value, pattern)
         for batch in batches:
-            ids = vocabulary.encode_all(batch["text"].to_pylist())
-            yield {"doc_id": batch["doc_id"], "ids": ids}
+            _, offsets = column_bytes(batch["text"])
+            for at, upto in blocks(offsets):
+                part = batch.slice(at, upto - at)
+                ids = vocabulary.encode_group(part["text"].to_pylist())
+                yield {"doc_id": part["doc_id"], "ids": ids}
 
     return map_batches(texts_of(docs, id_col, text_col), run, "doc_id long, ids binary")
 
@@ -340,12 +332,11 @@ def decode(encoded: DataFrame, rank_path: str, pattern: str) -> DataFrame:
         vocabulary = _vocabulary(rank_file.value, pattern)
         for batch in batches:
             data, offsets = column_bytes(batch["ids"].fill_null(b""))
-            decoded = []
             for at, upto in blocks(offsets):
-                ids = data[offsets[at] : offsets[upto]].tobytes()
-                counts = np.diff(offsets[at : upto + 1]) // 4
-                decoded += vocabulary.decode_all(np.frombuffer(ids, "<u4"), counts)
-            yield {"doc_id": batch["doc_id"], "ids": batch["ids"], "decoded": decoded}
+                part = batch.slice(at, upto - at)
+                ids = np.frombuffer(data[offsets[at] : offsets[upto]].tobytes(), "<u4")
+                decoded = vocabulary.decode_all(ids, np.diff(offsets[at : upto + 1]) // 4)
+                yield {"doc_id": part["doc_id"], "ids": part["ids"], "decoded": decoded}
 
     return map_batches(
         encoded.select("doc_id", "ids"), run, "doc_id long, ids binary, decoded binary"
