@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -74,6 +75,30 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@dataclass(frozen=True)
+class Ranges:
+    """Ranges of a long, numbered from 0 up: range r holds what exceeds r of the cuts."""
+
+    cuts: tuple[int, ...]
+
+    @property
+    def width(self) -> int:
+        return len(self.cuts) + 1
+
+    def of(self, key: Column) -> Column:
+        cuts = F.array(*[F.lit(cut) for cut in self.cuts]).cast("array<long>")
+        return F.size(F.filter(cuts, lambda cut: key > cut))
+
+
+def ranges(df: DataFrame, key: Column) -> Ranges:
+    """Ranges of about equal numbers of rows, as many as there are shuffle partitions; the driver
+    gets the cuts."""
+    width = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    shares = [number / width for number in range(1, width)]
+    cuts = df.select(F.percentile_approx(key, shares, 10000).alias("c")).first()["c"]
+    return Ranges(tuple(sorted(set(cuts or []))))
+
+
 class Bitmap:
     """A set of 64-bit hashes as a fixed number of bits, small enough to broadcast at any size.
 

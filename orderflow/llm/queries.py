@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import bpe
+from orderflow.llm import bpe, fingerprints, pii, quality, sharding, tokens
 from orderflow.llm.common import read_table
+from orderflow.session import scratch_dir
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -25,5 +27,64 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_with_next(read_table(spark, sf_dir, "documents"))
+
+
+SHARDS = [f"shard-{number:02d}" for number in range(64)]
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    placed = sharding.place(docs.select("doc_id", "source"), "doc_id", SHARDS)
+    return placed.select("doc_id", "source", "slot", "shard")
+
+
+def op7_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "tokens")
+    tokens.write(read_table(spark, sf_dir, "documents"), WORD_BPE, path)
+    docs = tokens.read(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return tokens.located(docs, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(read_table(spark, sf_dir, "documents"))
+    base = pii.of_kind(F.col("spans"), "email", "ip", "card", "phone")
+    counts = [
+        F.size(pii.of_kind(F.col("spans"), kind)).cast("long").alias(f"n_{kind}")
+        for kind in ("email", "ip", "card", "phone")
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.listed(base), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
+def quality_model(spark: SparkSession, sf_dir: str) -> quality.Model:
+    """Learned without fold 0 of the labels."""
+    labels = read_table(spark, sf_dir, "labels").where(quality.fold(F.col("doc_id")) != 0)
+    return quality.train(read_table(spark, sf_dir, "documents"), labels, "quality")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality_model(spark, sf_dir))
+    return scored.select(
+        "doc_id",
+        (quality.fold(F.col("doc_id")) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.KEPT_SCORE).cast("int").alias("predicted"),
+    )
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_byte_bpe": op1_byte_bpe}
+    return {
+        "op1_byte_bpe": op1_byte_bpe,
+        "op2_lz_fingerprint": op2_lz_fingerprint,
+        "op4_sharding": op4_sharding,
+        "op7_repair_tokens": op7_repair_tokens,
+        "op8_pii": op8_pii,
+        "op10_quality": op10_quality,
+    }

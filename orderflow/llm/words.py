@@ -76,10 +76,11 @@ _LOWER[65:91] += 32
 
 @dataclass
 class Words:
-    """Words of the texts of a block: word i is data[starts[i]:ends[i]]; those of text d are
-    first[d] to first[d + 1]."""
+    """Words of the texts of a block: text d is data[offsets[d]:offsets[d + 1]], word i is
+    data[starts[i]:ends[i]], and the words of text d are first[d] to first[d + 1]."""
 
     data: np.ndarray
+    offsets: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
     first: np.ndarray
@@ -106,7 +107,7 @@ def split_words(
     starts = np.flatnonzero(inside & fresh)
     last = np.concatenate([fresh[1:] | ~inside[1:], [False]])
     ends = np.flatnonzero(inside & last) + 1
-    return Words(data, starts, ends, np.searchsorted(starts, offsets))
+    return Words(data, offsets, starts, ends, np.searchsorted(starts, offsets))
 
 
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
