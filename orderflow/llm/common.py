@@ -116,13 +116,17 @@ class Bitmap:
         words = (
             df.select(F.shiftright(key, 6).cast("int").alias("w"), (key % 64).cast("int").alias("b"))
             .groupBy("w")
-            .agg(F.bit_or(F.shiftleft(F.lit(1).cast("long"), F.col("b"))).alias("v"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("v"))
             .toArrow()
         )
         table = np.zeros(1 << (bits - 6), np.int64)
         table[words["w"].to_numpy()] = words["v"].to_numpy()
         return cls(table.view(np.uint64), bits)
 
+    @classmethod
+    def none(cls) -> Bitmap:
+        return cls(np.zeros(1, np.uint64), 6)
+
     def has(self, hashes: np.ndarray) -> np.ndarray:
         key = hashes.astype(np.uint64, copy=False) >> np.uint64(64 - self.bits)
         word = self.words[(key >> np.uint64(6)).astype(np.int64)]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import bpe, fingerprints, pii, quality, sharding, tokens
+from orderflow.llm import bpe, fingerprints, jaccard, pii, quality, sharding, tokens
 from orderflow.llm.common import read_table
 from orderflow.session import scratch_dir
 
@@ -40,6 +40,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "source", "slot", "shard")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = jaccard.join(read_table(spark, sf_dir, "documents"), size=4, percent=85)
+    return joined.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op7_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "tokens")
     tokens.write(read_table(spark, sf_dir, "documents"), WORD_BPE, path)
@@ -84,6 +89,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_byte_bpe": op1_byte_bpe,
         "op2_lz_fingerprint": op2_lz_fingerprint,
         "op4_sharding": op4_sharding,
+        "op5_jaccard_join": op5_jaccard_join,
         "op7_repair_tokens": op7_repair_tokens,
         "op8_pii": op8_pii,
         "op10_quality": op10_quality,
