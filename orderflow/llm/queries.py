@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import bpe, fingerprints, jaccard, pii, quality, sharding, tokens
+from orderflow.llm import bpe, fingerprints, jaccard, pii, quality, repeats, sharding, tokens
 from orderflow.llm.common import read_table
 from orderflow.session import scratch_dir
 
@@ -67,6 +67,11 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeats.remove(read_table(spark, sf_dir, "documents"), min_words=35)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def quality_model(spark: SparkSession, sf_dir: str) -> quality.Model:
     """Learned without fold 0 of the labels."""
     labels = read_table(spark, sf_dir, "labels").where(quality.fold(F.col("doc_id")) != 0)
@@ -92,5 +97,6 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_jaccard_join": op5_jaccard_join,
         "op7_repair_tokens": op7_repair_tokens,
         "op8_pii": op8_pii,
+        "op9_substring_dedup": op9_substring_dedup,
         "op10_quality": op10_quality,
     }
