@@ -36,9 +36,7 @@ def map_batches(
     Workers import this package. On a cluster it is installed or passed with --py-files; a
     session on this machine is told where it lies.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.master.startswith("local["):
-        spark.sparkContext.environment.setdefault("PYTHONPATH", PACKAGE_ROOT)
+    _let_workers_import(df.sparkSession)
     names = [field.split()[0] for field in schema.split(", ")]
     types = {name: _arrow_type(field.split()[1]) for name, field in zip(names, schema.split(", "))}
 
@@ -55,6 +53,22 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+def filter_rows(df: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
+    """The rows of df, with all columns, for which keep says true."""
+    _let_workers_import(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(keep(batch), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def _let_workers_import(spark: SparkSession) -> None:
+    if spark.sparkContext.master.startswith("local["):
+        spark.sparkContext.environment.setdefault("PYTHONPATH", PACKAGE_ROOT)
+
+
 def _arrow_type(name: str) -> pa.DataType:
     return {
         "long": pa.int64(),

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import bpe, fingerprints, jaccard, pii, quality, repeats, sharding, tokens
+from orderflow.llm import bpe, decontaminate, fingerprints, jaccard, pii, quality, repeats, sharding, tokens
 from orderflow.llm.common import read_table
 from orderflow.session import scratch_dir
 
@@ -31,6 +31,11 @@ def op2_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_with_next(read_table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return decontaminate.find(docs, items)
+
+
 SHARDS = [f"shard-{number:02d}" for number in range(64)]
 
 
@@ -93,6 +98,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
         "op2_lz_fingerprint": op2_lz_fingerprint,
+        "op3_decontamination": op3_decontamination,
         "op4_sharding": op4_sharding,
         "op5_jaccard_join": op5_jaccard_join,
         "op7_repair_tokens": op7_repair_tokens,
