@@ -198,10 +198,31 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     spans; an empty table gives an empty one; other columns are left out. Spans of different
     kinds may overlap.
     """
+    return _with_spans(texts_of(docs, id_col, text_col), ["doc_id"])
+
+
+def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """docs with its columns, spans in the text replaced by their kinds; a null text stays null."""
+    carried = [f"carried_{number}" for number in range(len(docs.columns))]
+    held = docs.select(
+        *[docs[name].alias(other) for name, other in zip(docs.columns, carried)],
+        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"),
+    )
+    found = _with_spans(held, carried)
+    clean = redacted(F.col("text"), F.col("spans"))
+    return found.select(
+        *[
+            (F.when(F.col(c).isNotNull(), clean) if name == text_col else F.col(c)).alias(name)
+            for name, c in zip(docs.columns, carried)
+        ]
+    )
+
+
+def _with_spans(df: DataFrame, carried: list[str]) -> DataFrame:
+    """The carried columns, text and spans."""
     text, digit = F.col("text"), F.col("has_digit")
     nothing = F.array().cast("array<string>")
-    df = texts_of(docs, id_col, text_col)
-    df = _computed(df, ["doc_id", "text"], {"has_digit": text.rlike("[0-9]")})
+    df = _computed(df, [*carried, "text"], {"has_digit": text.rlike("[0-9]")})
     hits = {}
     for kind in KINDS:
         gate = F.lit(True) if kind.name == "email" else digit
@@ -209,7 +230,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             gate = gate & F.contains(text, F.lit(kind.cue))
         found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
         hits[f"hits_{kind.name}"] = F.when(gate, found).otherwise(nothing)
-    df = _computed(df, ["doc_id", "text"], hits)
+    df = _computed(df, [*carried, "text"], hits)
     none = F.array().cast("array<int>")
     steps = (
         ("sizes", _sizes),
@@ -219,7 +240,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             lambda kind: _hit_starts(F.col(f"sizes_{kind.name}"), F.col(f"blocks_{kind.name}")),
         ),
     )
-    kept = ["doc_id", "text", *hits]
+    kept = [*carried, "text", *hits]
     for step, made in steps:
         columns = {
             f"{step}_{kind.name}": F.when(F.size(f"hits_{kind.name}") > 0, made(kind)).otherwise(none)
@@ -228,7 +249,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         df = _computed(df, kept, columns)
         kept += columns
     spans = F.concat(*[_spans(order, kind) for order, kind in enumerate(KINDS)])
-    return _computed(df, ["doc_id", "text"], {"spans": F.array_sort(spans)})
+    return _computed(df, [*carried, "text"], {"spans": F.array_sort(spans)})
 
 
 def listed(spans: Column) -> Column:

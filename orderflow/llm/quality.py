@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import map_batches, mixed, texts_of
+from orderflow.llm.common import filter_rows, map_batches, mixed, texts_of
 from orderflow.llm.words import Words, gram_hashes, lists, word_blocks
 
 BUCKET_BITS = 17
@@ -166,6 +166,20 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return map_batches(texts_of(docs, id_col, text_col), run, "doc_id long, score double")
 
 
+def keep(
+    docs: DataFrame, model: Model, least: float = KEPT_SCORE, text_col: str = "text"
+) -> DataFrame:
+    """The rows of docs, with all columns, whose text has a score of least or more."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    def good(batch: pa.RecordBatch) -> np.ndarray:
+        column = batch[text_col].cast(pa.string()).fill_null("")
+        parts = [held.value.scores(words) for _, _, words in word_blocks(column)]
+        return np.concatenate([np.zeros(0), *parts]) >= least
+
+    return filter_rows(docs, good)
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the doc_id as text, modulo 5; fold 0 is held out of training."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import bpe, decontaminate, fingerprints, jaccard, pii, quality, repeats, sharding, tokens
+from orderflow.llm import bpe, decontaminate, fingerprints, jaccard, pii, quality, repeats, sharding, tokens, warc
 from orderflow.llm.common import read_table
 from orderflow.session import scratch_dir
 
@@ -50,6 +50,14 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "archives")
+    warc.write(read_table(spark, sf_dir, "pages"), path, segment_bytes=8192)
+    return warc.read(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact"
+    )
+
+
 def op7_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "tokens")
     tokens.write(read_table(spark, sf_dir, "documents"), WORD_BPE, path)
@@ -101,6 +109,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_decontamination": op3_decontamination,
         "op4_sharding": op4_sharding,
         "op5_jaccard_join": op5_jaccard_join,
+        "op6_warc": op6_warc,
         "op7_repair_tokens": op7_repair_tokens,
         "op8_pii": op8_pii,
         "op9_substring_dedup": op9_substring_dedup,
