@@ -47,7 +47,7 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = jaccard.join(read_table(spark, sf_dir, "documents"), size=4, percent=85)
-    return joined.select("doc_id", "n_shingles", "component_id", "n_links")
+    return joined.select("doc_id", "n_shingles", "component_id")
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
