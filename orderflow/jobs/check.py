@@ -48,6 +48,13 @@ def reports(spark: SparkSession, config: dict) -> dict[str, DataFrame]:
     }
 
 
+def print_all(frame: DataFrame) -> None:
+    """Every row, a partition at a time."""
+    print(" | ".join(frame.columns))
+    for row in frame.toLocalIterator():
+        print(" | ".join("" if value is None else str(value) for value in row))
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--config", required=True)
@@ -57,8 +64,10 @@ def main(argv: list[str] | None = None) -> int:
         found = reports(spark, config)
         for title, frame in found.items():
             print(title)
-            frame.show(truncate=False)
-        return 0 if found["differences"].isEmpty() else 1
+            print_all(frame)
+        days = found["differences"].count()
+        print(f"days that differ: {days}")
+        return 1 if days else 0
     finally:
         spark.stop()
 

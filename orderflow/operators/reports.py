@@ -19,10 +19,16 @@ def require_orders(total: DataFrame, at_least: int = 10) -> int:
 
 
 def orders_per_date(lake: DataFrame) -> DataFrame:
-    """Rows and revenue per day; a decimal sum does not depend on the order of addition."""
+    """Rows and revenue per day; a decimal sum does not depend on the order of addition.
+
+    The cleaning keeps amounts that are no sums of money: not a number, infinite, or of more than
+    16 digits. They are left out of amt and counted in n_left_out.
+    """
+    money = F.col("amount").try_cast("decimal(18,2)")
     return lake.groupBy("date").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("amt"),
+        F.try_sum(money).cast("double").alias("amt"),
+        F.count_if(money.isNull()).alias("n_left_out"),
     )
 
 

@@ -1,8 +1,9 @@
-"""The SQL each query is checked against. lake_file_count has none: files are not rows."""
+"""The SQL each query is checked against."""
 
 from __future__ import annotations
 
 from orderflow.plans.views import EVENT_ORDERS, SHOP_ORDERS, view_sql
+from orderflow.schema import ORDER_COLS
 
 SRC = f"src AS ({view_sql('events', EVENT_ORDERS)})"
 SHOP = f"shop AS ({view_sql('orders', SHOP_ORDERS)})"
@@ -15,7 +16,7 @@ WIRE = """wire AS (
 OK = "ok AS (SELECT * FROM wire WHERE order_id IS NOT NULL AND amount > 0)"
 POLLED = "polled AS (SELECT * FROM ok WHERE created_at IS NOT NULL)"
 
-EVENT_COLS = "order_id, customer_name, restaurant_name, item, amount, order_status, created_at"
+EVENT_COLS = ", ".join(ORDER_COLS)
 NO_EVENT = ", ".join(["NULL"] * 7)
 REASON = (
     "CASE WHEN order_id IS NULL THEN 'null_order_id' WHEN amount IS NULL THEN 'null_amount' "
@@ -33,7 +34,9 @@ def registered() -> dict[str, str]:
     wire, ok, polled = _with(SRC, WIRE), _with(SRC, WIRE, OK), _with(SRC, WIRE, OK, POLLED)
     per_date = (
         ok + "SELECT date, count(*) AS n, "
-        "CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS amt FROM ok GROUP BY date"
+        "CAST(sum(TRY_CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS amt, "
+        "count(*) FILTER (TRY_CAST(amount AS DECIMAL(18,2)) IS NULL) AS n_left_out "
+        "FROM ok GROUP BY date"
     )
     position = (
         "SELECT *, row_number() OVER (ORDER BY created_at, order_id NULLS FIRST) AS pos "
@@ -72,9 +75,14 @@ def registered() -> dict[str, str]:
         "lake_count": ok + "SELECT count(*) AS n FROM ok",
         "lake_partition_prune": ok + "SELECT * FROM ok WHERE date = DATE '2024-01-20'",
         "point_lookup": ok + f"SELECT {READBACK_COLS} FROM ok WHERE order_id IN (102, 103)",
+        "lake_file_count": ok
+        + "SELECT date, count(*) AS n, true AS has_files FROM ok GROUP BY date",
         "reconcile_source_lake": ok
-        + "SELECT date, count(*) AS n_source, count(*) AS n_lake, CAST(0 AS BIGINT) AS missing, "
-        "CAST(0 AS BIGINT) AS unexpected, CAST(0 AS BIGINT) AS repeated FROM ok GROUP BY date",
+        + "SELECT date, count(*) FILTER (item <> 'purchase') AS n_source, "
+        "count(*) FILTER (item <> 'signup') + count(*) FILTER (item = 'click') AS n_lake, "
+        "count(*) FILTER (item = 'signup') AS missing, "
+        "count(*) FILTER (item = 'purchase') AS unexpected, "
+        "count(*) FILTER (item = 'click') AS repeated FROM ok GROUP BY date",
         "lake_stream_append": ok + "SELECT * FROM ok",
         "lake_incremental_two_waves": polled + "SELECT * FROM polled",
         "stream_rate_limited": ok + "SELECT * FROM ok",

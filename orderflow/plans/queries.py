@@ -15,7 +15,7 @@ from orderflow.operators.increment import high_watermark, increment, with_positi
 from orderflow.plans.views import ID_TYPE, EventTable, event_orders, shop_orders
 from orderflow.schema import EPOCH
 from orderflow.session import scratch_dir
-from orderflow.sources.lake import append_by_date, data_files, read_lake
+from orderflow.sources.lake import append_by_date, data_files, files_per_day, read_lake
 from orderflow.sources.paths import path_exists
 from orderflow.sources.state import read_watermark
 from orderflow.sources.table import FrameTable
@@ -170,7 +170,12 @@ def lake_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lake_file_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return data_files(spark, _event_lake_path(spark, sf_dir))
+    """Rows of each day, and whether the listing has a data file for it."""
+    listed = files_per_day(_event_lake(spark, sf_dir))
+    counted = _event_lake(spark, sf_dir).groupBy("date").agg(F.count(F.lit(1)).alias("n"))
+    has_files = F.coalesce(F.col("n_files") > 0, F.lit(False)).alias("has_files")
+    joined = counted.join(listed.withColumnRenamed("date", "day"), F.col("date").eqNullSafe(F.col("day")), "full")
+    return joined.select("date", "n", has_files)
 
 
 def lake_partition_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,8 +189,12 @@ def point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reconcile_source_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    expected = _cleaned(spark, sf_dir)
-    return quality.reconcile(expected, _event_lake(spark, sf_dir))
+    """With planted differences: the lake lost the sign-ups and has the clicks twice, and the
+    source does not know the purchases."""
+    expected = _cleaned(spark, sf_dir).where("item <> 'purchase'")
+    lake = _event_lake(spark, sf_dir)
+    kept = lake.where("item <> 'signup'").unionByName(lake.where("item = 'click'"))
+    return quality.reconcile(expected, kept)
 
 
 # --- streaming -----------------------------------------------------------------------------

@@ -14,7 +14,7 @@ from orderflow.sources.table import FrameTable, Reach
 ID_TYPE = "bigint"
 
 # events has no dirty rows, so the mapping plants some at fixed places: null ids, null names,
-# null, zero and negative amounts, an unknown status and missing times. It alters values and
+# null, zero, negative, huge and infinite amounts, an unknown status and missing times. It alters values and
 # leaves no row out. Spark and the check read the same text.
 EVENT_ORDERS = {
     "order_id": "CASE WHEN event_id % 17 = 0 THEN NULL ELSE event_id END",
@@ -26,7 +26,8 @@ EVENT_ORDERS = {
     "item": "event_type",
     "amount": (
         "CASE WHEN event_id % 11 = 0 THEN -value WHEN event_id % 19 = 0 THEN CAST(0 AS DOUBLE) "
-        "WHEN event_id % 23 = 0 THEN NULL ELSE value END"
+        "WHEN event_id % 23 = 0 THEN NULL WHEN event_id % 29 = 0 THEN CAST('1e17' AS DOUBLE) "
+        "WHEN event_id % 37 = 0 THEN CAST('Infinity' AS DOUBLE) ELSE value END"
     ),
     "order_status": (
         "CASE event_type WHEN 'view' THEN 'PLACED' WHEN 'click' THEN 'PREPARING' "
@@ -85,6 +86,9 @@ class EventTable:
         orders = increment(self._view(lo, self.grown_to), lo, self.grown_to)
         return FrameTable(orders).reach(lo)
 
+    def extent(self, lo: str, hi: str) -> Reach:
+        return FrameTable(increment(self._view(lo, hi), lo, hi)).extent(lo, hi)
+
     def slice(self, lo: str, reach: Reach) -> DataFrame:
         return increment(self._view(lo, reach.hi), lo, reach.hi)
 

@@ -23,6 +23,7 @@ EPOCH = "1970-01-01 00:00:00"
 # "bigint" wherever an id_type is asked for; with "int" a larger id would decode to null.
 DEFAULT_ID_TYPE = "int"
 ID_TYPES = {"int": T.IntegerType(), "bigint": T.LongType()}
+LARGEST_ID = {"int": 2**31 - 1, "bigint": 2**63 - 1}
 
 
 def table_schema(id_type: str = DEFAULT_ID_TYPE) -> T.StructType:
@@ -39,6 +40,17 @@ def table_schema(id_type: str = DEFAULT_ID_TYPE) -> T.StructType:
     )
 
 
+def schema_differences(found: T.StructType, id_type: str = DEFAULT_ID_TYPE) -> list[str]:
+    """Columns whose type is not the source table's, one line each."""
+    wanted = table_schema(id_type)
+    return [
+        f"{field.name}: {found[field.name].dataType.simpleString()}, "
+        f"expected {field.dataType.simpleString()}"
+        for field in wanted
+        if found[field.name].dataType != field.dataType
+    ]
+
+
 def wire_schema(id_type: str = DEFAULT_ID_TYPE) -> T.StructType:
     """One JSON event. from_json ignores not-null flags, so everything is nullable here."""
     return (

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,6 +76,15 @@ def data_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     )
 
 
+def files_per_day(lake: DataFrame) -> DataFrame:
+    """date, n_files, from the listing that reading the lake made anyway; no file is opened."""
+    folders = [unquote(file).rsplit("/", 2)[1] for file in lake.inputFiles()]
+    days = Counter(folder.removeprefix("date=") for folder in folders)
+    rows = [(None if day == NULL_DATE else day, n) for day, n in days.items()]
+    counted = lake.sparkSession.createDataFrame(rows, "day string, n_files bigint")
+    return counted.select(F.col("day").cast("date").alias("date"), "n_files")
+
+
 def has_sink_log(spark: SparkSession, path: str) -> bool:
     """Whether a streaming file sink owns this folder. Readers then trust its log alone."""
     return path_exists(spark, f"{path}/_spark_metadata")

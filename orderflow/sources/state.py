@@ -36,6 +36,20 @@ def read_watermark(spark: SparkSession, location: str) -> str:
     return max(entries)[1] if entries else EPOCH
 
 
+def set_watermark(spark: SparkSession, location: str, moment: str) -> None:
+    """Start again from a moment, also an earlier one; both slots get it."""
+    datetime.fromisoformat(moment)
+    for slot in SLOTS:
+        _write(spark, f"{location}/{slot}", moment)
+    if read_watermark(spark, location) != moment:
+        raise ValueError(f"another file in {location} holds a later moment; remove it first")
+
+
+def _write(spark: SparkSession, path: str, moment: str) -> None:
+    line = spark.range(0, 1, 1, 1).select(F.lit(moment).alias("value"))
+    line.write.mode("overwrite").text(path)
+
+
 def save_watermark(spark: SparkSession, location: str, hi: str) -> None:
     """Overwrite the slot that does not hold the newest watermark.
 
@@ -46,6 +60,4 @@ def save_watermark(spark: SparkSession, location: str, hi: str) -> None:
     entries = _entries(spark, location)
     newest_file = max(entries)[2] if entries else ""
     slot = SLOTS[1] if f"/{SLOTS[0]}/" in newest_file else SLOTS[0]
-    spark.range(0, 1, 1, 1).select(F.lit(hi).alias("value")).write.mode("overwrite").text(
-        f"{location}/{slot}"
-    )
+    _write(spark, f"{location}/{slot}", hi)

@@ -13,21 +13,23 @@ from datetime import datetime
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderflow.operators.increment import high_watermark, increment
-from orderflow.schema import ORDER_COLS
+from orderflow.operators.increment import increment
+from orderflow.schema import ORDER_COLS, schema_differences
 
 
 @dataclass(frozen=True)
 class Reach:
     """What one poll takes beyond a watermark: newest created_at as text, row count, id range,
-    and whether the table holds more behind it."""
+    whether the table holds more behind it, and what a look back took on top."""
 
     hi: str | None
     rows: int
     min_id: int | None = None
     max_id: int | None = None
     more: bool = False
+    back: Reach | None = None
 
 
 class OrderTable(Protocol):
@@ -35,6 +37,8 @@ class OrderTable(Protocol):
 
     def reach(self, lo: str) -> Reach: ...
 
+    def extent(self, lo: str, hi: str) -> Reach: ...
+
     def slice(self, lo: str, reach: Reach) -> DataFrame: ...
 
 
@@ -45,8 +49,19 @@ class FrameTable:
         self.orders = orders
 
     def reach(self, lo: str) -> Reach:
-        row = high_watermark(self.orders, lo).selectExpr("cast(hi AS string) AS hi", "n").first()
-        return Reach(row["hi"], row["n"])
+        return self._extent(increment(self.orders, lo))
+
+    def extent(self, lo: str, hi: str) -> Reach:
+        return replace(self._extent(increment(self.orders, lo, hi)), hi=hi)
+
+    def _extent(self, rows: DataFrame) -> Reach:
+        found = rows.agg(
+            F.max("created_at").cast("string"),
+            F.count(F.lit(1)),
+            F.min("order_id"),
+            F.max("order_id"),
+        )
+        return Reach(*found.first())
 
     def slice(self, lo: str, reach: Reach) -> DataFrame:
         return increment(self.orders, lo, reach.hi)
@@ -105,6 +120,16 @@ class JdbcTable:
         rows = f"FROM {self.table} WHERE created_at <= '{_checked(hi)}'"
         return replace(self._extent(rows), hi=hi)
 
+    def extent(self, lo: str, hi: str) -> Reach:
+        """What lies in a slice, so that it is split by the rows really read."""
+        rows = f"FROM {self.table} WHERE created_at > '{_checked(lo)}' AND created_at <= '{_checked(hi)}'"
+        return replace(self._extent(rows), hi=hi)
+
+    def differences(self, id_type: str) -> list[str]:
+        """Where the table's definition differs from the one this job is made for."""
+        nothing = f"SELECT {', '.join(ORDER_COLS)} FROM {self.table} WHERE 1 = 0"
+        return schema_differences(self.query(nothing).toDF(*ORDER_COLS).schema, id_type)
+
     def _extent(self, rows: str) -> Reach:
         return Reach(
             *self.query(

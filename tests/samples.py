@@ -3,7 +3,7 @@
 from decimal import Decimal
 
 
-def order(order_id, created_at="2025-11-18 12:24:00", amount="250.50", status="PLACED", **over):
+def order(order_id, created_at="2025-03-09 08:41:00", amount="73.40", status="PLACED", **over):
     row = {
         "customer": "Ada Example",
         "restaurant": "Corner Kitchen",

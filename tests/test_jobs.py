@@ -125,7 +125,7 @@ def test_check_sees_what_went_wrong(spark, orders, config_file, insert, capsys):
     assert [r["n"] for r in seen["lake, per day"].collect()] == [11]
     assert seen["lake, data files"].first()["n_files"] == 1
 
-    append_by_date(clean(decode(encode(orders(rows[0], order(77))))), config["datalake"]["path"])
+    append_by_date(clean(decode(encode(orders(rows[0], order(77, "2025-11-18 09:00:00"))))), config["datalake"]["path"])
     assert check_job.main(argv) == 1
     (day,) = check_job.reports(spark, config)["differences"].collect()
     assert (day["missing"], day["unexpected"], day["repeated"]) == (0, 1, 1)

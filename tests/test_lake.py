@@ -104,8 +104,10 @@ def test_one_day_prunes_folders_and_ids_prune_row_groups(spark, cleaned, folder)
 
 def test_reports(spark, cleaned):
     rows = cleaned((1, 0.1, day(18)), (2, 0.2, day(18)), (3, 7, None))
-    found = {r["date"]: (r["n"], r["amt"]) for r in orders_per_date(rows).collect()}
-    assert found == {datetime.date(2025, 11, 18): (2, 0.3), None: (1, 7.0)}
+    found = {r["date"]: tuple(r)[1:] for r in orders_per_date(rows).collect()}
+    assert found == {datetime.date(2025, 11, 18): (2, 0.3, 0), None: (1, 7.0, 0)}
+    odd = cleaned(*[(i, float(a), day(18)) for i, a in enumerate(("nan", "inf", "1e17", "1e300", "5"))])
+    assert [tuple(r)[1:] for r in orders_per_date(odd).collect()] == [(5, 5.0, 4)]
     assert {r["date"] for r in distinct_dates(rows).collect()} == set(found)
     assert total_orders(rows).first()["total_orders"] == 3
 

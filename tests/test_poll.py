@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from orderflow.operators.events import decode
 from orderflow.schema import EPOCH, ORDER_COLS, STATUSES, table_schema
-from orderflow.sources.state import read_watermark
+from orderflow.sources.state import read_watermark, set_watermark
 from orderflow.sources.table import FrameTable, JdbcTable, Reach
 from orderflow.sources.topic import DirectoryTopic, KafkaTopic, configured_topic
 from orderflow.streaming import poll
@@ -104,11 +104,47 @@ LATE = [
 def test_look_back_picks_up_late_commits(spark, orders, folder, look_back, found):
     topic, state = DirectoryTopic(folder("topic")), folder("state")
     poll_once(spark, FrameTable(orders(*SEED)), topic, state, look_back)
-    assert poll_once(spark, FrameTable(orders(*SEED, *LATE)), topic, state, look_back).rows == 0
+    idle = poll_once(spark, FrameTable(orders(*SEED, *LATE)), topic, state, look_back)
+    assert idle.rows == 0
+    assert sorted(set(published(spark, topic))) == [*range(1, 11), *found]
+    # The same look back is not published again, poll after poll.
+    before = len(published(spark, topic))
+    poll_once(spark, FrameTable(orders(*SEED, *LATE)), topic, state, look_back, last=idle)
+    assert len(published(spark, topic)) == before
     assert poll_once(spark, FrameTable(orders(*SEED, *LATE, *MORE)), topic, state, look_back).rows == 5
     assert sorted(set(published(spark, topic))) == [*range(1, 16), *found]
 
 
+def test_an_id_that_does_not_fit_fails_before_publishing(spark, orders, folder):
+    topic, state = DirectoryTopic(folder("topic")), folder("state")
+    table = FrameTable(orders(order(1), order(2**31)))
+    with pytest.raises(ValueError, match="does not fit int"):
+        poll_once(spark, table, topic, state)
+    assert read_watermark(spark, state) == EPOCH
+    poll_once(spark, table, topic, state, id_type="bigint")
+    assert read_watermark(spark, state) != EPOCH
+
+
+def test_watermark_set_back(spark, orders, folder):
+    topic, state = DirectoryTopic(folder("topic")), folder("state")
+    poll_once(spark, FrameTable(orders(*SEED)), topic, state)
+    set_watermark(spark, state, "2025-11-18 12:00:05.5")
+    assert read_watermark(spark, state) == "2025-11-18 12:00:05.5"
+    poll_once(spark, FrameTable(orders(*SEED)), topic, state)
+    assert sorted(published(spark, topic)) == [*range(1, 6), *[i for i in range(6, 11) for _ in "ab"]]
+
+
+def test_look_back_is_split_by_the_rows_read(spark, orders, database):
+    url, properties, insert = database
+    insert(orders(*SEED, *MORE))
+    table = JdbcTable(spark, url, "ORDERS", properties, rows_per_read=4)
+    taken = table.extent("2025-11-18 00:00:00", "2025-11-18 12:00:10.5")
+    assert (taken.rows, taken.min_id, taken.max_id) == (10, 1, 10)
+    assert table.slice("2025-11-18 00:00:00", taken).rdd.getNumPartitions() == 3
+    assert table.differences("bigint") == []
+    assert table.differences("int") == ["order_id: bigint, expected int"]
+
+
 @pytest.fixture
 def database(spark):
     """An embedded database inside this JVM: no server, no port."""

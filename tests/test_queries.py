@@ -7,7 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from orderflow.plans import queries
+from orderflow.plans import oracle, queries
+from orderflow.sources.lake import files_per_day, read_lake
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
@@ -20,12 +21,13 @@ def duck():
     return con
 
 
-def test_only_the_file_count_has_no_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"lake_file_count"}
+def test_every_query_has_sql():
+    assert set(queries.registered()) == set(oracle.registered())
+    assert set(queries.registered()) <= set(contract.queries())
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.registered()))
 def test_query_gives_what_the_sql_gives(spark, duck, name):
     frame = contract.queries()[name](spark, SF_DIR)
     columns = sorted(frame.columns)
@@ -35,10 +37,12 @@ def test_query_gives_what_the_sql_gives(spark, duck, name):
     assert sorted(map(repr, found)) == sorted(map(repr, wanted.fetchall()))
 
 
-def test_file_count(spark):
-    (row,) = contract.queries()["lake_file_count"](spark, SF_DIR).collect()
-    lake = queries._built[(spark.sparkContext.applicationId, SF_DIR)]
-    assert row["n_files"] == len(list(Path(lake).rglob("*.parquet"))) >= 31
+def test_files_per_day(spark):
+    contract.queries()["lake_count"](spark, SF_DIR).collect()
+    path = queries._built[(spark.sparkContext.applicationId, SF_DIR)]
+    found = files_per_day(read_lake(spark, path)).collect()
+    assert sum(r["n_files"] for r in found) == len(list(Path(path).rglob("*.parquet"))) >= 31
+    assert len(found) == 31
 
 
 def test_a_shared_lake_that_was_cleared_is_written_again(spark):
@@ -55,7 +59,7 @@ def test_a_shared_lake_that_was_cleared_is_written_again(spark):
 
 def test_flagship(spark):
     frame = contract.entry(spark)
-    assert frame.columns == ["date", "n", "amt"]
+    assert frame.columns == ["date", "n", "amt", "n_left_out"]
     assert frame.count() == 31
 
 
