@@ -36,7 +36,7 @@ def map_batches(
     Workers import this package. On a cluster it is installed or passed with --py-files; a
     session on this machine is told where it lies.
     """
-    _let_workers_import(df.sparkSession)
+    _prepare(df.sparkSession)
     names = [field.split()[0] for field in schema.split(", ")]
     types = {name: _arrow_type(field.split()[1]) for name, field in zip(names, schema.split(", "))}
 
@@ -55,7 +55,7 @@ def map_batches(
 
 def filter_rows(df: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
     """The rows of df, with all columns, for which keep says true."""
-    _let_workers_import(df.sparkSession)
+    _prepare(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -64,9 +64,18 @@ def filter_rows(df: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray]) ->
     return df.mapInArrow(run, df.schema)
 
 
-def _let_workers_import(spark: SparkSession) -> None:
+# A batch of long texts and what is made of it must fit a worker several times over.
+ROWS_PER_BATCH = 2000
+
+
+def _prepare(spark: SparkSession) -> None:
+    """Lets workers on this machine import the package; asks for small batches in a session that
+    leaves their size at Spark's default."""
     if spark.sparkContext.master.startswith("local["):
         spark.sparkContext.environment.setdefault("PYTHONPATH", PACKAGE_ROOT)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, str(ROWS_PER_BATCH))
 
 
 def _arrow_type(name: str) -> pa.DataType:

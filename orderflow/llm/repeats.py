@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.llm.common import Bitmap, map_batches, mixed, saved, texts_of
-from orderflow.llm.words import Words, gram_hashes, span_hashes, word_blocks
+from orderflow.llm.words import Words, gram_hashes, slices, span_hashes, word_blocks
 
 _NO_ID = -(2**63)
 
@@ -217,13 +217,14 @@ def remove(
     def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             batch = batch.filter(pa.array(~touched.value.has(batch["k"].to_numpy())))
-            parts = [text.encode().split() for text in batch["text"].to_pylist()]
-            yield {
-                "doc_id": batch["doc_id"],
-                "n_words": [len(words) for words in parts],
-                "n_removed": [0] * len(parts),
-                "kept": [b" ".join(words).decode() for words in parts],
-            }
+            for part in slices(batch):
+                texts = [text.encode().split() for text in part["text"].to_pylist()]
+                yield {
+                    "doc_id": part["doc_id"],
+                    "n_words": [len(words) for words in texts],
+                    "n_removed": [0] * len(texts),
+                    "kept": [b" ".join(words).decode() for words in texts],
+                }
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -231,7 +232,7 @@ def remove(
             yield {name: batch[name] for name in ("doc_id", "text", "d", "k")}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch)):
             counts, removed, kept = [], [], []
             for text, spans in zip(batch["text"].to_pylist(), batch["spans"].to_pylist()):
                 words = text.encode().split()

@@ -131,6 +131,13 @@ def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
         at = upto
 
 
+def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, about BLOCK_BYTES of a string or binary column at a time."""
+    _, offsets = column_bytes(batch[column])
+    for at, upto in blocks(offsets):
+        yield batch.slice(at, upto - at)
+
+
 def word_blocks(
     column: pa.Array, lower: bool = False, separators: bytes = SPACES
 ) -> Iterator[tuple[int, int, Words]]:
