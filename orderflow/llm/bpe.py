@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from orderflow.llm.common import map_batches, texts_of
-from orderflow.llm.words import blocks, column_bytes
+from orderflow.llm.words import blocks, column_bytes, slices
 
 # Distinct chunks a worker keeps between groups of texts; pre-token bytes merged at a time; a
 # longer pre-token gets a queue of its own.
@@ -314,9 +314,7 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         vocabulary = _vocabulary(rank_file.value, pattern)
         for batch in batches:
-            _, offsets = column_bytes(batch["text"])
-            for at, upto in blocks(offsets):
-                part = batch.slice(at, upto - at)
+            for part in slices(batch):
                 ids = vocabulary.encode_group(part["text"].to_pylist())
                 yield {"doc_id": part["doc_id"], "ids": ids}
 

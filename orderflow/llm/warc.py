@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.llm.common import map_batches
-from orderflow.llm.words import blocks, column_bytes
+from orderflow.llm.words import slices
 
 VERSION = b"WARC/1.1"
 BETWEEN = "\r\n\r\n"
@@ -146,12 +146,10 @@ def write(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            _, offsets = column_bytes(batch["payload"])
-            for at, upto in blocks(offsets):
-                part = batch.slice(at, upto - at).to_pylist()
+            for part in slices(batch, "payload"):
                 out = [
                     record
-                    for p in part
+                    for p in part.to_pylist()
                     for record in records(
                         p["page_id"], p["url"], p["payload"], p["refers_to"], date, segment_bytes
                     )
