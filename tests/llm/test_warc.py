@@ -54,7 +54,7 @@ def test_what_is_broken_is_told(spark, folder):
         + [of(3, 1), of(3, 2), of(3, 2), of(3, 3)]
         + [of(4, 1), of(4, 2), of(4, 3).replace(b"Total-Length: 2", b"Total-Length: 9")]
         + [of(5, 2), of(5, 3)]
-        + [of(6, 1).replace(b"\r\n8c\r\n", b"\r\n8x\r\n"), of(6, 2), of(6, 3)]
+        + [of(6, 1).replace(b"\r\nb4\r\n", b"\r\nbx\r\n"), of(6, 2), of(6, 3)]
         + [of(7, 1).replace(b"payload 7", b"payl0ad 7"), of(7, 2), of(7, 3)]
     )
     lines = spark.createDataFrame([(bytearray(r),) for r in records], "b binary").selectExpr("cast(b AS string) AS value")
