@@ -42,6 +42,8 @@ ITEMS_PER_PASS = 20_000
 # Words of a run, and runs counted together when texts without a match are left out.
 RUN = 3
 GROUP = 13
+# Bits of a run's hash looked up before the run itself.
+HINT_BITS = 22
 # Walks stretch a sequence to about twice its length; places up to this many times it are sampled.
 STRETCH = 1.7
 
@@ -111,6 +113,7 @@ class Items:
     ids: list
     words: list[np.ndarray]
     runs: np.ndarray
+    owner: np.ndarray
     sizes: list[int]
     tables: list[tuple[np.ndarray, np.ndarray]]
 
@@ -124,13 +127,19 @@ class Items:
         kept = [k for k, w in enumerate(words) if len(w) >= LEAST_WORDS]
         ids, words = [ids[k] for k in kept], [words[k] for k in kept]
         sizes = np.array([len(w) for w in words], np.int64)
-        runs, tables = np.zeros(0, np.uint64), []
+        runs, owner, tables = np.zeros(0, np.uint64), np.zeros(0, int), []
         if words:
-            runs = np.unique(np.concatenate([gram_hashes(w, RUN) for w in words]))
+            found = [gram_hashes(w, RUN) for w in words]
+            owned = np.repeat(sizes, [len(f) for f in found])
+            runs, which = np.unique(np.concatenate(found), return_inverse=True)
+            owner = np.full(len(runs), -1)
+            owner[which] = owned
+            # A run of items of several sizes counts for every size.
+            owner[which[owner[which] != owned]] = -1
             for keys in bands(np.concatenate(words), np.cumsum(sizes) - sizes, sizes):
                 order = np.argsort(keys)
                 tables.append((keys[order], order))
-        return cls(ids, words, runs, sorted(set(sizes.tolist())), tables)
+        return cls(ids, words, runs, owner, sorted(set(sizes.tolist())), tables)
 
     def needed(self, size: int) -> int:
         """Runs of some item that a matching window of this size has at least."""
@@ -148,18 +157,23 @@ class Items:
         return met
 
     def _dense(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Words, whether a run of some item starts there, and text, of the texts that have
+        """Words, the size of the items with the run that starts there (0: none, -1: several), and
+        text, of the texts that have
         GROUP runs in a row of which so many are in some item as a group of any match has."""
         least = min(-(-self.needed(s) // -(-(s - RUN + 1) // GROUP)) for s in self.sizes)
-        kept = [(np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, np.int64))]
+        hint = np.zeros(1 << HINT_BITS, bool)
+        hint[(self.runs >> np.uint64(64 - HINT_BITS)).astype(np.int64)] = True
+        kept = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
         for at, _, words in word_blocks(pc.utf8_lower(column), separators=SEPARATORS):
             hashes, text = words.hashes(), words.text_of()
             if len(hashes) < RUN:
                 continue
             runs = gram_hashes(hashes, RUN)
-            near = np.minimum(np.searchsorted(self.runs, runs), len(self.runs) - 1)
-            seen = np.append(self.runs[near] == runs, np.zeros(RUN - 1, bool))
-            total = np.append(0, np.cumsum(seen))
+            seen = np.zeros(len(hashes), np.int64)
+            maybe = np.flatnonzero(hint[(runs >> np.uint64(64 - HINT_BITS)).astype(np.int64)])
+            near = np.minimum(np.searchsorted(self.runs, runs[maybe]), len(self.runs) - 1)
+            seen[maybe] = np.where(self.runs[near] == runs[maybe], self.owner[near], 0)
+            total = np.append(0, np.cumsum(seen != 0))
             ends = np.minimum(np.arange(len(seen)) + GROUP, len(seen))
             chosen = np.zeros(len(words.first) - 1, bool)
             chosen[text[total[ends] - total[:-1] >= least]] = True
@@ -172,9 +186,9 @@ class Items:
         if not self.words:
             return []
         hashes, seen, text = self._dense(column)
-        total = np.append(0, np.cumsum(seen))
         starts, sizes = [], []
         for size in self.sizes:
+            total = np.append(0, np.cumsum((seen == size) | (seen == -1)))
             at = np.arange(max(0, len(hashes) - size + 1))
             at = at[total[at + size - RUN + 1] - total[at] >= self.needed(size)]
             at = at[text[at] == text[at + size - 1]]
