@@ -70,6 +70,11 @@ def _record(headers: list[tuple[str, object]], block: bytes) -> bytes:
     return b"%b\r\n%bContent-Length: %d\r\n\r\n%b" % (VERSION, lines.encode(), len(block), block)
 
 
+def _plain(url: str) -> str:
+    """Without white space, control characters and the mark at which a reader cuts."""
+    return re.sub(r"[\x00-\x20\x7f]", "%20", url).replace(VERSION.decode(), "%57ARC/1.1")
+
+
 def _urn(page_id: int | None, segment: int = 1) -> str:
     own = "" if segment == 1 else f":{segment}"
     return f"<urn:page:{'' if page_id is None else page_id}{own}>"
@@ -91,7 +96,7 @@ def records(
             ("WARC-Type", "revisit" if revisit else "response"),
             ("WARC-Record-ID", _urn(page_id)),
             ("WARC-Date", date),
-            ("WARC-Target-URI", re.sub(r"[\x00-\x20\x7f]", "%20", url)),
+            ("WARC-Target-URI", _plain(url)),
             ("WARC-Payload-Digest", f"sha1:{payload_digest(payload)}"),
             ("WARC-Profile", REVISIT_PROFILE if revisit else None),
             ("WARC-Refers-To", _urn(refers_to) if revisit else None),
@@ -171,12 +176,14 @@ _PARTS = (
 def parsed(spark: SparkSession, path: str) -> DataFrame:
     """A row for each record of the archives below path, segments apart. whole says whether the
     block has the length that its header tells."""
-    lines = spark.read.option("lineSep", f"{BETWEEN}{VERSION.decode()}\r\n").text(path)
+    # The mark begins with a byte that it does not hold again, so a reader that meets its beginning
+    # at the end of a buffer cannot miss it. Each file begins with it: before it is nothing.
+    lines = spark.read.option("lineSep", f"{VERSION.decode()}\r\n").text(path).where("value <> ''")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         names = [field.split()[0] for field in _PARTS.split(", ")]
         for batch in batches:
-            rows = [_fields(record.removeprefix(VERSION + b"\r\n")) for record in batch["value"].to_pylist()]
+            rows = [_fields(record) for record in batch["value"].to_pylist()]
             yield dict(zip(names, zip(*rows))) if rows else {name: [] for name in names}
 
     return map_batches(lines.select(F.col("value").cast("binary").alias("value")), run, _PARTS)

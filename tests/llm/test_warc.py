@@ -8,7 +8,7 @@ def test_round_trip_with_segments(spark, folder, compression):
     pages = [
         (1, "http://a/", "WARC/1.1\r\nx\r\n\r\nWARC/1.1\r\nWARC/1.1" * 50),
         (2, None, None),
-        (3, "a b\r\nc", ""),
+        (3, "a b\r\nc/WARC/1.1", ""),
         (4, "u", "é日本" * 3000),
         (5, "u", "é日本" * 3000),
         (5, "u", "é日本" * 3000),
@@ -32,6 +32,17 @@ def test_round_trip_with_segments(spark, folder, compression):
     assert bytes(found[4]["payload"]).decode() == "é日本" * 3000 and found[5]["payload"] is None
 
 
+def test_no_record_is_missed_at_the_end_of_a_buffer(spark, folder):
+    """Every length of text before a mark, so that marks fall on all places of read buffers."""
+    pages = [(i, "u", "x" * (i % 211) + "\r\n\r\n" * (i % 7)) for i in range(6000)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    for compression in ("none", "gzip"):
+        warc.write(frame, folder(compression), compression=compression)
+        rows = warc.read(spark, folder(compression)).collect()
+        assert sorted(r["page_id"] for r in rows) == list(range(6000))
+        assert all(r["intact"] for r in rows)
+
+
 def test_small_payloads_may_be_stored_again(spark, folder):
     frame = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abc"), (4, "u", "abc")], "page_id long, url string, html string")
     warc.write(frame, folder("w"), least_revisit_bytes=3)
