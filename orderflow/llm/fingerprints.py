@@ -15,11 +15,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.llm.common import map_batches, ranges, texts_of
-from orderflow.llm.words import blocks, column_bytes, span_hashes
+from orderflow.llm.words import slices, span_hashes
 
 BINS = 128
 _BIN_BITS = 7
@@ -88,7 +89,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            for part in _parts(batch):
+            for part in slices(batch):
                 texts = part["text"].to_pylist()
                 prints = [signature(text, phrase_ends(text)).tobytes().hex() for text in texts]
                 yield {"doc_id": part["doc_id"], "fingerprint": prints}
@@ -96,14 +97,21 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return map_batches(texts_of(docs, id_col, text_col), run, "doc_id long, fingerprint string")
 
 
-def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    _, offsets = column_bytes(batch["text"])
-    for at, upto in blocks(offsets):
-        yield batch.slice(at, upto - at)
+def _packed(docs: DataFrame) -> DataFrame:
+    """doc_id, packed: texts compressed, as they are about to be shuffled whole."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            for part in slices(batch):
+                packed = [pack(text.encode()) for text in part["text"].to_pylist()]
+                yield {"doc_id": part["doc_id"], "packed": packed}
+
+    return map_batches(docs, run, "doc_id long, packed binary")
 
 
 def _in_descending_ranges(docs: DataFrame) -> DataFrame:
-    """range (int), later, doc_id, text, in partitions that hold whole ranges of doc_id, each
+    """range (int), later, doc_id, packed, in partitions that hold whole ranges of doc_id, each
     sorted by range and descending doc_id. Each range ends with a copy, marked later, of the row
     that the next range begins with, and the last one with a copy of the first row of all.
 
@@ -118,9 +126,9 @@ def _in_descending_ranges(docs: DataFrame) -> DataFrame:
     keys = F.array(*[F.lit(tops[r]) for r in held]).cast("array<long>")
     before = F.array(*[F.lit(held[i - 1]) for i in range(len(held))]).cast("array<int>")
     place = F.array_position(keys, F.col("k")).cast("int")
-    rows = docs.withColumn("k", key).select(
+    rows = _packed(docs).withColumn("k", key).select(
         "doc_id",
-        "text",
+        "packed",
         "k",
         F.inline(
             F.filter(
@@ -133,8 +141,8 @@ def _in_descending_ranges(docs: DataFrame) -> DataFrame:
         ),
     )
     dealt = rows.repartitionById(len(held) or 1, F.pmod(F.col("range"), F.lit(max(1, len(held)))))
-    ordered = dealt.sortWithinPartitions("range", "later", F.desc("k"), "text")
-    return ordered.select("range", "later", "doc_id", "text")
+    ordered = dealt.sortWithinPartitions("range", "later", F.desc("k"), "packed")
+    return ordered.select("range", "later", "doc_id", "packed")
 
 
 def edited_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -143,29 +151,26 @@ def edited_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     edited_fingerprint, near_edited, near_next.
 
     The edited text has its last floor(n_chars / 3) code points replaced by the first as many,
-    or all, of the next document. Rows of equal doc_id are ordered by text; a null doc_id is
+    or all, of the next document. Rows of equal doc_id are ordered by their compressed texts; a null doc_id is
     the smallest; a document that is alone is its own next.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         held = None
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            for part in _parts(batch):
+            for at in range(0, len(batch), 500):
+                part = batch.slice(at, 500)
                 out = []
-                rows = zip(
-                    part["range"].to_pylist(),
-                    part["later"].to_pylist(),
-                    part["doc_id"].to_pylist(),
-                    part["text"].to_pylist(),
-                )
-                for number, later, doc_id, text in rows:
-                    if held is not None and held[0] == number:
+                rows = zip(*(part[name].to_pylist() for name in ("range", "later", "doc_id", "packed")))
+                for number, later, doc_id, packed in rows:
+                    text = unpack(packed).decode()
+                    follows = held is not None and held[0] == number
+                    if follows or not later:
                         ends = phrase_ends(text)
                         after = signature(text, ends)
+                    if follows:
                         out.append(compared(*held[1:], text, after))
-                    elif not later:
-                        ends = phrase_ends(text)
-                        after = signature(text, ends)
-                    # Of several rows of the next range's first doc_id, the first by text counts.
+                    # Of several rows of the next range's first doc_id, the first counts.
                     held = None if later else (number, doc_id, text, ends, after)
                 yield dict(zip(NAMES, zip(*out))) if out else {name: [] for name in NAMES}
 
