@@ -9,6 +9,8 @@ ids. With the lengths, a span of ids is found and expanded without expanding wha
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,13 +21,17 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from orderflow.llm.common import map_batches, ranges, texts_of
-from orderflow.llm.words import blocks, column_bytes
+from orderflow.llm.words import slices
 
 SHARD_IDS = 1 << 20
 # Rules of a shard; a pair rarer than this is not worth one.
 MAX_RULES = 16_000
 LEAST_COUNT = 6
-CACHED = 300_000
+# Distinct words, and runs of them, that a worker keeps between groups of texts.
+CACHED = 250_000
+LONG_WORD = 200
+# What the tokenizer's pattern cuts lower-cased printable ASCII without apostrophes and spaces into.
+_RUNS = re.compile("[a-z]+|[0-9]|[^a-z0-9]+").findall
 
 
 @dataclass
@@ -107,23 +113,47 @@ class Grammar:
 
 class _Encoder:
     """The tokenizer with its earlier results by word. Words are cut at spaces and line breaks:
-    no token reaches across either."""
+    no token reaches across either.
+
+    A printable ASCII word without an apostrophe is cut on into what the tokenizer's pattern cuts it into,
+    and a run of its letters, which normalization leaves alone, goes to the library's model.
+    """
 
     def __init__(self, definition: str):
         self.tokenizer = Tokenizer.from_str(definition)
         # The strings of special tokens are ordinary text in a document.
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {"": b""}
+        self.runs: dict[str, bytes] = {}
+
+    def _run(self, run: str) -> bytes:
+        if (ids := self.runs.get(run)) is None:
+            if run.isalpha():
+                ids = array("I", [token.id for token in self.tokenizer.model.tokenize(run)]).tobytes()
+            else:
+                ids = array("I", self.tokenizer.encode(run, add_special_tokens=False).ids).tobytes()
+            self.runs[run] = ids
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [text.replace("\n", " ").split(" ") for text in texts]
-        fresh = list(set().union(*parts).difference(self.known))
-        found = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(fresh, found))
-        look = self.known.__getitem__
+        known = self.known
+        rest = []
+        for word in set().union(*parts).difference(known):
+            if word.isascii() and word.isprintable() and "'" not in word and len(word) <= LONG_WORD:
+                known[word] = b"".join(map(self._run, _RUNS(word.lower())))
+            else:
+                rest.append(word)
+        for at in range(0, len(rest), 2000):
+            some = rest[at : at + 2000]
+            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            known.update((word, array("I", one.ids).tobytes()) for word, one in zip(some, found))
+        look = known.__getitem__
         out = [b"".join(map(look, words)) for words in parts]
-        if len(self.known) > CACHED:
+        if len(known) > CACHED:
             self.known = {"": b""}
+        if len(self.runs) > CACHED:
+            self.runs = {}
         return out
 
 
@@ -157,9 +187,7 @@ def write(
         held: list[tuple[int, int | None, bytes]] = []
         size, numbers = 0, {}
         for batch in batches:
-            _, offsets = column_bytes(batch["text"])
-            for at, upto in blocks(offsets):
-                part = batch.slice(at, upto - at)
+            for part in slices(batch):
                 ids = encoder.encode(part["text"].to_pylist())
                 for number, doc_id, mine in zip(part["range"].to_pylist(), part["doc_id"].to_pylist(), ids):
                     if held and (size >= 4 * SHARD_IDS or held[0][0] != number):
