@@ -4,7 +4,8 @@ A page is a response record with chunked transfer framing, or a revisit record i
 smaller id has the same payload. A block longer than segment_bytes is cut: the first segment is
 in the record itself, the others are continuation records that name it as their origin, and the
 last of them tells the length of all. The reader groups segments by origin, orders them by
-number, compares the length, and undoes the framing.
+number, compares the length, and undoes the framing. Records are named by page and digest, and
+by a number drawn for the row where these do not tell rows apart.
 
 Archives are written and read as Spark text whose lines are records, so a reading task holds a
 record at a time and plain files are split among tasks. The mark at which a reader cuts cannot
@@ -16,6 +17,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -75,16 +77,26 @@ def _plain(url: str) -> str:
     return re.sub(r"[\x00-\x20\x7f]", "%20", url).replace(VERSION.decode(), "%57ARC/1.1")
 
 
-def _urn(page_id: int | None, segment: int = 1) -> str:
-    own = "" if segment == 1 else f":{segment}"
-    return f"<urn:page:{'' if page_id is None else page_id}{own}>"
+def _urn(page_id: int | None, digest: str, drawn: str | None = None, segment: int = 1) -> str:
+    own = f":{drawn}" if drawn else ""
+    part = "" if segment == 1 else f":{segment}"
+    return f"<urn:page:{'' if page_id is None else page_id}:{digest}{own}{part}>"
 
 
 def records(
-    page_id: int | None, url: str, payload: bytes, refers_to: int | None, date: str, segment_bytes: int
+    page_id: int | None,
+    url: str,
+    payload: bytes,
+    refers_to: int | None,
+    date: str,
+    segment_bytes: int,
+    drawn: str | None = None,
 ) -> Iterator[bytes]:
-    """The record of a page and its continuations; refers_to makes it a revisit."""
+    """The record of a page and its continuations; refers_to makes it a revisit. drawn tells
+    apart rows of one page and payload."""
     revisit = refers_to is not None
+    digest = payload_digest(payload)
+    name = _urn(page_id, digest, drawn)
     if revisit:
         block = f"{HTTP_HEAD}Content-Length: {len(payload)}\r\n\r\n".encode()
     else:
@@ -94,12 +106,12 @@ def records(
     yield _record(
         [
             ("WARC-Type", "revisit" if revisit else "response"),
-            ("WARC-Record-ID", _urn(page_id)),
+            ("WARC-Record-ID", name),
             ("WARC-Date", date),
             ("WARC-Target-URI", _plain(url)),
-            ("WARC-Payload-Digest", f"sha1:{payload_digest(payload)}"),
+            ("WARC-Payload-Digest", f"sha1:{digest}"),
             ("WARC-Profile", REVISIT_PROFILE if revisit else None),
-            ("WARC-Refers-To", _urn(refers_to) if revisit else None),
+            ("WARC-Refers-To", _urn(refers_to, digest) if revisit else None),
             ("WARC-Segment-Number", 1 if cut else None),
             ("Content-Type", "application/http; msgtype=response"),
         ],
@@ -109,9 +121,9 @@ def records(
         yield _record(
             [
                 ("WARC-Type", "continuation"),
-                ("WARC-Record-ID", _urn(page_id, number)),
+                ("WARC-Record-ID", _urn(page_id, digest, drawn, number)),
                 ("WARC-Date", date),
-                ("WARC-Segment-Origin-ID", _urn(page_id)),
+                ("WARC-Segment-Origin-ID", name),
                 ("WARC-Segment-Number", number),
                 ("WARC-Segment-Total-Length", len(block) if number == len(parts) else None),
             ],
@@ -135,7 +147,8 @@ def write(
     Of pages with equal payloads of least_revisit_bytes or more, the one with the smallest id is
     a response and the others are revisits that refer to it. A null payload is empty, a null url
     too; a page without an id is always a response; rows that repeat a page and its payload are
-    all of its kind; other columns are left out.
+    all of its kind, each with a record id of its own; other columns are left out. A revisit
+    refers to page and digest: the id of the response, or what the ids of repeated ones begin with.
     """
     rows = pages.select(
         pages[id_col].cast("long").alias("page_id"),
@@ -143,11 +156,16 @@ def write(
         F.coalesce(pages[payload_col].cast("binary"), F.lit(b"")).alias("payload"),
     ).withColumn("sha", F.sha1("payload"))
     # Only ids and digests are grouped, so a payload that very many pages have is no hot spot.
-    long_enough = rows.where(F.octet_length("payload") >= least_revisit_bytes)
-    seen = long_enough.select("page_id", "sha")
-    first = seen.groupBy("sha").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n"))
-    again = seen.join(first.where("n > 1").drop("n"), "sha").where("page_id > refers_to").distinct()
-    rows = rows.join(again, ["page_id", "sha"], "left")
+    seen = rows.groupBy("page_id", "sha").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.octet_length("payload")).alias("bytes")
+    )
+    long_enough = seen.where(F.col("bytes") >= least_revisit_bytes)
+    first = long_enough.groupBy("sha").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("ids"))
+    told = seen.join(first.where("ids > 1").drop("ids"), "sha", "left").select(
+        "page_id", "sha", F.expr("CASE WHEN page_id > first THEN first END AS refers_to"), F.expr("n > 1 AS repeated")
+    )
+    rows = rows.join(told.where("refers_to IS NOT NULL OR repeated"), ["page_id", "sha"], "left")
+    rows = rows.withColumn("drawn", F.expr("page_id IS NULL OR coalesce(repeated, false)"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -156,12 +174,13 @@ def write(
                     record
                     for p in part.to_pylist()
                     for record in records(
-                        p["page_id"], p["url"], p["payload"], p["refers_to"], date, segment_bytes
+                        p["page_id"], p["url"], p["payload"], p["refers_to"], date, segment_bytes,
+                        uuid.uuid4().hex if p["drawn"] else None,
                     )
                 ]
                 yield {"record": out}
 
-    out = map_batches(rows.select("page_id", "url", "payload", "refers_to"), run, "record binary")
+    out = map_batches(rows.select("page_id", "url", "payload", "refers_to", "drawn"), run, "record binary")
     # A cast from binary to string keeps the bytes as they are, also half a character.
     lines = out.select(F.col("record").cast("string").alias("value"))
     lines.write.option("lineSep", BETWEEN).option("compression", compression).text(path)
@@ -275,5 +294,5 @@ def _page(row: dict) -> tuple:
 
 
 def _page_id(urn: str | None) -> int | None:
-    found = re.fullmatch(r"<urn:page:(-?\d+)(:\d+)?>", urn or "")
+    found = re.fullmatch(r"<urn:page:(-?\d+)(:\w+)*>", urn or "")
     return int(found[1]) if found else None

@@ -32,6 +32,23 @@ def test_round_trip_with_segments(spark, folder, compression):
     assert bytes(found[4]["payload"]).decode() == "é日本" * 3000 and found[5]["payload"] is None
 
 
+def test_rows_without_an_id_of_their_own_keep_their_segments(spark, folder):
+    """Null ids, and repeated ids of one payload and of several, longer than a segment."""
+    pages = [(None, "u", f"{i} " * 500) for i in range(5)] + [(None, "u", "same" * 300)] * 2
+    pages += [(1, "u", "same" * 300)] * 3 + [(2, "u", "same" * 300)] * 2
+    pages += [(3, "u", "one " * 300), (3, "u", "other " * 300)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    warc.write(frame, folder("w"), segment_bytes=100)
+    rows = warc.read(spark, folder("w")).collect()
+    assert all(r["intact"] for r in rows)
+    revisit = (2, "revisit", 1, None)
+    wanted = [revisit if i == 2 else (i, "response", None, html) for i, _, html in pages]
+    found = [(r["page_id"], r["record_type"], r["refers_to"], r["payload"] and bytes(r["payload"]).decode()) for r in rows]
+    assert sorted(found, key=str) == sorted(wanted, key=str)
+    ids = [r["record_id"] for r in warc.parsed(spark, folder("w")).collect()]
+    assert len(set(ids)) == len(ids)
+
+
 def test_no_record_is_missed_at_the_end_of_a_buffer(spark, folder):
     """Every length of text before a mark, so that marks fall on all places of read buffers."""
     pages = [(i, "u", "x" * (i % 211) + "\r\n\r\n" * (i % 7)) for i in range(6000)]
