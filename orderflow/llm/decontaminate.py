@@ -9,6 +9,10 @@ distance is met with the wanted recall; what meets is verified by its exact edit
 
 Windows that cannot match are not walked: an edit changes RUN runs of RUN words at most, so a
 window in which fewer runs than that leaves occur in any item is out. That is exact.
+
+A window may hang over either end of its text by as many words as may be edited, and counts by
+the words it has. Such windows are few, so they are not walked: they are compared with every item
+that shares so many runs with them. That is exact, too.
 """
 
 from __future__ import annotations
@@ -82,38 +86,46 @@ def bands(hashes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> Iterator
 
 
 def edit_distance(one: list, other: list) -> int:
-    """Insertions, deletions and replacements, a whole column of the table at a time in the bits
+    """Insertions, deletions and replacements."""
+    return edit_distances(one, other)[-1]
+
+
+def edit_distances(one: list, other: list) -> list[int]:
+    """Those from one to other[:k] for each k, a whole column of the table at a time in the bits
     of integers."""
     n = len(one)
     if not n:
-        return len(other)
+        return list(range(len(other) + 1))
     full, top = (1 << n) - 1, 1 << (n - 1)
     where: dict = {}
     for place, symbol in enumerate(one):
         where[symbol] = where.get(symbol, 0) | 1 << place
-    plus, minus, score = full, 0, n
+    plus, minus, scores = full, 0, [n]
     for symbol in other:
         equal = where.get(symbol, 0)
         across = (((equal & plus) + plus) ^ plus) | equal | minus
         up = minus | ~(across | plus) & full
         down = plus & across
-        score += (up & top != 0) - (down & top != 0)
+        scores.append(scores[-1] + (up & top != 0) - (down & top != 0))
         up = (up << 1 | 1) & full
         down = down << 1 & full
         fresh = equal | minus
         plus = down | ~(fresh | up) & full
         minus = up & fresh
-    return score
+    return scores
 
 
 @dataclass
 class Items:
-    """The items of a pass, ready to be searched for."""
+    """The items of a pass, ready to be searched for. Run r is in the items
+    holders[held[r]:held[r + 1]]."""
 
     ids: list
     words: list[np.ndarray]
     runs: np.ndarray
     owner: np.ndarray
+    held: np.ndarray
+    holders: np.ndarray
     sizes: list[int]
     tables: list[tuple[np.ndarray, np.ndarray]]
 
@@ -128,6 +140,7 @@ class Items:
         ids, words = [ids[k] for k in kept], [words[k] for k in kept]
         sizes = np.array([len(w) for w in words], np.int64)
         runs, owner, tables = np.zeros(0, np.uint64), np.zeros(0, int), []
+        held, holders = np.zeros(1, int), np.zeros(0, int)
         if words:
             found = [gram_hashes(w, RUN) for w in words]
             owned = np.repeat(sizes, [len(f) for f in found])
@@ -136,10 +149,13 @@ class Items:
             owner[which] = owned
             # A run of items of several sizes counts for every size.
             owner[which[owner[which] != owned]] = -1
+            mine = np.repeat(np.arange(len(words)), [len(f) for f in found])
+            whose, holders = np.divmod(np.unique(which * len(words) + mine), len(words))
+            held = np.searchsorted(whose, np.arange(len(runs) + 1))
             for keys in bands(np.concatenate(words), np.cumsum(sizes) - sizes, sizes):
                 order = np.argsort(keys)
                 tables.append((keys[order], order))
-        return cls(ids, words, runs, owner, sorted(set(sizes.tolist())), tables)
+        return cls(ids, words, runs, owner, held, holders, sorted(set(sizes.tolist())), tables)
 
     def needed(self, size: int) -> int:
         """Runs of some item that a matching window of this size has at least."""
@@ -156,6 +172,36 @@ class Items:
                     met.update((at + window, item) for item in items[first[window] : end[window]].tolist())
         return met
 
+    def _sharing(self, window: np.ndarray, size: int) -> list[int]:
+        """The items of this size that share so many runs with the window as a match does."""
+        runs = gram_hashes(window, RUN)
+        near = np.minimum(np.searchsorted(self.runs, runs), len(self.runs) - 1)
+        near = near[self.runs[near] == runs]
+        items = [self.holders[a:b] for a, b in zip(self.held[near], self.held[near + 1])]
+        shared, n = np.unique(np.concatenate(items), return_counts=True)
+        return [item for item in shared[n >= self.needed(size)].tolist() if len(self.words[item]) == size]
+
+    def _overhanging(
+        self, hashes: np.ndarray, text: np.ndarray, total: np.ndarray, size: int
+    ) -> Iterator[tuple[int, int, int, int, int]]:
+        """(text, item, distance, start, size) of the best window over the beginning and over the
+        end of each text; total counts the runs of items of this size."""
+        edits = size * EDITS_PERCENT // 100
+        first = np.flatnonzero(np.diff(text, prepend=-1))
+        end = np.append(first[1:], len(text))[: len(first)]
+        length = np.minimum(end - first, size - 1)
+        long_enough = length >= size - edits
+        first, end, length = first[long_enough], end[long_enough], length[long_enough]
+        for start, step in ((first, 1), (end - length, -1)):
+            enough = total[start + length - RUN + 1] - total[start] >= self.needed(size)
+            for a, n in zip(start[enough].tolist(), length[enough].tolist()):
+                for item in self._sharing(hashes[a : a + n], size):
+                    wanted, mine = self.words[item].tolist(), hashes[a : a + n].tolist()
+                    scores = edit_distances(wanted[::step], mine[::step])
+                    ends = [(scores[m], a if step > 0 else a + n - m, m) for m in range(size - edits, n + 1)]
+                    if min(ends)[0] <= edits:
+                        yield int(text[a]), item, *min(ends)
+
     def _dense(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Words, the size of the items with the run that starts there (0: none, -1: several), and
         text, of the texts that have
@@ -187,17 +233,17 @@ class Items:
             return []
         hashes, seen, text = self._dense(column)
         starts, sizes = [], []
+        best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for size in self.sizes:
             total = np.append(0, np.cumsum((seen == size) | (seen == -1)))
+            for at, item, *found in self._overhanging(hashes, text, total, size):
+                best[at, item] = min(tuple(found), best.get((at, item), tuple(found)))
             at = np.arange(max(0, len(hashes) - size + 1))
             at = at[total[at + size - RUN + 1] - total[at] >= self.needed(size)]
             at = at[text[at] == text[at + size - 1]]
             starts.append(at)
             sizes.append(np.full(len(at), size))
         starts, sizes = np.concatenate(starts), np.concatenate(sizes)
-        if not len(starts):
-            return []
-        best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for window, item in self.candidates(hashes, starts, sizes):
             start, size = int(starts[window]), int(sizes[window])
             mine, wanted = hashes[start : start + size], self.words[item]
@@ -235,7 +281,7 @@ def find(
 ) -> DataFrame:
     """doc_id, item_id, start, n_words, distance: for each row of docs and item that occurs in
     it, the window with the smallest distance, the first of equal ones; start and n_words count
-    words.
+    words of the text, so n_words is less than the item's where the window hangs over an end.
 
     A null or empty text holds nothing; repeated rows are reported each; an item without
     LEAST_WORDS words matches nothing; empty tables give an empty result; other columns are left

@@ -58,6 +58,37 @@ def test_recall_against_all_windows_and_items(spark, table, chance):
     assert {r["doc_id"] for r in clean.collect()} == {d for d, _ in docs} - {d for d, _ in found}
 
 
+def test_windows_may_hang_over_the_ends_of_a_text(spark, table, chance):
+    """Whole texts shorter than an item, and items cut at the beginning or end of a text, against
+    unrestricted edit distance."""
+    items = [(i, " ".join("w%d" % chance.randint(0, 60) for _ in range(chance.randint(8, 40)))) for i in range(30)]
+    docs, planted = [], {}
+    for number in range(300):
+        item_id, item = items[number % 30]
+        leak = item.split()
+        edits = chance.randint(1, len(leak) * 20 // 100)
+        if number % 3:
+            leak = leak[edits:] if number % 3 == 1 else leak[:-edits]
+            around = ["x%d" % i for i in range(chance.randint(1, 30))]
+            text = leak + around if number % 3 == 1 else around + leak
+        else:
+            for _ in range(edits):
+                del leak[chance.randrange(len(leak))]
+            text = leak
+        planted[number, item_id] = distance(item.split(), leak)
+        docs.append((number, " ".join(text)))
+    held = spark.createDataFrame(items, "item_id long, text string")
+    rows = decontaminate.find(table(*docs), held).collect()
+    found = {(r["doc_id"], r["item_id"]): r["distance"] for r in rows}
+    assert set(found) >= set(planted)
+    assert all(found[pair] <= planted[pair] for pair in planted)
+    texts, wanted = dict(docs), dict(items)
+    for r in rows:
+        mine = texts[r["doc_id"]].split()[r["start"] : r["start"] + r["n_words"]]
+        assert r["distance"] == distance(wanted[r["item_id"]].split(), mine)
+    assert decontaminate.clean(table(*docs), held).count() == 0
+
+
 def test_odd_rows(spark, table):
     items = spark.createDataFrame([(1, None), (2, "word " * 12), (2, "word " * 12), (None, "too short")], "item_id long, text string")
     found = {(r["doc_id"], r["item_id"], r["distance"]) for r in decontaminate.find(table(*ODD), items).collect()}
