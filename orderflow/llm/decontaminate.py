@@ -13,6 +13,9 @@ window in which fewer runs than that leaves occur in any item is out. That is ex
 A window may hang over either end of its text by as many words as may be edited, and counts by
 the words it has. Such windows are few, so they are not walked: they are compared with every item
 that shares so many runs with them. That is exact, too.
+
+Items of fewer than LEAST_WORDS words are left out, or with short searched for as they are, every
+word equal. A character of a script written without spaces counts as a word.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from orderflow.llm.words import gram_hashes, word_blocks
 # Everything in ASCII but letters and digits separates words; letters are lower-cased.
 SEPARATORS = bytes(c for c in range(128) if not chr(c).isalnum())
 EDITS_PERCENT = 20
-# An item of fewer words is no evidence: common phrases would match it.
+# An item of fewer words is no evidence if edited: common phrases would match it.
 LEAST_WORDS = 8
 # Places sampled for a band, bands of a walk, and the share of places in which the walks of a
 # pair within the distance differ, at the shift that aligns them best.
@@ -118,7 +121,8 @@ def edit_distances(one: list, other: list) -> list[int]:
 @dataclass
 class Items:
     """The items of a pass, ready to be searched for. Run r is in the items
-    holders[held[r]:held[r + 1]]."""
+    holders[held[r]:held[r + 1]]; brief has the sorted hashes of items under LEAST_WORDS and
+    which they are, by size. All else is of the longer ones, which come first."""
 
     ids: list
     words: list[np.ndarray]
@@ -128,16 +132,23 @@ class Items:
     holders: np.ndarray
     sizes: list[int]
     tables: list[tuple[np.ndarray, np.ndarray]]
+    brief: dict[int, tuple[np.ndarray, np.ndarray]]
 
     @classmethod
-    def of(cls, ids: list, texts: list[str]) -> Items:
+    def of(cls, ids: list, texts: list[str], short: bool = False) -> Items:
         column = pc.utf8_lower(pa.array(texts, pa.string()))
         words = []
-        for _, _, block in word_blocks(column, separators=SEPARATORS):
+        for _, _, block in word_blocks(column, separators=SEPARATORS, unspaced=True):
             hashes = block.hashes()
             words += [hashes[a:b] for a, b in zip(block.first, block.first[1:])]
         kept = [k for k, w in enumerate(words) if len(w) >= LEAST_WORDS]
-        ids, words = [ids[k] for k in kept], [words[k] for k in kept]
+        few = [k for k, w in enumerate(words) if 0 < len(w) < LEAST_WORDS and short]
+        brief = {}
+        for size in {len(words[k]) for k in few}:
+            which = np.array([n for n, k in enumerate(few, len(kept)) if len(words[k]) == size])
+            keys = np.concatenate([gram_hashes(words[few[n - len(kept)]], size) for n in which])
+            brief[size] = keys[np.argsort(keys)], which[np.argsort(keys)]
+        ids, words, few = [ids[k] for k in kept + few], [words[k] for k in kept], [words[k] for k in few]
         sizes = np.array([len(w) for w in words], np.int64)
         runs, owner, tables = np.zeros(0, np.uint64), np.zeros(0, int), []
         held, holders = np.zeros(1, int), np.zeros(0, int)
@@ -155,7 +166,9 @@ class Items:
             for keys in bands(np.concatenate(words), np.cumsum(sizes) - sizes, sizes):
                 order = np.argsort(keys)
                 tables.append((keys[order], order))
-        return cls(ids, words, runs, owner, held, holders, sorted(set(sizes.tolist())), tables)
+        return cls(
+            ids, words + few, runs, owner, held, holders, sorted(set(sizes.tolist())), tables, brief
+        )
 
     def needed(self, size: int) -> int:
         """Runs of some item that a matching window of this size has at least."""
@@ -210,7 +223,7 @@ class Items:
         hint = np.zeros(1 << HINT_BITS, bool)
         hint[(self.runs >> np.uint64(64 - HINT_BITS)).astype(np.int64)] = True
         kept = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
-        for at, _, words in word_blocks(pc.utf8_lower(column), separators=SEPARATORS):
+        for at, _, words in word_blocks(pc.utf8_lower(column), separators=SEPARATORS, unspaced=True):
             hashes, text = words.hashes(), words.text_of()
             if len(hashes) < RUN:
                 continue
@@ -227,9 +240,29 @@ class Items:
             kept.append((hashes[mine], seen[mine], text[mine] + at))
         return tuple(np.concatenate(parts) for parts in zip(*kept))
 
+    def _as_they_are(self, column: pa.Array) -> Iterator[tuple[int, int, int, int, int]]:
+        """(text, item, start, size, 0) of the first place of each item under LEAST_WORDS."""
+        for at, _, words in word_blocks(pc.utf8_lower(column), separators=SEPARATORS, unspaced=True):
+            hashes, text = words.hashes(), words.text_of()
+            for size, (keys, items) in self.brief.items():
+                grams = gram_hashes(hashes, size)
+                first, end = np.searchsorted(keys, grams), np.searchsorted(keys, grams, "right")
+                places = np.flatnonzero(end > first)
+                places = places[text[places] == text[places + size - 1]]
+                _, one = np.unique(text[places] * len(keys) + first[places], return_index=True)
+                for place in places[one].tolist():
+                    start = place - int(words.first[text[place]])
+                    for item in items[first[place] : end[place]].tolist():
+                        if (hashes[place : place + size] == self.words[item]).all():
+                            yield at + int(text[place]), item, start, size, 0
+
     def matches(self, column: pa.Array) -> list[tuple[int, int, int, int, int]]:
         """(text, item, start, size, distance) of the best window for each text and item."""
-        if not self.words:
+        return sorted([*self._alike(column), *(self._as_they_are(column) if self.brief else ())])
+
+    def _alike(self, column: pa.Array) -> list[tuple[int, int, int, int, int]]:
+        """matches of the items of LEAST_WORDS or more."""
+        if not self.sizes:
             return []
         hashes, seen, text = self._dense(column)
         starts, sizes = [], []
@@ -259,7 +292,7 @@ class Items:
         ]
 
 
-def _passes(items: DataFrame, id_col: str, text_col: str) -> Iterator[Items]:
+def _passes(items: DataFrame, id_col: str, text_col: str, short: bool) -> Iterator[Items]:
     """The items in blocks that the driver and each task hold at once; null texts are empty."""
     rows = items.select(
         items[id_col].cast("long").alias("item_id"),
@@ -269,28 +302,28 @@ def _passes(items: DataFrame, id_col: str, text_col: str) -> Iterator[Items]:
     for row in rows.orderBy("item_id", "text").toLocalIterator():
         block.append(row)
         if len(block) == ITEMS_PER_PASS:
-            yield Items.of([r["item_id"] for r in block], [r["text"] for r in block])
+            yield Items.of([r["item_id"] for r in block], [r["text"] for r in block], short)
             block = []
     if block:
-        yield Items.of([r["item_id"] for r in block], [r["text"] for r in block])
+        yield Items.of([r["item_id"] for r in block], [r["text"] for r in block], short)
 
 
 def find(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    item_id_col: str = "item_id", item_text_col: str = "text",
+    item_id_col: str = "item_id", item_text_col: str = "text", short: bool = False,
 ) -> DataFrame:
     """doc_id, item_id, start, n_words, distance: for each row of docs and item that occurs in
     it, the window with the smallest distance, the first of equal ones; start and n_words count
     words of the text, so n_words is less than the item's where the window hangs over an end.
 
     A null or empty text holds nothing; repeated rows are reported each; an item without
-    LEAST_WORDS words matches nothing; empty tables give an empty result; other columns are left
+    LEAST_WORDS words matches nothing, or with short its very words; empty tables give an empty result; other columns are left
     out.
     """
     texts = texts_of(docs, id_col, text_col)
     schema = "doc_id long, item_id long, start int, n_words int, distance int"
     out = docs.sparkSession.createDataFrame([], schema)
-    for block in _passes(items, item_id_col, item_text_col):
+    for block in _passes(items, item_id_col, item_text_col, short):
         held = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[dict]:
@@ -308,10 +341,11 @@ def find(
 
 def clean(
     docs: DataFrame, items: DataFrame, text_col: str = "text",
-    item_id_col: str = "item_id", item_text_col: str = "text",
+    item_id_col: str = "item_id", item_text_col: str = "text", short: bool = False,
 ) -> DataFrame:
-    """The rows of docs, with all their columns, in which no item occurs. Nothing is shuffled."""
-    for block in _passes(items, item_id_col, item_text_col):
+    """The rows of docs, with all their columns, in which no item occurs, as find tells. Nothing is
+    shuffled."""
+    for block in _passes(items, item_id_col, item_text_col, short):
         held = docs.sparkSession.sparkContext.broadcast(block)
 
         def keep(batch: pa.RecordBatch, held=held) -> np.ndarray:

@@ -92,10 +92,37 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
+# First and last code points of scripts written without spaces: Thai, Lao, Tibetan, Myanmar, Khmer,
+# Tai, Kana and Han, their extensions and half-width forms.
+UNSPACED = (
+    (0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF),
+    (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x3029), (0x3031, 0x312F), (0x31A0, 0x31BF),
+    (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA9E0, 0xA9FF), (0xAA60, 0xAADF),
+    (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF),
+)
+
+
+def _unspaced(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the characters of scripts without spaces begin and end."""
+    at = np.flatnonzero(data >= 0xE0)
+    wide = data[at] >= 0xF0
+    b = [data[np.minimum(at + k, len(data) - 1)].astype(np.int64) & 0x3F for k in range(4)]
+    three = (b[0] & 0xF) << 12 | b[1] << 6 | b[2]
+    point = np.where(wide, (b[0] & 7) << 18 | b[1] << 12 | b[2] << 6 | b[3], three)
+    bounds = np.array(UNSPACED).ravel() + np.tile([0, 1], len(UNSPACED))
+    mine = np.searchsorted(bounds, point, "right") % 2 == 1
+    return at[mine], (at + 3 + wide)[mine]
+
+
 def split_words(
-    data: np.ndarray, offsets: np.ndarray, lower: bool = False, separators: bytes = SPACES
+    data: np.ndarray,
+    offsets: np.ndarray,
+    lower: bool = False,
+    separators: bytes = SPACES,
+    unspaced: bool = False,
 ) -> Words:
-    """The words of texts data[offsets[d]:offsets[d + 1]], as bytes.split() cuts them."""
+    """The words of texts data[offsets[d]:offsets[d + 1]], as bytes.split() cuts them; with
+    unspaced, a character of a script without spaces is a word."""
     data = data[offsets[0] : offsets[-1]]
     offsets = offsets - offsets[0]
     if lower:
@@ -104,6 +131,9 @@ def split_words(
     fresh = np.ones(len(data) + 1, bool)
     fresh[1:] = ~inside[:-1]
     fresh[offsets] = True
+    if unspaced:
+        for place in _unspaced(data):
+            fresh[place] = True
     starts = np.flatnonzero(inside & fresh)
     last = np.concatenate([fresh[1:] | ~inside[1:], [False]])
     ends = np.flatnonzero(inside & last) + 1
@@ -139,11 +169,11 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
 
 
 def word_blocks(
-    column: pa.Array, lower: bool = False, separators: bytes = SPACES
+    column: pa.Array, lower: bool = False, separators: bytes = SPACES, unspaced: bool = False
 ) -> Iterator[tuple[int, int, Words]]:
     data, offsets = column_bytes(column)
     for at, upto in blocks(offsets):
-        yield at, upto, split_words(data, offsets[at : upto + 1], lower, separators)
+        yield at, upto, split_words(data, offsets[at : upto + 1], lower, separators, unspaced)
 
 
 def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:

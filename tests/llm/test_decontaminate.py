@@ -1,6 +1,7 @@
 import re
 
-from orderflow.llm import decontaminate
+import corpus_pipeline
+from orderflow.llm import decontaminate, queries
 from tests.llm.conftest import ODD
 
 
@@ -89,6 +90,28 @@ def test_windows_may_hang_over_the_ends_of_a_text(spark, table, chance):
     assert decontaminate.clean(table(*docs), held).count() == 0
 
 
+def test_short_items_and_scripts_without_spaces(spark, tmp_path):
+    """Through the query and the stage: short items as they are, long ones of one script cut."""
+    items = [
+        (1, "Who wrote it?"), (2, "Yes"), (3, "日本の首都はどこですか東京です"), (4, "เมืองหลวงของไทยคืออะไร"),
+        (5, "首都?"), (6, "who  WROTE it"), (7, None), (8, "?!"),
+    ]
+    docs = [
+        (1, "So who wrote it then"), (2, "who really wrote it"), (3, "who wrote"), (4, "it who wrote"),
+        (5, "yesterday"), (6, "oh, YES"), (7, "答えは日本の首都はどこですか東だ。"), (8, "xเมืองหลวงของไทยคือไร"),
+        (9, "首 都"), (10, "首の都"), (11, None), (12, "𠀀首都𠀀"), (13, "who wrote it? who wrote it?"),
+    ]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(docs, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {tuple(r) for r in queries.op3_decontamination(spark, str(tmp_path)).collect()}
+    short = {(1, 1, 1, 3, 0), (1, 6, 1, 3, 0), (13, 1, 0, 3, 0), (13, 6, 0, 3, 0), (6, 2, 1, 1, 0)}
+    short |= {(9, 5, 0, 2, 0), (12, 5, 1, 2, 0), (7, 5, 6, 2, 0)}
+    assert {f for f in found if f[1] in (1, 2, 5, 6)} == short
+    assert {f[:2] for f in found} - {f[:2] for f in short} == {(7, 3), (8, 4)}
+    stage = corpus_pipeline.decontaminated(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    assert {r["doc_id"] for r in stage.collect()} == {2, 3, 4, 5, 10, 11}
+
+
 def test_odd_rows(spark, table):
     items = spark.createDataFrame([(1, None), (2, "word " * 12), (2, "word " * 12), (None, "too short")], "item_id long, text string")
     found = {(r["doc_id"], r["item_id"], r["distance"]) for r in decontaminate.find(table(*ODD), items).collect()}
