@@ -68,11 +68,16 @@ def filter_rows(df: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray]) ->
 ROWS_PER_BATCH = 2000
 
 
-def _prepare(spark: SparkSession) -> None:
-    """Lets workers on this machine import the package; asks for small batches in a session that
-    leaves their size at Spark's default."""
-    if spark.sparkContext.master.startswith("local["):
+def import_here(spark: SparkSession) -> None:
+    """Lets workers on this machine import the package."""
+    if spark.sparkContext.master.split("[")[0] == "local":
         spark.sparkContext.environment.setdefault("PYTHONPATH", PACKAGE_ROOT)
+
+
+def _prepare(spark: SparkSession) -> None:
+    """Workers import the package; small batches in a session that leaves their size at Spark's
+    default."""
+    import_here(spark)
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(rows) == "10000":
         spark.conf.set(rows, str(ROWS_PER_BATCH))

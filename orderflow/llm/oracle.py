@@ -67,9 +67,47 @@ kept AS (
 SELECT doc_id, n_words, n_removed, sha256(array_to_string(rest, ' ')) AS kept_sha256 FROM kept"""
 
 
+def _codes(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """All rounds written out: assignments a0 to a{rounds}, codebooks c0 to c{rounds}."""
+    steps = [f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({scale} * x::DOUBLE) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cut AS MATERIALIZED (
+  SELECT vec_id, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] AS x
+  FROM kept, range({parts}) t(p)),
+c0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS j, x AS y
+  FROM cut WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT {entries}))"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT vec_id, p, min({{'d': list_sum(list_transform(list_zip(x, y), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'j': j}}) AS best
+  FROM cut JOIN c{r} USING (p) GROUP BY vec_id, p)""")
+        if r < rounds:
+            steps.append(f"""
+s{r} AS MATERIALIZED (
+  SELECT p, best.j AS j, i, sum(x[i]) AS s, count(*) AS n
+  FROM a{r} JOIN cut USING (vec_id, p), unnest(range(1, len(x) + 1)) t(i) GROUP BY ALL),
+c{r + 1} AS MATERIALIZED (
+  SELECT p, j, coalesce(list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) FILTER (s IS NOT NULL), any_value(y)) AS y
+  FROM c{r} LEFT JOIN s{r} USING (p, j) GROUP BY p, j)""")
+    steps.append(f"""
+done AS (
+  SELECT vec_id, string_agg(printf('%02x', best.j), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY vec_id),
+books AS (SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY p, j)) AS codebooks_sha256 FROM c{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM done JOIN kept USING (vec_id), books""")
+    return ",".join(steps[:-1]) + "," + steps[-1]
+
+
 def registered() -> dict[str, str]:
     return {
         "op5_jaccard_join": _JACCARD,
         "op6_warc": _WARC,
         "op9_substring_dedup": _REPEATS,
+        "op13_vector_codes": _codes(),
     }

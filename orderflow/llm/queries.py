@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import bpe, decontaminate, fingerprints, jaccard, pii, quality, repeats, sharding, tokens, warc
-from orderflow.llm.common import read_table
+from orderflow.llm import bpe, codes, decontaminate, fingerprints, jaccard, pii, quality, repeats, sharding, tokens, warc
+from orderflow.llm.common import read_table, saved
 from orderflow.session import scratch_dir
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -102,6 +103,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = codes.compress(read_table(spark, sf_dir, "embeddings"), carry_col="label")
+    rows = saved(coded.rows, "codes")
+    sums = saved(rows.groupBy(F.col("carried").alias("label")).agg(F.sum("error").alias("label_error")), "sums")
+    listed = ",".join(str(x) for x in coded.codebooks.ravel().tolist())
+    return rows.join(sums, F.col("carried").eqNullSafe(F.col("label"))).select(
+        F.col("id").alias("vec_id"),
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(hashlib.sha256(listed.encode()).hexdigest()).alias("codebooks_sha256"),
+    )
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
@@ -114,4 +129,5 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pii": op8_pii,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_quality": op10_quality,
+        "op13_vector_codes": op13_vector_codes,
     }
