@@ -66,6 +66,37 @@ kept AS (
   FROM words LEFT JOIN gone USING (doc_id))
 SELECT doc_id, n_words, n_removed, sha256(array_to_string(rest, ' ')) AS kept_sha256 FROM kept"""
 
+_COLLOCATIONS = """
+WITH lowered AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\n\v\f\r]')) AS piece FROM lowered),
+words AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS ws FROM pieces),
+counts AS MATERIALIZED (
+  SELECT lang, k, array_to_string(ws[s:s + k - 1], ' ') AS phrase, count(*) AS f
+  FROM words, range(1, 6) x(k), unnest(range(1, len(ws) - k + 2)) t(s) GROUP BY ALL),
+totals AS (SELECT lang, sum(f) AS n FROM counts WHERE k = 1 GROUP BY lang),
+phrases AS MATERIALIZED (
+  SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, f AS a FROM counts WHERE k > 1 AND f >= 100),
+inner_ones AS (
+  SELECT lang, array_to_string(ws[s:s + m - 1], ' ') AS phrase, max(a) AS most
+  FROM phrases, range(2, 5) x(m), unnest(range(1, k - m + 2)) t(s) WHERE m < k GROUP BY ALL),
+cuts AS (
+  SELECT p.lang, p.phrase, p.a, n, c, f.f AS l, r.f AS r,
+    CAST((1000::HUGEINT * p.a * n) // (f.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM phrases p LEFT JOIN inner_ones i ON i.lang = p.lang AND i.phrase = p.phrase
+  JOIN totals ON totals.lang = p.lang, range(1, 5) x(c)
+  JOIN counts f ON f.lang = p.lang AND f.phrase = array_to_string(p.ws[:c], ' ')
+  JOIN counts r ON r.lang = p.lang AND r.phrase = array_to_string(p.ws[c + 1:], ' ')
+  WHERE c < p.k AND (most IS NULL OR 100 * most < 100 * p.a)),
+lowest AS (SELECT lang, phrase, a, n, min({'score': score, 'c': c, 'l': l, 'r': r}) AS cut FROM cuts GROUP BY ALL),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY cut.score DESC, a DESC, encode(phrase)) AS rank,
+    phrase, a, cut.l AS l, cut.r AS r, CAST(n AS BIGINT) AS n, cut.score AS score
+  FROM lowest)
+SELECT * FROM ranked WHERE rank <= 2000"""
+
 
 def _codes(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
     """All rounds written out: assignments a0 to a{rounds}, codebooks c0 to c{rounds}."""
@@ -109,5 +140,6 @@ def registered() -> dict[str, str]:
         "op5_jaccard_join": _JACCARD,
         "op6_warc": _WARC,
         "op9_substring_dedup": _REPEATS,
+        "op12_collocations": _COLLOCATIONS,
         "op13_vector_codes": _codes(),
     }
