@@ -66,6 +66,31 @@ kept AS (
   FROM words LEFT JOIN gone USING (doc_id))
 SELECT doc_id, n_words, n_removed, sha256(array_to_string(rest, ' ')) AS kept_sha256 FROM kept"""
 
+# Texts as hexadecimal digits: byte b of a text is digits 2b + 1 and 2b + 2.
+_FACTORS = """
+WITH texts AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS x FROM documents),
+strings AS (
+  SELECT doc_id, s, md5(substr(x, 2 * s + 1, 200)) AS w
+  FROM texts, unnest(range(0, len(x) // 2 - 99)) t(s)),
+late AS (
+  SELECT doc_id, s FROM strings
+  QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, s) > 1),
+runs AS (
+  SELECT doc_id, s, CASE WHEN s <= 100 + lag(s) OVER (PARTITION BY doc_id ORDER BY s) THEN 0 ELSE 1 END AS fresh
+  FROM late),
+numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM runs),
+spans AS (SELECT doc_id, run, min(s) AS a, max(s) + 100 AS b FROM numbered GROUP BY ALL),
+gaps AS (
+  SELECT doc_id, b AS a, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS b FROM spans
+  UNION ALL SELECT doc_id, 0, min(a) FROM spans GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(substr(x, 2 * a + 1, coalesce(2 * (b - a), len(x))), '' ORDER BY a, b) AS rest
+  FROM gaps JOIN texts USING (doc_id) GROUP BY doc_id),
+counted AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT doc_id, len(x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(rest, x))) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id) LEFT JOIN counted USING (doc_id)"""
+
 _COLLOCATIONS = """
 WITH lowered AS (
   SELECT coalesce(lang, 'und') AS lang,
@@ -140,6 +165,7 @@ def registered() -> dict[str, str]:
         "op5_jaccard_join": _JACCARD,
         "op6_warc": _WARC,
         "op9_substring_dedup": _REPEATS,
+        "op11_previous_factors": _FACTORS,
         "op12_collocations": _COLLOCATIONS,
         "op13_vector_codes": _codes(),
     }

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import bpe, codes, collocations, decontaminate, fingerprints, jaccard, pii, quality, repeats, sharding, tokens, warc
+from orderflow.llm import bpe, codes, collocations, decontaminate, factors, fingerprints, jaccard, pii, quality, repeats, sharding, tokens, warc
 from orderflow.llm.common import read_table, saved
 from orderflow.session import scratch_dir
 
@@ -103,6 +103,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_previous_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = factors.remove(read_table(spark, sf_dir, "documents"), length=100)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = collocations.mine(read_table(spark, sf_dir, "documents"), order=5, min_count=100, top=2000)
     return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
@@ -134,6 +139,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pii": op8_pii,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_quality": op10_quality,
+        "op11_previous_factors": op11_previous_factors,
         "op12_collocations": op12_collocations,
         "op13_vector_codes": op13_vector_codes,
     }

@@ -31,7 +31,7 @@ def _powers(base: int, size: int) -> np.ndarray:
     return out
 
 
-def _power_pair(size: int) -> tuple[np.ndarray, np.ndarray]:
+def power_pair(size: int) -> tuple[np.ndarray, np.ndarray]:
     rounded = 1 << max(16, (size - 1).bit_length())
     return _powers(_BASE, rounded)[:size], _powers(pow(_BASE, -1, 1 << 64), rounded)[:size]
 
@@ -40,7 +40,7 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     """A hash of values[start:end] for each span, from one running sum."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    up, down = _power_pair(len(values) + 1)
+    up, down = power_pair(len(values) + 1)
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * up[:-1], out=sums[1:])
     out = (sums[ends] - sums[starts]) * down[starts]
@@ -50,6 +50,11 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
 _BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
+def byte_values(data: np.ndarray) -> np.ndarray:
+    """A 64-bit value for each byte."""
+    return _BYTE_VALUES[data]
+
+
 def byte_span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """span_hashes of bytes, in pieces that hold whole spans, so that memory stays bounded."""
     out = np.empty(len(starts), np.uint64)
@@ -188,7 +193,3 @@ def lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     offsets = np.zeros(len(counts) + 1, np.int32)
     np.cumsum(counts, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-
-
-def blobs(parts: list[bytes]) -> pa.Array:
-    return pa.array(parts, pa.binary())
