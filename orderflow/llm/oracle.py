@@ -69,12 +69,15 @@ SELECT doc_id, n_words, n_removed, sha256(array_to_string(rest, ' ')) AS kept_sh
 # Texts as hexadecimal digits: byte b of a text is digits 2b + 1 and 2b + 2.
 _FACTORS = """
 WITH texts AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS x FROM documents),
-strings AS (
-  SELECT doc_id, s, md5(substr(x, 2 * s + 1, 200)) AS w
-  FROM texts, unnest(range(0, len(x) // 2 - 99)) t(s)),
+stretches AS (
+  SELECT doc_id, len(x) // 2 AS n, 500 * c AS first, substr(x, 1000 * c + 1, 1198) AS y
+  FROM texts, unnest(range(0, 1 + len(x) // 1000)) t(c)),
+strings AS MATERIALIZED (
+  SELECT doc_id, first + i AS s, md5_number(substr(y, 2 * i + 1, 200)) AS w
+  FROM stretches, range(500) t(i) WHERE first + i + 100 <= n),
+earliest AS (SELECT w, min({'doc_id': doc_id, 's': s}) AS one FROM strings GROUP BY w HAVING count(*) > 1),
 late AS (
-  SELECT doc_id, s FROM strings
-  QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, s) > 1),
+  SELECT doc_id, s FROM strings JOIN earliest USING (w) WHERE {'doc_id': doc_id, 's': s} <> one),
 runs AS (
   SELECT doc_id, s, CASE WHEN s <= 100 + lag(s) OVER (PARTITION BY doc_id ORDER BY s) THEN 0 ELSE 1 END AS fresh
   FROM late),
