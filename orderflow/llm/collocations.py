@@ -5,17 +5,19 @@ phrase, padded beyond the piece. Only these longest windows are counted. A phras
 each window it begins, so ROLLUP over the window's columns, which sums successively shorter
 prefixes, gives the counts of the phrases of every length; a prefix that ends in padding is none.
 
-Windows are cut before the first pair of words that is too rare to be in a candidate, which a
-bitmap of fixed size tells; whatever passes it wrongly is counted and left out exactly.
+Windows are cut where a word, a pair or a triple is too rare to be in a candidate, which bitmaps
+of fixed size tell; whatever passes them wrongly is counted and left out exactly.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,8 +41,8 @@ class Block:
     lang: np.ndarray
     linked: np.ndarray
 
-    def keys(self) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of each word, and of each word and the next one, in its language."""
+    @cached_property
+    def _keys(self) -> tuple[np.ndarray, np.ndarray]:
         of_word, of_lang = (
             byte_span_hashes(data, offsets[:-1], offsets[1:])
             for data, offsets in (column_bytes(self.vocabulary), column_bytes(self.languages))
@@ -49,6 +51,10 @@ class Block:
         pairs = mixed(words * np.uint64(0x9E3779B97F4A7C15) + np.append(words[1:], words[:1]))
         return mixed(words ^ mixed(own)), mixed(pairs + own)
 
+    def keys(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of each word, and of each word and the next one, in its language."""
+        return self._keys
+
 
 def blocks_of(batch: pa.RecordBatch) -> Iterator[Block]:
     """The words of a batch with lang and text, about 2 MB of text at a time."""
@@ -73,41 +79,164 @@ def blocks_of(batch: pa.RecordBatch) -> Iterator[Block]:
         yield Block(coded.dictionary, langs.dictionary, coded.indices.to_numpy(zero_copy_only=False), lang, linked)
 
 
-def _frequent(texts: DataFrame, min_count: int) -> Bitmap:
-    """The words and pairs of words that occur often enough, by their hashes."""
+# Hashes are counted by their upper 32 bits, in ranges of the upper 10.
+PART_BITS = 10
+WIDTH_BITS = 32 - PART_BITS
+# So many different hashes of a task are put together before they are written.
+HELD = 1 << 21
+
+
+def packed(tops: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted different hashes of a range and their counts, a few bytes each: gaps between neighbours
+    by planes of their bytes, compressed."""
+    gaps = np.diff(tops & np.uint32((1 << WIDTH_BITS) - 1), prepend=np.uint32(0)).astype("<u4")
+    planes = np.concatenate([gaps.view(np.uint8).reshape(-1, 4).T[:3].ravel(), counts.astype("<u4").view(np.uint8).reshape(-1, 4).T.ravel()])
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the range, and counts."""
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(7, -1)
+    gaps = sum(planes[i].astype(np.uint32) << np.uint32(8 * i) for i in range(3))
+    counts = sum(planes[3 + i].astype(np.int64) << 8 * i for i in range(4))
+    return np.cumsum(gaps, dtype=np.uint32), counts
+
+
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys, sorted, and their counts up to most: more need not be known."""
+    found, place = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.bincount(place, np.concatenate(counts), len(found)).astype(np.int64)
+    return found, np.minimum(total, most)
+
+
+def frequent(texts: DataFrame, min_count: int, hashes: Callable[[Block], np.ndarray]) -> Bitmap:
+    """The hashes that blocks have min_count times or more in all, and few others.
+
+    What a task has counted is shuffled in sorted ranges of hashes, packed to a few bytes a hash;
+    a range of the hash has a fixed number of places, so the task that sums it is bounded too.
+    """
+    most = min(min_count, (1 << 32) - 1)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        keys, counts = [], []
+
+        def written() -> dict:
+            tops, n = _summed(keys, counts, most)
+            parts = np.arange(1 << PART_BITS, dtype=np.uint64) << np.uint64(WIDTH_BITS)
+            cuts = np.append(np.searchsorted(tops, parts.astype(np.uint32)), len(tops))
+            some = np.flatnonzero(np.diff(cuts))
+            return {"part": some, "packed": [packed(tops[cuts[p] : cuts[p + 1]], n[cuts[p] : cuts[p + 1]]) for p in some]}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for block in blocks_of(batch):
-                words, pairs = block.keys()
-                keys, counts = np.unique(np.concatenate([words, pairs[block.linked]]), return_counts=True)
-                yield {"h": keys.view(np.int64), "n": counts}
+                tops = (hashes(block) >> np.uint64(32)).astype(np.uint32)
+                found, n = np.unique(tops, return_counts=True)
+                keys.append(found)
+                counts.append(n)
+                if sum(map(len, keys)) > 2 * HELD:
+                    found, n = _summed(keys, counts, most)
+                    keys[:], counts[:] = [found], [n]
+                    if len(found) > HELD:
+                        yield written()
+                        keys.clear()
+                        counts.clear()
+        if keys:
+            yield written()
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        held, keys, counts = None, [], []
+
+        def bits() -> dict:
+            places, n = _summed(keys, counts, most)
+            tops = places[n >= min_count].astype(np.int64) + (held << WIDTH_BITS)
+            # The words of a bitmap of 2**26 bits.
+            words, bit = tops >> 12, np.uint64(1) << ((tops >> 6) & 63).astype(np.uint64)
+            first = np.flatnonzero(np.diff(words, prepend=-1))
+            values = np.bitwise_or.reduceat(bit, first) if len(first) else bit
+            return {"w": words[first], "v": values.view(np.int64)}
+
+        for batch in batches:
+            for part, blob in zip(batch["part"].to_pylist(), batch["packed"].to_pylist()):
+                if part != held and keys:
+                    yield bits()
+                    keys, counts = [], []
+                held = part
+                places, n = unpacked(blob)
+                keys.append(places)
+                counts.append(n)
+                if sum(map(len, keys)) > 2 * HELD:
+                    places, n = _summed(keys, counts, most)
+                    keys, counts = [places], [n]
+        if keys:
+            yield bits()
+
+    counted = map_batches(texts, count, "part int, packed binary")
+    found = map_batches(counted.repartition("part").sortWithinPartitions("part"), total, "w int, v long").toArrow()
+    table = np.zeros(1 << 20, np.int64)
+    table[found["w"].to_numpy()] = found["v"].to_numpy()
+    return Bitmap(table.view(np.uint64), 26)
+
+
+def _short_hashes(block: Block) -> np.ndarray:
+    words, pairs = block.keys()
+    return np.concatenate([words, pairs[block.linked]])
+
+
+@dataclass(frozen=True)
+class Filter:
+    """Which words, pairs and triples of words may be in a candidate."""
 
-    counted = map_batches(texts, run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    return Bitmap.of(counted.where(F.col("n") >= min_count), "h")
+    short: Bitmap
+    triples: Bitmap | None = None
 
+    def words(self, block: Block) -> np.ndarray:
+        return self.short.has(block.keys()[0])
 
-def distinct_windows(block: Block, order: int, frequent: Bitmap) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def pairs(self, block: Block) -> np.ndarray:
+        """Of each word, whether it and the next one may go together."""
+        return block.linked & self.short.has(block.keys()[1])
+
+    def triple_hashes(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
+        """Words that begin a triple of such pairs, and the triples' hashes."""
+        follows = self.pairs(block)
+        at = np.flatnonzero(follows[:-1] & follows[1:])
+        pairs = block.keys()[1]
+        return at, mixed(pairs[at] * np.uint64(0x9E3779B97F4A7C15) + pairs[at + 1])
+
+    def triple(self, block: Block) -> np.ndarray:
+        """Of each word, whether it and the next two may go together."""
+        out = np.zeros(len(block.word), bool)
+        at, hashes = self.triple_hashes(block)
+        out[at] = True if self.triples is None else self.triples.has(hashes)
+        return out
+
+
+def _filter(texts: DataFrame, min_count: int) -> Filter:
+    """What is too rare to be in a candidate, or in one of three words or more."""
+    held = texts.sparkSession.sparkContext.broadcast(Filter(frequent(texts, min_count, _short_hashes)))
+    triples = frequent(texts, min_count, lambda block: held.value.triple_hashes(block)[1])
+    return Filter(held.value.short, triples)
+
+
+def distinct_windows(block: Block, order: int, known: Filter) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each different window of a block one word it begins at, its length, and its count."""
     n = len(block.word)
-    words, pairs = block.keys()
-    goes = frequent.has(words)
-    follows = block.linked & frequent.has(pairs)
+    goes, pairs, triples = known.words(block), known.pairs(block), known.triple(block)
     length = goes.astype(np.int64)
     which, codes = np.unique(
         block.lang * np.int64(len(block.vocabulary) + 1) + np.where(goes, block.word + 1, 0), return_inverse=True
     )
-    known = len(which)
+    seen = len(which)
     at = np.flatnonzero(goes)
     for more in range(1, order):
-        at = at[follows[at + more - 1]]
+        at = at[pairs[at]] if more == 1 else at[triples[at + more - 2]]
         longer = codes[at] * np.int64(len(block.vocabulary)) + block.word[at + more]
         which, place = np.unique(longer, return_inverse=True)
-        codes[at] = known + place
+        codes[at] = seen + place
         length[at] = more + 1
-        known += len(which)
-    counts = np.bincount(codes, minlength=known)
-    one = np.zeros(known, np.int64)
+        seen += len(which)
+    counts = np.bincount(codes, minlength=seen)
+    one = np.zeros(seen, np.int64)
     one[codes] = np.arange(n)
     used = np.flatnonzero(counts)
     return one[used], length[one[used]], counts[used]
@@ -117,9 +246,9 @@ def _columns(order: int) -> list[str]:
     return [f"w{k}" for k in range(1, order + 1)]
 
 
-def windows(texts: DataFrame, order: int, frequent: Bitmap) -> DataFrame:
+def windows(texts: DataFrame, order: int, known: Filter) -> DataFrame:
     """lang, w1 to w{order}, n: the longest windows and how often each occurs; null is padding."""
-    held = texts.sparkSession.sparkContext.broadcast(frequent)
+    held = texts.sparkSession.sparkContext.broadcast(known)
     names = _columns(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -140,7 +269,7 @@ def phrase_counts(texts: DataFrame, order: int, min_count: int) -> DataFrame:
     """lang, size, phrase, f: phrases of up to order words that occur min_count times or more, and
     for size 0 the number of words of the language."""
     names = _columns(order)
-    longest = saved(windows(texts, order, _frequent(texts, min_count)), "windows")
+    longest = saved(windows(texts, order, _filter(texts, min_count)), "windows")
     rolled = longest.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("rolled"))
     size = F.lit(order) - F.log2(F.col("rolled") + 1).cast("int")
     last = F.coalesce(*[F.when(F.col("size") == k, F.col(name)) for k, name in enumerate(names, 1)])

@@ -75,11 +75,11 @@ def test_scores_beyond_64_bits(spark):
 
 
 def test_what_the_bitmap_lets_pass_changes_nothing(spark, monkeypatch, chance):
-    """A bitmap that says yes to everything leaves whole windows, and the same phrases."""
+    """Bitmaps that say yes to everything leave whole windows, and the same phrases."""
     rows = [("x", " ".join(chance.choice("abcdef") for _ in range(60))) for _ in range(40)]
     wanted = mined(spark, rows, 5, 6, 100, 100)
     full = Bitmap(np.full(1, 2**64 - 1, np.uint64), 6)
-    monkeypatch.setattr(collocations, "_frequent", lambda *a: full)
+    monkeypatch.setattr(collocations, "_filter", lambda *a: collocations.Filter(full, full))
     assert mined(spark, rows, 5, 6, 100, 100) == wanted == plain(rows, 5, 6, 100, 100)
 
 
@@ -88,6 +88,29 @@ def test_windows_end_with_their_piece():
     (block,) = collocations.blocks_of(batch)
     assert block.linked.tolist() == [True, False, True, False, False]
     full = Bitmap(np.full(1, 2**64 - 1, np.uint64), 6)
-    one, length, counts = collocations.distinct_windows(block, 3, full)
+    one, length, counts = collocations.distinct_windows(block, 3, collocations.Filter(full))
     assert sorted(zip(one.tolist(), length.tolist())) == [(0, 2), (1, 1), (2, 2), (3, 1), (4, 1)]
     assert counts.tolist() == [1] * 5
+
+
+def test_counted_hashes(spark, chance, monkeypatch):
+    """Small pieces, many of them: exactly the hashes that are frequent by their upper 32 bits."""
+    monkeypatch.setattr(collocations, "HELD", 50)
+    rows = [("x", " ".join(str(chance.randint(0, 300)) for _ in range(40))) for _ in range(200)]
+    texts = spark.createDataFrame(rows, "lang string, text string").repartition(7)
+    hashes = Counter()
+    for block in collocations.blocks_of(pa.RecordBatch.from_pydict({"lang": ["x"] * 200, "text": [t for _, t in rows]})):
+        hashes.update(collocations._short_hashes(block).tolist())
+    for least in (1, 3, 25, 400):
+        bitmap = collocations.frequent(texts, least, collocations._short_hashes)
+        keys = np.array(list(hashes), np.uint64)
+        wanted = {h >> 38 for h, n in hashes.items() if n >= least}
+        assert {h >> 38 for h in keys[bitmap.has(keys)].tolist()} == wanted
+
+
+def test_packed_hashes_are_the_same_again(chance):
+    for n in (1, 5, 3000):
+        tops = np.array(sorted(chance.sample(range(1 << 22), n)), np.uint32)
+        counts = np.array([chance.choice([1, 2, 255, 256, 2**32 - 1]) for _ in range(n)])
+        places, again = collocations.unpacked(collocations.packed(tops + np.uint32(5 << 22), counts))
+        assert places.tolist() == tops.tolist() and again.tolist() == counts.tolist()
