@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,11 +21,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def column(name: str) -> Column:
+    """A column of a DataFrame by its name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def unused(name: str, *frames: DataFrame) -> str:
+    """The name, lengthened until no column of the frames has it."""
+    taken = {c.lower() for frame in frames for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id (long) and text (null becomes empty); whatever else the table has stays out."""
     return docs.select(
-        docs[id_col].cast("long").alias("doc_id"),
-        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"),
+        column(id_col).cast("long").alias("doc_id"),
+        F.coalesce(column(text_col).cast("string"), F.lit("")).alias("text"),
     )
 
 
@@ -151,6 +165,10 @@ class Bitmap:
         table[words["w"].to_numpy()] = words["v"].to_numpy()
         return cls(table.view(np.uint64), bits)
 
+    def __reduce__(self):
+        """Broadcast compressed: a bitmap of few members is a few bytes then."""
+        return _thawed, (zstandard.ZstdCompressor(level=1).compress(self.words.tobytes()), self.bits)
+
     @classmethod
     def none(cls) -> Bitmap:
         return cls(np.zeros(1, np.uint64), 6)
@@ -161,6 +179,10 @@ class Bitmap:
         return (word >> (key & np.uint64(63))) & np.uint64(1) != 0
 
 
+def _thawed(words: bytes, bits: int) -> Bitmap:
+    return Bitmap(np.frombuffer(zstandard.ZstdDecompressor().decompress(words), np.uint64), bits)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finalizer: spreads what little differs over all 64 bits."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

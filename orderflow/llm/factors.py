@@ -132,7 +132,8 @@ class Anchors:
         self.place = place[fresh]
         self.first = starts[fresh]
         self.last = starts[np.append(fresh[1:], len(starts))[: len(fresh)] - 1]
-        self.hash = grams[self.place]
+        # The least of many hashes are small numbers; hashed again, they fill a bitmap evenly.
+        self.hash = mixed(grams[self.place] ^ np.uint64(0xA0761D6478BD642F))
         self.text = np.searchsorted(piece.first, self.place, "right") - 1
         self.left = np.maximum(self.place - self.width + 1, piece.first[self.text])
         self.right = np.minimum(self.place + length, piece.end[self.text])
