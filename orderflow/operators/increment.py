@@ -1,7 +1,9 @@
-"""The bounded increment behind every poll: created_at in (lo, hi]."""
+"""The bounded increment behind every poll: created_at in (lo, hi], or a cursor's next stretch."""
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,35 +32,100 @@ def high_watermark(orders: DataFrame, lo: str = EPOCH) -> DataFrame:
     )
 
 
+class Cursor(NamedTuple):
+    """How far a poller has come in the order of (created_at, order_id), also within a tie. A row
+    without an id comes before the others of its moment."""
+
+    moment: str = EPOCH
+    id: int | None = None
+
+
+def beyond(orders: DataFrame, lo: Cursor, hi: Cursor | None = None) -> DataFrame:
+    """Rows after the cursor lo and, when given, not after hi.
+
+    Each bound is a range on created_at, which a scan or a database can skip by, and a tie branch
+    that only rows of that very moment need. The start of a table is the open EPOCH.
+    """
+    at = F.col("created_at")
+    known = F.col("order_id").isNotNull() if lo.id is None else F.col("order_id") > lo.id
+    if lo == Cursor():
+        rows = orders.where(at > _moment(lo.moment))
+    else:
+        rows = orders.where((at >= _moment(lo.moment)) & ((at > _moment(lo.moment)) | known))
+    if hi is not None:
+        upto = F.col("order_id").isNull() | (F.col("order_id") <= F.lit(hi.id))
+        rows = rows.where((at <= _moment(hi.moment)) & ((at < _moment(hi.moment)) | upto))
+    return rows.select(*ORDER_COLS)
+
+
+def cursor_after(orders: DataFrame, lo: Cursor, rows: int) -> Cursor | None:
+    """The cursor of the last of the next rows after lo, or of the last there is; None when
+    there is nothing."""
+    ahead = in_order(beyond(orders, lo).select("created_at", "order_id"))
+    found = ahead.offset(rows - 1).limit(1)
+    newest = beyond(orders, lo).agg(F.max(F.struct("created_at", "order_id")).alias("m")).select("m.*")
+    for at in (found, newest):
+        row = at.select(F.col("created_at").cast("string"), "order_id").first()
+        if row is not None and row[0] is not None:
+            return Cursor(*row)
+    return None
+
+
 def in_order(rows: DataFrame) -> DataFrame:
     """Oldest first. order_id breaks ties, so one busy instant still spreads over many tasks."""
     return rows.orderBy("created_at", "order_id")
 
 
-def with_position(rows: DataFrame, folder: str) -> DataFrame:
-    """in_order() with a gap-free position from 1, without passing the rows through one task.
+def write_in_order(rows: DataFrame, folder: str) -> None:
+    """Files that each hold a range of (created_at, order_id), sorted within."""
+    in_order(rows).write.parquet(folder)
+
 
-    A row_number() over everything, or over a day, would sort its whole window in a single
-    task. Here the global sort spreads the rows over range partitions, and a row's position is
-    its place in its partition plus the sizes of the partitions before. The sorted rows are
-    written to the folder so that sizes and places come from the same partitioning even if
-    an executor is lost in between.
+def file_ranges(rows: DataFrame) -> DataFrame:
+    """For each file behind rows: file, n, lo and hi (created_at, order_id), out_of_order (rows
+    whose predecessor in the file comes later) and overlaps (whether the file before, by lo,
+    reaches beyond lo).
+
+    One row for each file is windowed, never the rows of the whole table.
     """
-    spark = rows.sparkSession
-    in_order(rows).withColumn("_at", F.monotonically_increasing_id()).write.parquet(folder)
-    placed = spark.read.parquet(folder).withColumn(
-        "_part", F.shiftrightunsigned("_at", 33)
-    )
-    # monotonically_increasing_id: partition number above bit 33, place in the partition below.
-    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    # One row per sort partition, never more than spark.sql.shuffle.partitions: small enough
-    # for the one task of this window and for the broadcast.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        placed.groupBy("_part")
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
-    )
-    return placed.join(F.broadcast(starts), "_part").select(
-        *rows.columns, (F.col("_before") + place + 1).alias("pos")
+    key = F.struct("created_at", "order_id")
+    placed = rows.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    before = F.lag(key).over(Window.partitionBy("file").orderBy("at"))
+    files = (
+        placed.select("file", key.alias("key"), before.alias("before"))
+        .groupBy("file")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("key").alias("lo"),
+            F.max("key").alias("hi"),
+            F.count_if(F.col("before") > F.col("key")).alias("out_of_order"),
+        )
     )
+    reach = F.max("hi").over(Window.orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1))
+    return files.withColumn("overlaps", F.coalesce(reach > F.col("lo"), F.lit(False)))
+
+
+def order_facts(rows: DataFrame) -> DataFrame:
+    """One row: what the files behind rows show of their order. n, first and last, and how many
+    rows and files are out of order."""
+    return file_ranges(rows).agg(
+        F.sum("n").alias("n"),
+        F.min("lo").alias("lo"),
+        F.max("hi").alias("hi"),
+        F.sum("out_of_order").alias("rows_out_of_order"),
+        F.count_if("overlaps").alias("files_that_overlap"),
+    ).select(
+        "n", F.col("lo.created_at").alias("first_at"), F.col("lo.order_id").alias("first_id"),
+        F.col("hi.created_at").alias("last_at"), F.col("hi.order_id").alias("last_id"),
+        "rows_out_of_order", "files_that_overlap",
+    )
+
+
+def with_position(rows: DataFrame) -> DataFrame:
+    """Rows read from files in order, with a gap-free position from 1: the place in the file plus
+    the rows of the files before. No window runs over the rows."""
+    files = file_ranges(rows)
+    before = Window.orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
+    placed = rows.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("_at"))
+    return placed.join(starts, "file").select(*rows.columns, (F.col("_before") + F.col("_at") + 1).alias("pos"))

@@ -10,12 +10,19 @@ def total_orders(orders: DataFrame) -> DataFrame:
     return orders.agg(F.count(F.lit(1)).alias("total_orders"))
 
 
+def gate(total: DataFrame, *at_least: int) -> DataFrame:
+    """total_orders against each of the limits: at_least, total_orders, passed."""
+    limits = F.explode(F.array(*[F.lit(n).cast("bigint") for n in at_least]))
+    rows = total.withColumn("at_least", limits)
+    return rows.select("at_least", "total_orders", (F.col("total_orders") >= F.col("at_least")).alias("passed"))
+
+
 def require_orders(total: DataFrame, at_least: int = 10) -> int:
     """The start-up gate: fail unless total_orders found enough rows."""
-    found = total.first()["total_orders"]
-    if found < at_least:
-        raise ValueError(f"expected at least {at_least} orders, found {found}")
-    return found
+    found = gate(total, at_least).first()
+    if not found["passed"]:
+        raise ValueError(f"expected at least {at_least} orders, found {found['total_orders']}")
+    return found["total_orders"]
 
 
 def orders_per_date(lake: DataFrame) -> DataFrame:

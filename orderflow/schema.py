@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Every producer and consumer of these events has to agree on them.
@@ -25,6 +27,14 @@ DEFAULT_ID_TYPE = "int"
 ID_TYPES = {"int": T.IntegerType(), "bigint": T.LongType()}
 LARGEST_ID = {"int": 2**31 - 1, "bigint": 2**63 - 1}
 
+# A day as a number, with one that no date has for orders without a date: they match each other by
+# plain equality.
+NO_DAY = -(2**31)
+
+
+def day_number(date: Column) -> Column:
+    return F.coalesce(F.unix_date(date), F.lit(NO_DAY))
+
 
 def table_schema(id_type: str = DEFAULT_ID_TYPE) -> T.StructType:
     """The source table; only created_at may be null."""

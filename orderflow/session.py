@@ -44,7 +44,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = tempfile.gettempdir()
     return f"{shared.rstrip('/')}/orderflow-{uuid.uuid4().hex}/{name}"

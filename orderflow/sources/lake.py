@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections import Counter
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.schema import DEFAULT_ID_TYPE, lake_schema
-from orderflow.sources.paths import load_if_any, path_exists
+from orderflow.sources.paths import listing, path_exists
 
 NULL_DATE = "__HIVE_DEFAULT_PARTITION__"
 
@@ -25,22 +22,17 @@ def by_date(orders: DataFrame) -> DataFrame:
 
 
 def append_by_date(
-    orders: DataFrame, path: str, fmt: str = "parquet", tasks: int | None = None
+    orders: DataFrame, path: str, fmt: str = "parquet", name: str | None = None
 ) -> None:
     """Append cleaned orders. The writer sorts by day anyway; sorting by id as well gives row
     groups narrow id ranges, which lookups by id and the search for known ids skip on.
 
-    tasks spreads the days evenly over so many tasks, for a caller who knows that no day is
-    large: with many thin days, opening the files is the work, not filling them.
+    With a name, the files begin with it, and the rows stay dealt to tasks as they are.
     """
-    spread = orders.repartition(tasks, "date") if tasks else by_date(orders)
-    (
-        spread.sortWithinPartitions("date", "order_id")
-        .write.mode("append")
-        .format(fmt)
-        .partitionBy("date")
-        .save(path)
-    )
+    writer = (by_date(orders) if name is None else orders).sortWithinPartitions("date", "order_id").write
+    if name is not None:
+        writer = writer.option("mapreduce.output.basename", name)
+    writer.mode("append").format(fmt).partitionBy("date").save(path)
 
 
 def read_lake(
@@ -49,22 +41,6 @@ def read_lake(
     return spark.read.format(fmt).schema(lake_schema(id_type)).load(path)
 
 
-def find_lake(
-    spark: SparkSession,
-    path: str,
-    days: list[str | None] | None = None,
-    fmt: str = "parquet",
-    id_type: str = DEFAULT_ID_TYPE,
-) -> DataFrame | None:
-    """The lake, or the given days of it without listing any other folder; None when there is
-    no such folder yet."""
-    reader = spark.read.format(fmt).schema(lake_schema(id_type)).option("basePath", path)
-    if days is None:
-        return load_if_any(reader, path)
-    folders = ",".join(f"date={day or NULL_DATE}" for day in days)
-    return load_if_any(reader, f"{path}/{{{folders}}}")
-
-
 def data_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """One row: the number of data files, from the listing alone."""
     return (
@@ -76,13 +52,12 @@ def data_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     )
 
 
-def files_per_day(lake: DataFrame) -> DataFrame:
-    """date, n_files, from the listing that reading the lake made anyway; no file is opened."""
-    folders = [unquote(file).rsplit("/", 2)[1] for file in lake.inputFiles()]
-    days = Counter(folder.removeprefix("date=") for folder in folders)
-    rows = [(None if day == NULL_DATE else day, n) for day, n in days.items()]
-    counted = lake.sparkSession.createDataFrame(rows, "day string, n_files bigint")
-    return counted.select(F.col("day").cast("date").alias("date"), "n_files")
+def files_per_day(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """date, n_files of a lake, from a listing that the cluster shares; no file is opened."""
+    found = listing(spark, path, f"*.{fmt}").where(F.col("folder").startswith("date="))
+    day = F.regexp_replace("folder", "^date=", "")
+    counted = found.groupBy(F.nullif(day, F.lit(NULL_DATE)).cast("date").alias("date"))
+    return counted.agg(F.count(F.lit(1)).alias("n_files"))
 
 
 def has_sink_log(spark: SparkSession, path: str) -> bool:

@@ -7,10 +7,11 @@ import threading
 from dataclasses import replace
 from datetime import datetime, timedelta
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+from orderflow.operators.increment import beyond, cursor_after
 from orderflow.schema import DEFAULT_ID_TYPE, EPOCH, LARGEST_ID
-from orderflow.sources.state import read_watermark, save_watermark
+from orderflow.sources.state import read_cursor, read_watermark, save_cursor, save_watermark
 from orderflow.sources.table import OrderTable, Reach
 from orderflow.sources.topic import Topic
 
@@ -56,6 +57,19 @@ def poll_once(
     return reach
 
 
+def poll_next(spark: SparkSession, orders: DataFrame, topic: Topic, state: str, rows: int) -> bool:
+    """Publish the next rows in the order of (created_at, order_id) and move the cursor; False when
+    there are none. A poll ends anywhere in a tie, and the next one goes on from there, so a busy
+    moment is cut like any other stretch and no row is published twice or passed over."""
+    lo = read_cursor(spark, state)
+    hi = cursor_after(orders, lo, rows)
+    if hi is None:
+        return False
+    topic.publish(beyond(orders, lo, hi))
+    save_cursor(spark, state, hi)
+    return True
+
+
 def poll_until(
     stop: threading.Event,
     spark: SparkSession,

@@ -4,9 +4,20 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from orderflow.operators.increment import high_watermark, in_order, increment, with_position
+from orderflow.operators.increment import (
+    Cursor,
+    beyond,
+    cursor_after,
+    file_ranges,
+    high_watermark,
+    in_order,
+    increment,
+    order_facts,
+    with_position,
+    write_in_order,
+)
 from orderflow.schema import EPOCH
-from orderflow.sources.state import read_watermark, save_watermark
+from orderflow.sources.state import read_cursor, read_watermark, save_cursor, save_watermark
 from tests.samples import ids, order
 
 
@@ -42,13 +53,69 @@ def test_order_and_positions(spark, orders, folder):
     assert [r["order_id"] for r in in_order(table).collect()] == expected
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        placed = with_position(table, folder("sorted"))
+        write_in_order(table, folder("sorted"))
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    stored = spark.read.parquet(folder("sorted"))
+    placed = with_position(stored)
+    assert placed.columns == [*table.columns, "pos"]
     assert {r["order_id"]: r["pos"] for r in placed.collect()} == {i: i + 1 for i in expected}
     # One moment holds nearly all rows, and still the sort used several tasks.
-    parts = spark.read.parquet(folder("sorted")).selectExpr("_at >> 33 AS p").distinct().count()
-    assert parts > 1
+    assert file_ranges(stored).count() > 1
+    facts = order_facts(stored).first()
+    assert (facts["n"], facts["first_id"], facts["last_id"]) == (401, 0, 400)
+    assert (facts["rows_out_of_order"], facts["files_that_overlap"]) == (0, 0)
+
+
+def test_facts_show_what_is_out_of_order(spark, orders, folder):
+    rows = [order(i, f"2025-03-01 00:00:{i:02d}") for i in (5, 1, 3, 2)]
+    orders(*rows).coalesce(1).write.parquet(folder("one"))
+    orders(order(4, "2025-03-01 00:00:04")).coalesce(1).write.mode("append").parquet(folder("one"))
+    facts = order_facts(spark.read.parquet(folder("one"))).first()
+    assert (facts["n"], facts["rows_out_of_order"], facts["files_that_overlap"]) == (5, 2, 1)
+
+
+cursors = st.lists(st.tuples(st.integers(0, 3), st.none() | st.integers(0, 20)), max_size=25)
+
+
+@settings(
+    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(cursors, st.integers(1, 6))
+def test_polls_by_cursor_take_each_row_once(spark, orders, rows, size):
+    """Rows of few moments, some without an id: whatever the size of a poll, it ends within ties."""
+    table = orders(*[order(i, f"2025-01-01 00:00:0{m}.5") for m, i in rows], order(99, None))
+    table = table.persist()
+    lo, found = Cursor(), []
+    while (hi := cursor_after(table, lo, size)) is not None:
+        taken = [(r["created_at"], r["order_id"]) for r in beyond(table, lo, hi).collect()]
+        assert taken and hi != lo
+        found += sorted(taken, key=lambda r: (r[0], r[1] is not None, r[1]))
+        lo = hi
+    wanted = table.where("created_at IS NOT NULL").orderBy("created_at", "order_id")
+    assert found == [(r["created_at"], r["order_id"]) for r in wanted.collect()]
+    table.unpersist()
+
+
+def test_a_cursor_reaches_the_scan_as_a_range(spark, orders, folder):
+    orders(order(1), order(2)).write.parquet(folder("table"))
+    rows = beyond(spark.read.parquet(folder("table")), Cursor("2025-01-01 00:00:00", 5), Cursor("2025-02-01 00:00:00", 7))
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    shown = rows._jdf.queryExecution().explainString(mode)
+    assert "GreaterThanOrEqual(created_at,2025-01-01T00:00)" in shown
+    assert "LessThanOrEqual(created_at,2025-02-01T00:00)" in shown
+
+
+def test_cursor_state(spark, folder):
+    assert read_cursor(spark, folder("state")) == Cursor()
+    for cursor in (Cursor("2025-01-01 00:00:00.25", -7), Cursor("2025-01-01 00:00:00.25", 12), Cursor("2025-01-02 00:00:00", 3)):
+        save_cursor(spark, folder("state"), cursor)
+        assert read_cursor(spark, folder("state")) == cursor
+    with pytest.raises(ValueError, match="cursor"):
+        read_watermark(spark, folder("state"))
+    # A watermark is taken over: all rows of its moment have been polled.
+    save_watermark(spark, folder("plain"), "2025-01-01 00:00:00")
+    assert read_cursor(spark, folder("plain")) == Cursor("2025-01-01 00:00:00", 2**63 - 1)
 
 
 moments = st.lists(

@@ -14,7 +14,7 @@ from orderflow.operators.reports import (
     total_orders,
 )
 from orderflow.schema import lake_schema, wire_schema
-from orderflow.sources.lake import NULL_DATE, append_by_date, data_files, find_lake, read_lake
+from orderflow.sources.lake import NULL_DATE, append_by_date, data_files, read_lake
 from tests.samples import ids, order
 
 
@@ -74,16 +74,6 @@ def test_a_hot_day_is_written_by_several_tasks(spark, cleaned, folder, tmp_path)
     assert read_lake(spark, folder("lake")).count() == 20_000
 
 
-def test_named_days_only(spark, cleaned, folder):
-    append_by_date(cleaned((1, 5, day(18)), (2, 6, day(19)), (3, 7, None)), folder("lake"))
-    assert ids(find_lake(spark, folder("lake"), ["2025-11-18", "2031-01-01"])) == [1]
-    assert ids(find_lake(spark, folder("lake"), [None])) == [3]
-    assert find_lake(spark, folder("lake"), ["2031-01-01"]) is None
-    assert find_lake(spark, folder("nothing"), ["2031-01-01"]) is None
-    assert ids(find_lake(spark, folder("lake"))) == [1, 2, 3]
-    assert find_lake(spark, folder("nothing")) is None
-
-
 def plan(frame):
     return frame._jdf.queryExecution().explainString(
         frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")

@@ -1,6 +1,8 @@
 import datetime
 
 from orderflow.operators.quality import (
+    RANGE_BITS,
+    Reconciliation,
     never_polled,
     null_violations,
     reconcile,
@@ -36,3 +38,37 @@ def test_reconcile_finds_missing_unexpected_and_repeated(spark):
     )
     found = {r["date"]: tuple(r)[1:] for r in reconcile(source, lake).collect()}
     assert found == {one: (3, 4, 1, 0, 1), two: (0, 1, 0, 1, 0), None: (1, 1, 0, 0, 0)}
+
+
+def test_only_ranges_that_differ_are_compared_by_id(spark):
+    """Sixty days of two ranges of ids each; in forty days the lake lacks the first id of a range."""
+    size = 1 << RANGE_BITS
+    day = "date_add(DATE'2025-01-01', CAST(id div (2 * 50) AS INT))"
+    rows = spark.range(60 * 2 * 50).selectExpr(f"id div 50 * {size} + id % 50 AS order_id", f"{day} AS date")
+    lost = "date < DATE'2025-02-10' AND order_id %% %d = 0 AND order_id div %d %% 2 = 1" % (size, size)
+    checked = Reconciliation(rows, rows.where(f"NOT ({lost})"))
+    assert checked.days.where("NOT same").count() == 40 == checked.nodes.where("NOT same").count()
+    # Of 6,000 ids, those of the 40 ranges are compared; the other range of each day is not.
+    assert [side.count() for side in checked.suspects] == [40 * 50, 40 * 49]
+    found = checked.per_day().collect()
+    assert len(found) == 60 and sum(r["missing"] for r in found) == 40
+    assert sum(r["n_source"] for r in found) == 6000 == sum(r["n_lake"] for r in found) + 40
+    assert all(r["unexpected"] == r["repeated"] == 0 for r in found)
+
+
+def test_nothing_is_compared_by_id_where_all_agrees(spark):
+    rows = spark.range(1000).selectExpr("id AS order_id", "DATE'2025-01-01' AS date")
+    rows = rows.union(spark.createDataFrame([(-1, None)], "order_id bigint, date date"))
+    checked = Reconciliation(rows, rows.repartition(7))
+    assert [side.count() for side in checked.suspects] == [0, 0]
+    assert sorted((r["n_source"], r["n_lake"], r["missing"]) for r in checked.per_day().collect()) == [(1, 1, 0), (1000, 1000, 0)]
+
+
+def test_copies_on_one_side_differ(spark):
+    """An id twice on one side and another twice on the other: equal counts, other checksums."""
+    schema = "order_id bigint, date date"
+    day = datetime.date(2025, 1, 1)
+    source = spark.createDataFrame([(1, day), (1, day), (2, day)], schema)
+    lake = spark.createDataFrame([(1, day), (2, day), (2, day)], schema)
+    (row,) = reconcile(source, lake).collect()
+    assert (row["n_source"], row["n_lake"], row["repeated"]) == (3, 3, 1)

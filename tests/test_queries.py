@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as contract
 from orderflow.plans import oracle, queries
-from orderflow.sources.lake import files_per_day, read_lake
+from orderflow.sources.lake import files_per_day
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
@@ -40,9 +40,9 @@ def test_query_gives_what_the_sql_gives(spark, duck, name):
 def test_files_per_day(spark):
     contract.queries()["lake_count"](spark, SF_DIR).collect()
     path = queries._built[(spark.sparkContext.applicationId, SF_DIR)]
-    found = files_per_day(read_lake(spark, path)).collect()
+    found = files_per_day(spark, path).collect()
     assert sum(r["n_files"] for r in found) == len(list(Path(path).rglob("*.parquet"))) >= 31
-    assert len(found) == 31
+    assert len(found) == 31 and sum(r["date"] is None for r in found) == 1
 
 
 def test_a_shared_lake_that_was_cleared_is_written_again(spark):
