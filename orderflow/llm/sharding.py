@@ -15,6 +15,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderflow.llm.common import column, unused
+
 TABLE_SIZE = 65537
 
 
@@ -61,16 +63,15 @@ def place(
     One row per row of df; equal keys go to the same shard, null keys to that of the empty
     text. The table is broadcast: it has size rows whatever df has.
     """
+    key, name = unused("_key", df), unused("_name", df)
     table = df.sparkSession.createDataFrame(
         [(slot, shards[shard]) for slot, shard in enumerate(fill(shards, size).tolist())],
-        "__slot long, __shard string",
-    )
-    kept = df.select(
-        slot_of(df[key_col], size).alias("slot"),
-        *[df[c] for c in df.columns if c not in ("slot", "shard")],
+        f"{key} long, {name} string",
     )
-    placed = kept.join(F.broadcast(table), kept["slot"] == table["__slot"])
-    return placed.drop("__slot").withColumnRenamed("__shard", "shard")
+    kept = df.withColumn(key, slot_of(column(key_col), size))
+    rest = [column(c) for c in df.columns if c.lower() not in ("slot", "shard")]
+    placed = kept.join(F.broadcast(table), key)
+    return placed.select(column(key).alias("slot"), *rest, column(name).alias("shard"))
 
 
 def write(df: DataFrame, key_col: str, shards: Sequence[str], path: str) -> None:

@@ -55,3 +55,11 @@ def test_what_cannot_be_filled():
     for names, size in (([], 7), (["a", "a"], 7), (["a"], 8), (["a", "b", "c"], 2)):
         with pytest.raises(ValueError):
             sharding.fill(names, size)
+
+
+def test_odd_column_names(spark):
+    names = ["a.b", "_key", "_name", "__slot", "__shard", "slot"]
+    docs = spark.createDataFrame([(1, 2, 3, 4, 5, 6)], ", ".join(f"`{n}` int" for n in names))
+    placed = sharding.place(docs, "a.b", ["x", "y"])
+    assert placed.columns == ["slot", "a.b", "_key", "_name", "__slot", "__shard", "shard"]
+    assert tuple(placed.drop("slot", "shard").first()) == (1, 2, 3, 4, 5)
