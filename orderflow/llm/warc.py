@@ -211,10 +211,12 @@ def parsed(spark: SparkSession, path: str) -> DataFrame:
 def _fields(record: bytes) -> tuple:
     head, _, rest = record.partition(b"\r\n\r\n")
     lines = (line.partition(b":") for line in head.split(b"\r\n"))
-    headers = {name.strip().lower().decode(): value.strip().decode() for name, _, value in lines}
+    # Header fields are Latin-1 at worst: every byte has a character there.
+    headers = {name.strip().lower().decode("latin-1"): value.strip().decode("latin-1") for name, _, value in lines}
 
     def number(name: str) -> int | None:
-        return int(headers[name]) if headers.get(name, "").isdigit() else None
+        value = headers.get(name, "")
+        return int(value) if value.isascii() and value.isdigit() else None
 
     length = number("content-length")
     block = rest[:length] if length is not None else rest

@@ -99,3 +99,10 @@ def test_chunked_framing():
     assert warc.unchunked(b"3;ext=1\r\nabc\r\n0\r\ntrailer: 1\r\n\r\n") == b"abc"
     for broken in (b"", b"3\r\nab", b"zz\r\nab\r\n0\r\n\r\n", b"2\r\nabc\r\n0\r\n\r\n"):
         assert warc.unchunked(broken) is None
+
+
+def test_header_bytes_that_are_not_utf8(spark, tmp_path):
+    record = b"WARC/1.1\r\nWARC-Type: resp\xf6nse\r\nWARC-Record-ID: <urn:page:5>\r\nContent-Length: \xb2\r\n\r\nblock\r\n\r\n"
+    (tmp_path / "odd.warc").write_bytes(record)
+    (row,) = warc.parsed(spark, str(tmp_path)).collect()
+    assert row["type"] == "resp\xf6nse" and not row["whole"]
