@@ -2,8 +2,8 @@
 
 A document is the average of learned vectors of its words, word pairs and character n-grams,
 hashed to BUCKETS; a softmax layer turns the average into class probabilities. Vectors and layer
-are trained with stochastic gradient descent on the driver, on a sample of labelled rows of at
-most MAX_TRAIN documents. As average and layer are linear, scoring needs one number a bucket,
+are trained with stochastic gradient descent on the driver, on a sample of at most MAX_TRAIN labelled
+documents, one row each, whose packed features are at most MAX_PACKED bytes together. As average and layer are linear, scoring needs one number a bucket,
 which is broadcast: its size is BUCKETS whatever the data's.
 """
 
@@ -14,17 +14,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import filter_rows, map_batches, mixed, texts_of
-from orderflow.llm.words import Words, gram_hashes, lists, word_blocks
+from orderflow.llm.common import filter_rows, map_batches, mixed, saved, texts_of
+from orderflow.llm.words import Words, gram_hashes, word_blocks
 
 BUCKET_BITS = 17
 BUCKETS = 1 << BUCKET_BITS
 DIMENSIONS = 8
 EPOCHS = 4
 MAX_TRAIN = 6000
+MAX_PACKED = 64 << 20
 RATE = 0.5
 # Vectors get the gradient of the average times this, or rare features would hardly move.
 VECTOR_GAIN = 300.0
@@ -79,34 +81,68 @@ class Model:
         return 1 / (1 + np.exp(-(total / np.maximum(count, 1) + self.bias)))
 
 
-def descend(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 1) -> Model:
-    """Stochastic gradient descent over (buckets, counts, label), with a falling rate."""
-    rng = np.random.default_rng(seed)
-    vectors = rng.uniform(-1, 1, (BUCKETS, DIMENSIONS)) / DIMENSIONS
-    layer, bias = np.zeros((DIMENSIONS, 2)), np.zeros(2)
-    share = np.mean([label for _, _, label in rows]) if rows else 0.5
-    bias[:] = np.log(np.clip([1 - share, share], 1e-3, 1))
-    layer[:] = rng.uniform(-1, 1, layer.shape) / DIMENSIONS
-    steps = max(1, EPOCHS * len(rows))
-    for step in range(EPOCHS * len(rows)):
-        if step % len(rows) == 0:
-            order = rng.permutation(len(rows))
-        buckets, counts, label = rows[order[step % len(rows)]]
-        rate = RATE * (1 - step / steps)
+def packed(buckets: np.ndarray, counts: np.ndarray) -> bytes:
+    """The different buckets of a text, sorted, and their counts: planes of bytes, compressed."""
+    gaps = np.diff(buckets, prepend=np.int32(0)).astype("<u4").view(np.uint8).reshape(-1, 4)
+    sizes = counts.astype("<u4").view(np.uint8).reshape(-1, 4)
+    planes = np.concatenate([gaps.T[:3], sizes.T])
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(7, -1)
+    gaps = sum(planes[i].astype(np.int32) << 8 * i for i in range(3))
+    return np.cumsum(gaps, dtype=np.int32), sum(planes[3 + i].astype(np.int64) << 8 * i for i in range(4))
+
+
+@dataclass
+class Learner:
+    """Vectors, layer and bias, and one step of gradient descent."""
+
+    vectors: np.ndarray
+    layer: np.ndarray
+    bias: np.ndarray
+
+    @classmethod
+    def begin(cls, share: float, rng: np.random.Generator) -> Learner:
+        vectors = rng.uniform(-1, 1, (BUCKETS, DIMENSIONS)) / DIMENSIONS
+        bias = np.log(np.clip([1 - share, share], 1e-3, 1))
+        return cls(vectors, rng.uniform(-1, 1, (DIMENSIONS, 2)) / DIMENSIONS, bias)
+
+    def step(self, buckets: np.ndarray, counts: np.ndarray, label: int, rate: float) -> None:
         part = counts / max(1, counts.sum())
-        mean = part @ vectors[buckets]
-        odds = mean @ layer + bias
+        mean = part @ self.vectors[buckets]
+        odds = mean @ self.layer + self.bias
         gap = np.exp(odds - odds.max())
         gap /= gap.sum()
         gap[label] -= 1
-        vectors[buckets] -= rate * VECTOR_GAIN * np.outer(part, layer @ gap)
-        layer -= rate * np.outer(mean, gap)
-        bias -= rate * 0.1 * gap
-    return Model((vectors @ (layer[:, 1] - layer[:, 0])).astype(np.float32), bias[1] - bias[0])
+        self.vectors[buckets] -= rate * VECTOR_GAIN * np.outer(part, self.layer @ gap)
+        self.layer -= rate * np.outer(mean, gap)
+        self.bias -= rate * 0.1 * gap
+
+    def model(self) -> Model:
+        odds = self.layer[:, 1] - self.layer[:, 0]
+        return Model((self.vectors @ odds).astype(np.float32), self.bias[1] - self.bias[0])
+
+
+def descend(rows: list[tuple[bytes, int]], seed: int = 1) -> Model:
+    """Stochastic gradient descent over (packed features, label), with a falling rate. Without rows
+    all scores are one half."""
+    if not rows:
+        return Model(np.zeros(BUCKETS, np.float32), 0.0)
+    rng = np.random.default_rng(seed)
+    learner = Learner.begin(np.mean([label for _, label in rows]), rng)
+    steps = EPOCHS * len(rows)
+    for step in range(steps):
+        if step % len(rows) == 0:
+            order = rng.permutation(len(rows))
+        blob, label = rows[order[step % len(rows)]]
+        learner.step(*unpacked(blob), label, RATE * (1 - step / steps))
+    return learner.model()
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """doc_id, label, buckets and how often each occurs in the text."""
+    """place, label, and the packed features of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -114,27 +150,20 @@ def counted(docs: DataFrame) -> DataFrame:
                 found = list(features(words))
                 key = np.concatenate([t * np.int64(BUCKETS) + b for b, t in found])
                 key, counts = np.unique(key, return_counts=True)
-                sizes = np.bincount(key // BUCKETS, minlength=upto - at)
+                cuts = np.searchsorted(key, np.arange(upto - at + 1) * BUCKETS)
+                buckets = (key % BUCKETS).astype(np.int32)
                 yield {
-                    "doc_id": batch["doc_id"][at:upto],
+                    "place": batch["place"][at:upto],
                     "label": batch["label"][at:upto],
-                    "buckets": lists((key % BUCKETS).astype(np.int32), sizes),
-                    "counts": lists(counts.astype(np.int32), sizes),
+                    "packed": [packed(buckets[a:b], counts[a:b]) for a, b in zip(cuts[:-1], cuts[1:])],
                 }
 
-    schema = "doc_id long, label int, buckets array<int>, counts array<int>"
-    return map_batches(docs, run, schema)
-
+    return map_batches(docs, run, "place int, label int, packed binary")
 
-def train(
-    docs: DataFrame, labels: DataFrame, label_col: str, max_train: int = MAX_TRAIN
-) -> Model:
-    """A model of labels (doc_id and 0 or 1 in label_col) of documents (doc_id, text).
 
-    Fits on the max_train labelled doc_ids with the smallest MD5, so the same at any order of
-    rows. Labels that are null, of a null doc_id or of no document are left out; of several for
-    a doc_id, the majority counts, and 1 in a tie. Without labels all scores are one half.
-    """
+def sampled(docs: DataFrame, labels: DataFrame, label_col: str, max_train: int) -> DataFrame:
+    """place, label, text: one row for each of the max_train labelled doc_ids with the smallest MD5,
+    in that order. Of several rows of a doc_id the text with the smallest MD5 counts."""
     label = F.col(label_col).cast("double")
     sample = (
         labels.where(label.isin(0.0, 1.0) & F.col("doc_id").isNotNull())
@@ -143,14 +172,28 @@ def train(
         .orderBy(F.md5(F.col("labelled").cast("string")), "labelled")
         .limit(max_train)
     )
-    # max_train rows at most, whatever the data.
+    # max_train rows at most, whatever the data; so are the groups.
     texts = texts_of(docs).join(F.broadcast(sample), F.col("doc_id") == F.col("labelled"))
-    table = counted(texts.select("doc_id", "text", "label")).toArrow().sort_by("doc_id")
-    rows = [
-        (b.values.to_numpy(), c.values.to_numpy(), label)
-        for b, c, label in zip(table["buckets"], table["counts"], table["label"].to_pylist())
-    ]
-    return descend(rows)
+    one = F.min(F.struct(F.md5("text"), "text"))["text"].alias("text")
+    place = F.row_number().over(Window.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id")).alias("place")
+    return texts.groupBy("doc_id", "label").agg(one).select(place, "label", "text")
+
+
+def train(
+    docs: DataFrame, labels: DataFrame, label_col: str, max_train: int = MAX_TRAIN, max_packed: int = MAX_PACKED
+) -> Model:
+    """A model of labels (doc_id and 0 or 1 in label_col) of documents (doc_id, text).
+
+    Fits on the max_train labelled doc_ids with the smallest MD5, so the same at any order of
+    rows, or on the first of these whose packed features are max_packed bytes together; texts are
+    taken whole. Labels that are null, of a null doc_id or of no document are left out; of several
+    for a doc_id, the majority counts, and 1 in a tie; of several texts of a doc_id, one counts.
+    Without labels all scores are one half.
+    """
+    found = saved(counted(sampled(docs, labels, label_col, max_train)), "features")
+    taken = F.sum(F.octet_length("packed")).over(Window.orderBy("place")) <= max_packed
+    rows = found.withColumn("taken", taken).where("taken").orderBy("place").select("packed", "label")
+    return descend([(row["packed"], row["label"]) for row in rows.toLocalIterator()])
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

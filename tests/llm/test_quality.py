@@ -1,9 +1,13 @@
+import math
+from collections import Counter
 from zlib import crc32
 
-from pyspark.sql import functions as F
+import numpy as np
+import pyarrow as pa
 
 from orderflow.llm import quality
 from orderflow.llm.queries import op10_quality
+from orderflow.llm.words import word_blocks
 from tests.llm.conftest import ODD
 
 
@@ -33,5 +37,99 @@ def test_odd_rows_and_labels(spark, table):
     again = quality.train(docs, labels, "quality")
     assert (again.weights == model.weights).all()
     none = quality.train(docs, labels.limit(0), "quality")
-    assert {r["score"] for r in quality.score(docs.where(F.lit(True)), none).select(F.round("score", 1).alias("score")).collect()} == {0.5}
+    assert {r["score"] for r in quality.score(docs, none).collect()} == {0.5}
     assert quality.score(docs.limit(0), model).collect() == []
+
+
+def test_one_row_for_each_labelled_id_reaches_the_driver(spark, monkeypatch):
+    docs = spark.range(2000).selectExpr("7 AS doc_id", "concat('text number ', id) AS text")
+    docs = docs.union(spark.createDataFrame([(8, "another text")], "doc_id int, text string"))
+    labels = spark.createDataFrame([(7, 1), (8, 0), (9, 1)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "descend", lambda rows: seen.append([label for _, label in rows]))
+    for most in (1, 2, 3):
+        quality.train(docs, labels, "quality", max_train=most)
+    # 9, of no document, has its place among the smallest MD5s.
+    assert [len(rows) for rows in seen] == [sum(i in (7, 8) for i in sorted((7, 8, 9), key=md5)[:n]) for n in (1, 2, 3)]
+    quality.train(docs, labels, "quality", max_packed=1)
+    assert seen[-1] == []
+
+
+def md5(number):
+    import hashlib
+
+    return hashlib.md5(str(number).encode()).hexdigest()
+
+
+def words_of(*texts):
+    ((_, _, words),) = word_blocks(pa.array(texts))
+    return words
+
+
+def plain_features(text):
+    """What a text's features are made of, without their hashes."""
+    words = text.encode().split()
+    found = Counter(words) + Counter(zip(words, words[1:]))
+    padded = bytes(b if b not in b" \t\n\v\f\r" else 32 for b in text.encode())
+    for size in quality.CHAR_SIZES:
+        grams = (padded[s : s + size] for s in range(len(padded) - size + 1))
+        found += Counter((size, g) for g in grams if b" " not in g[1:-1])
+    return found
+
+
+def test_features_and_scores_are_those_of_each_text(chance):
+    texts = ["one two  one\ttwo", "", " x ", "été a\nbc d", "".join(chance.choice("ab c") for _ in range(300))]
+    words = words_of(*texts)
+    block = [Counter() for _ in texts]
+    for buckets, text in quality.features(words):
+        for b, t in zip(buckets.tolist(), text.tolist()):
+            block[t][b] += 1
+    for text, found in zip(texts, block):
+        alone = Counter(b for buckets, _ in quality.features(words_of(text)) for b in buckets.tolist())
+        assert alone == found
+        # Buckets may clash, so they are compared by their counts alone.
+        wanted = plain_features(text)
+        assert sum(found.values()) == sum(wanted.values())
+        assert 0 <= len(wanted) - len(found) <= 3
+    rng = np.random.default_rng(3)
+    model = quality.Model(rng.normal(0, 3, quality.BUCKETS).astype(np.float32), 0.25)
+    for found, score in zip(block, model.scores(words)):
+        n = sum(found.values())
+        odds = sum(float(model.weights[b]) * c for b, c in found.items()) / max(1, n) + model.bias
+        assert math.isclose(score, 1 / (1 + math.exp(-odds)), rel_tol=1e-5)
+
+
+def test_a_step_goes_down_the_gradient(chance):
+    """Against differences of the loss, for the layer, the bias and the vectors."""
+    rng = np.random.default_rng(2)
+    buckets, counts = np.array([3, 9, 40]), np.array([1, 2, 5])
+
+    def loss(learner, label):
+        odds = (counts / counts.sum()) @ learner.vectors[buckets] @ learner.layer + learner.bias
+        return np.log(np.exp(odds).sum()) - odds[label]
+
+    for label in (0, 1):
+        learner = quality.Learner.begin(0.3, np.random.default_rng(5))
+        learner.bias = learner.bias + rng.normal(0, 1, 2)
+        before = [x.copy() for x in (learner.vectors, learner.layer, learner.bias)]
+        slopes = []
+        for part, at, gain in (("vectors", (9, 1), quality.VECTOR_GAIN), ("layer", (4, 1), 1), ("bias", (0,), 0.1)):
+            values, tiny = getattr(learner, part), 1e-6
+            values[at] += tiny
+            up = loss(learner, label)
+            values[at] -= 2 * tiny
+            slopes.append((part, at, gain, (up - loss(learner, label)) / (2 * tiny)))
+            values[at] += tiny
+        learner.step(buckets, counts, label, 0.01)
+        for (part, at, gain, slope), old in zip(slopes, before):
+            assert math.isclose(old[at] - getattr(learner, part)[at], 0.01 * gain * slope, rel_tol=1e-4, abs_tol=1e-9)
+        untouched = np.setdiff1d(np.arange(quality.BUCKETS), buckets)
+        assert (learner.vectors[untouched] == before[0][untouched]).all()
+
+
+def test_packed_features_are_the_same_again(chance):
+    for n in (0, 1, 4000):
+        buckets = np.array(sorted(chance.sample(range(quality.BUCKETS), n)), np.int32)
+        counts = np.array([chance.choice([1, 300, 10**6]) for _ in range(n)], np.int64)
+        again = quality.unpacked(quality.packed(buckets, counts))
+        assert again[0].tolist() == buckets.tolist() and again[1].tolist() == counts.tolist()
