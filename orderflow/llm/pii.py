@@ -16,10 +16,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import texts_of
+from orderflow.llm.common import column, texts_of
 
 CONTEXT = 48
-BLOCK = 128
+# Arrays of a text's hits are worked through in blocks of blocks, as taking a part out of an array
+# goes through all of it; texts in stretches of so many characters, for the same reason.
+BLOCK, LARGE = 128, 8192
+STRETCH = 1024
 KEPT_SCORE = 0.5
 _LOCAL = r"[A-Za-z0-9._%+-]"
 _IP_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
@@ -130,28 +133,45 @@ def _computed(df: DataFrame, keep: list[str], columns: dict[str, Column]) -> Dat
     return df.select(*keep, F.inline(F.array(made)))
 
 
-def _sum(sizes: Column, first: Column, n: Column | int) -> Column:
-    return F.aggregate(F.slice(sizes, first + 1, n), F.lit(0), lambda a, b: a + b)
+def _parts(array: Column, n: int) -> Column:
+    """An array of parts of n elements."""
+    firsts = F.filter(F.sequence(F.lit(1), F.size(array) + 1, F.lit(n)), lambda at: at <= F.size(array))
+    return F.transform(firsts, lambda at: F.slice(array, at, F.lit(n)))
 
 
-def _block_starts(sizes: Column) -> Column:
-    """The sum of the sizes before each block of them."""
-    starts = F.sequence(F.lit(0), F.size(sizes) - 1, F.lit(BLOCK))
-    return F.aggregate(
-        F.transform(starts, lambda at: _sum(sizes, at, F.lit(BLOCK))),
-        F.array(F.lit(0)),
-        lambda sums, one: F.concat(sums, F.array(F.element_at(sums, -1) + one)),
-    )
+def _blocks(array: Column) -> Column:
+    """An array of blocks of BLOCK elements."""
+    return F.flatten(F.transform(_parts(array, LARGE), lambda large: _parts(large, BLOCK)))
 
 
-def _hit_starts(sizes: Column, block_starts: Column) -> Column:
-    """The sum of the sizes before every second one. sizes and block_starts are columns that are
-    worked out already, so n of them take BLOCK * n steps and not n * n."""
-    return F.transform(
-        F.sequence(F.lit(1), F.size(sizes) - 1, F.lit(2)),
-        lambda at: F.element_at(block_starts, F.floor(at / BLOCK).cast("int") + 1)
-        + _sum(sizes, at - at % BLOCK, at % BLOCK),
-    )
+def _scanned(blocks: Column, none: Column, step) -> Column:
+    """Blocks of what step makes of all elements before each element, none of nothing."""
+
+    def into(held: Column, one: Column) -> Column:
+        return F.concat(held, F.array(step(F.element_at(held, -1), one)))
+
+    totals = F.transform(blocks, lambda block: F.aggregate(block, none, step))
+    before = F.aggregate(totals, F.array(none), into)
+    inner = F.zip_with(blocks, F.slice(before, F.lit(1), F.size(blocks)), lambda block, first: F.struct(block.alias("b"), first.alias("f")))
+    return F.transform(inner, lambda x: F.slice(F.aggregate(x.b, F.array(x.f), into), F.lit(1), F.size(x.b)))
+
+
+def _hit_starts(kind: Kind) -> Column:
+    """Where each hit begins: the sum of the sizes before every second one."""
+    before = F.flatten(_scanned(F.col(f"blocks_{kind.name}"), F.lit(0), lambda x, y: x + y))
+    return F.filter(before, lambda _, place: place % 2 == 1)
+
+
+def _stretches(text: Column) -> Column:
+    """The text in stretches of STRETCH characters."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{STRETCH}}}"), F.lit(0))
+
+
+def _between(stretches: Column, first: Column, n: Column | int) -> Column:
+    """n characters of the text from first, STRETCH at most; fewer at its end."""
+    at = F.floor(first / STRETCH).cast("int")
+    two = F.concat(F.coalesce(F.get(stretches, at), F.lit("")), F.coalesce(F.get(stretches, at + 1), F.lit("")))
+    return F.substring(two, (first - at * STRETCH + 1).cast("int"), F.lit(n) if isinstance(n, int) else n)
 
 
 def _sizes(kind: Kind) -> Column:
@@ -164,7 +184,6 @@ def _sizes(kind: Kind) -> Column:
 
 def _spans(order: int, kind: Kind) -> Column:
     """The kind's confirmed spans."""
-    text = F.col("text")
 
     def span(hit: Column, start: Column) -> Column:
         end = start + F.length(hit)
@@ -173,7 +192,7 @@ def _spans(order: int, kind: Kind) -> Column:
             F.lit(order).alias("place"),
             end.alias("end"),
             F.lit(kind.name).alias("kind"),
-            (F.lit(kind.score) + F.when(_near(text, start, end, kind), 0.4).otherwise(0.0)).alias("score"),
+            (F.lit(kind.score) + F.when(_near(start, end, kind), 0.4).otherwise(0.0)).alias("score"),
             _confirmed(kind, hit).alias("confirmed"),
         )
 
@@ -182,11 +201,10 @@ def _spans(order: int, kind: Kind) -> Column:
     return F.filter(made, wanted)
 
 
-def _near(text: Column, start: Column, end: Column, kind: Kind) -> Column:
+def _near(start: Column, end: Column, kind: Kind) -> Column:
     first = F.greatest(start - CONTEXT, F.lit(0))
-    around = F.concat_ws(
-        " ", F.substring(text, first + 1, start - first), F.substring(text, end + 1, F.lit(CONTEXT))
-    )
+    before = _between(F.col("stretches"), first, start - first)
+    around = F.concat_ws(" ", before, _between(F.col("stretches"), end, CONTEXT))
     return F.lower(around).rlike(rf"(?<![a-z])(?:{kind.context})")
 
 
@@ -205,14 +223,13 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with its columns, spans in the text replaced by their kinds; a null text stays null."""
     carried = [f"carried_{number}" for number in range(len(docs.columns))]
     held = docs.select(
-        *[docs[name].alias(other) for name, other in zip(docs.columns, carried)],
-        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"),
+        *[column(name).alias(other) for name, other in zip(docs.columns, carried)],
+        F.coalesce(column(text_col).cast("string"), F.lit("")).alias("text"),
     )
-    found = _with_spans(held, carried)
-    clean = redacted(F.col("text"), F.col("spans"))
+    found = _redacted(_with_spans(held, carried), carried)
     return found.select(
         *[
-            (F.when(F.col(c).isNotNull(), clean) if name == text_col else F.col(c)).alias(name)
+            (F.when(F.col(c).isNotNull(), F.col("clean")) if name == text_col else F.col(c)).alias(name)
             for name, c in zip(docs.columns, carried)
         ]
     )
@@ -231,19 +248,18 @@ def _with_spans(df: DataFrame, carried: list[str]) -> DataFrame:
         found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
         hits[f"hits_{kind.name}"] = F.when(gate, found).otherwise(nothing)
     df = _computed(df, [*carried, "text"], hits)
-    none = F.array().cast("array<int>")
+    none, nested = F.array().cast("array<int>"), F.array().cast("array<array<int>>")
+    some = F.greatest(*[F.size(name) for name in hits]) > 0
+    df = _computed(df, [*carried, "text", *hits], {"stretches": F.when(some, _stretches(text)).otherwise(nothing)})
     steps = (
-        ("sizes", _sizes),
-        ("blocks", lambda kind: _block_starts(F.col(f"sizes_{kind.name}"))),
-        (
-            "starts",
-            lambda kind: _hit_starts(F.col(f"sizes_{kind.name}"), F.col(f"blocks_{kind.name}")),
-        ),
+        ("sizes", _sizes, none),
+        ("blocks", lambda kind: _blocks(F.col(f"sizes_{kind.name}")), nested),
+        ("starts", _hit_starts, none),
     )
-    kept = [*carried, "text", *hits]
-    for step, made in steps:
+    kept = [*carried, "text", "stretches", *hits]
+    for step, made, otherwise in steps:
         columns = {
-            f"{step}_{kind.name}": F.when(F.size(f"hits_{kind.name}") > 0, made(kind)).otherwise(none)
+            f"{step}_{kind.name}": F.when(F.size(f"hits_{kind.name}") > 0, made(kind)).otherwise(otherwise)
             for kind in KINDS
         }
         df = _computed(df, kept, columns)
@@ -262,25 +278,33 @@ def of_kind(spans: Column, *names: str) -> Column:
     return F.filter(spans, lambda s: s.kind.isin(*names))
 
 
-def redacted(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its kind in brackets; where spans overlap, all they
-    cover is replaced by the first one's kind."""
-
-    def step(done: Column, span: Column) -> Column:
-        piece = F.concat(
-            F.substring(text, done.at + 1, span.start - done.at),
-            F.lit("["),
-            F.upper(span.kind),
-            F.lit("]"),
-        )
-        fresh = span.start >= done.at
-        return F.struct(
-            F.greatest(done.at, span.end).alias("at"),
-            F.when(fresh, F.concat(done.parts, F.array(piece))).otherwise(done.parts).alias("parts"),
-        )
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    end = lambda done: F.concat(
-        F.array_join(done.parts, ""), F.substring(text, done.at + 1, F.length(text))
+def _redacted(df: DataFrame, carried: list[str]) -> DataFrame:
+    """The carried columns, text, and clean: the text with each span replaced by its kind in
+    brackets; where spans overlap, all they cover is replaced by the first one's kind."""
+    keep = [*carried, "text", "spans"]
+    df = _computed(df, keep, {"blocks": F.when(F.size("spans") > 0, _blocks(F.col("spans")))})
+    ends = F.transform("blocks", lambda block: F.transform(block, lambda span: span.end))
+    df = _computed(df, [*keep, "blocks"], {"ends": ends})
+    df = _computed(df, [*keep, "blocks"], {"before": _scanned(F.col("ends"), F.lit(0), lambda x, y: F.greatest(x, y))})
+
+    # Of each block the text from the end of all spans before it to its last one.
+    own = lambda block, ends: F.struct(
+        block.alias("b"),
+        ends.alias("f"),
+        F.substring(F.col("text"), ends[0] + 1, F.element_at(block, -1).start - ends[0]).alias("own"),
     )
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, start, step, end))
+    df = _computed(df, keep, {"prepared": F.zip_with("blocks", "before", own)})
+
+    def replaced(x: Column) -> Column:
+        piece = lambda span, done: F.when(
+            span.start >= done,
+            F.concat(
+                F.substring(x.own, done - x.f[0] + 1, span.start - done), F.lit("["), F.upper(span.kind), F.lit("]")
+            ),
+        ).otherwise("")
+        return F.array_join(F.zip_with(x.b, x.f, piece), "")
+
+    end = F.array_max(F.transform("spans", lambda span: span.end))
+    rest = F.substring(F.col("text"), end + 1, F.length("text"))
+    clean = F.concat(F.array_join(F.transform("prepared", replaced), ""), rest)
+    return _computed(df, [*carried, "text"], {"clean": F.coalesce(F.when(F.size("spans") > 0, clean), F.col("text"))})

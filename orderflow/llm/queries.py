@@ -78,6 +78,8 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *counts,
         F.sha2(pii.listed(base), 256).alias("base_sha256"),
         pii.listed(F.col("spans")).alias("spans"),
+        *[F.size(pii.of_kind(F.col("spans"), kind)).cast("long").alias(f"n_{kind}") for kind in ("iban", "ssn")],
+        F.concat_ws(",", F.transform("spans", lambda s: F.format_number(s.score, 1))).alias("scores"),
     )
 
 

@@ -84,6 +84,54 @@ def test_redaction_keeps_rows_and_columns(table):
     assert pii.redact(docs.limit(0)).collect() == []
 
 
+def test_time_grows_with_hits_in_proportion(table):
+    """Four times the hits in one text take at most five times as long, above what any query takes."""
+    import time
+
+    def took(hits):
+        docs = table((1, "ab@cd.ef 1.2.3.4 " * (hits // 2))).persist()
+        docs.count()
+        start = time.time()
+        found = pii.redact(docs).selectExpr("length(text) AS n").first()["n"]
+        assert found == len("[EMAIL] [IP] ") * (hits // 2)
+        return time.time() - start
+
+    took(1000)
+    base, small, large = took(2), took(10_000), took(40_000)
+    assert large - base <= 5 * max(small - base, 0.5)
+
+
+def plain_redacted(text, spans):
+    out, at = [], 0
+    for start, _, end, kind in sorted(spans):
+        if start >= at:
+            out += [text[at:start], f"[{kind.upper()}]"]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_redaction_of_many_and_overlapping_spans(table, chance, monkeypatch):
+    monkeypatch.setattr(pii, "BLOCK", 4)
+    monkeypatch.setattr(pii, "LARGE", 12)
+    monkeypatch.setattr(pii, "STRETCH", 50)
+    rows = [(i, "".join(chance.choice(PARTS) for _ in range(chance.randint(0, 250)))) for i in range(300)]
+    docs = table(*rows)
+    spans = {r["doc_id"]: r["spans"] for r in pii.find(docs).collect()}
+    found = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
+    for doc_id, text in rows:
+        assert base_of(spans[doc_id]) == plain_spans(text)
+        assert found[doc_id] == plain_redacted(text, [(s["start"], s["place"], s["end"], s["kind"]) for s in spans[doc_id]])
+
+
+def base_of(spans):
+    return ",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in spans if s["kind"] in PLAIN)
+
+
+def test_odd_column_names(spark):
+    docs = spark.createDataFrame([("a@b.co", 1)], "text string, `a.b` int")
+    assert pii.redact(docs).columns == ["text", "a.b"] and pii.redact(docs).first()["text"] == "[EMAIL]"
+
+
 def test_no_python_runs(table):
     docs = table(*ODD)
     plan = pii.redact(docs)._jdf.queryExecution().executedPlan().toString()
