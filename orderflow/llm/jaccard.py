@@ -8,9 +8,9 @@ first, as any partner must share one of. The boundary between light and heavy is
 which the expected number of list entries is least.
 
 Lists yield candidates without pairing their members: first each member with the list's
-smallest and largest set, then, where exact overlaps have not connected all, members of
-different components. So a list of thousands of near copies takes one pair a member, and no
-link between two components is lost.
+smallest set and its hub, then, where exact overlaps have not connected all, members outside the
+hub's component with those of other components whose parity sketches are near. So a list of
+thousands of near copies takes one pair a member, and no link between two components is lost.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import Bitmap, map_batches, mixed, saved, texts_of
+from orderflow.llm.common import Bitmap, column, map_batches, mixed, saved, texts_of, unused
 from orderflow.llm.components import components
 from orderflow.llm.words import Words, lists, span_hashes, word_blocks
 
@@ -33,6 +33,9 @@ FREQUENT = 50
 # Ranges of the hash in which shingles are counted, for an upper bound of an overlap.
 SKETCH_BITS = 8
 SKETCH = 1 << SKETCH_BITS
+# Bits of the parity sketch: each tells whether an odd number of shingles falls on it.
+ODD_BITS = 512
+ODD = [f"o{i}" for i in range(ODD_BITS // 64)]
 # No set above this size is light.
 MOST_LIGHT = 24
 
@@ -141,8 +144,8 @@ def set_hash(members: np.ndarray, salt: int) -> int:
 
 
 def _sets(texts: DataFrame, size: int, salt: int) -> DataFrame:
-    """doc_id, k (of the row), n, v and check (two hashes of the set), and how many shingles fall
-    into each of SKETCH ranges of the hash, up to 255."""
+    """doc_id, k (of the row), n, v and check (two hashes of the set), how many shingles fall into
+    each of SKETCH ranges of the hash, up to 255, and the parity sketch in words of 64 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -155,7 +158,10 @@ def _sets(texts: DataFrame, size: int, salt: int) -> DataFrame:
                 part = (np.concatenate(found) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
                 counts = np.bincount(text * SKETCH + part, minlength=len(found) * SKETCH)
                 rows = np.minimum(counts, 255).astype(np.uint8).reshape(-1, SKETCH)
-                yield {
+                bit = (np.concatenate(found) >> np.uint64(20)).astype(np.int64) & (ODD_BITS - 1)
+                odd = np.bincount(text * ODD_BITS + bit, minlength=len(found) * ODD_BITS) & 1
+                odd = np.packbits(odd.reshape(-1, ODD_BITS).astype(bool), axis=1).view(np.int64)
+                yield dict(zip(ODD, odd.T)) | {
                     "doc_id": batch["doc_id"][at:upto],
                     "k": batch["k"][at:upto],
                     "n": n,
@@ -164,15 +170,16 @@ def _sets(texts: DataFrame, size: int, salt: int) -> DataFrame:
                     "check": mixed(check + n.astype(np.uint64)).view(np.int64),
                 }
 
-    schema = "doc_id long, k long, n long, sketch binary, v long, check long"
-    return map_batches(texts, run, schema)
+    schema = "doc_id long, k long, n long, sketch binary, v long, check long, "
+    return map_batches(texts, run, schema + ", ".join(f"{name} long" for name in ODD))
 
 
 def _entries(
     texts: DataFrame, size: int, percent: int, salt: int, limit: int, shared: Bitmap, frequent: Bitmap
 ) -> DataFrame:
-    """list, v, n, light: one row for each list a set is in. Shingles that only one text has in
-    its first ones are left out; light tells lists of subsets."""
+    """list, v, n, light, common: one row for each list a set is in. Shingles that only one text has
+    in its first ones are left out; light tells lists of subsets; common is the share of the
+    set's shingles that are frequent, in thousandths."""
     bitmaps = texts.sparkSession.sparkContext.broadcast((shared, frequent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -185,25 +192,27 @@ def _entries(
                     if not n:
                         continue
                     v = set_hash(members, salt)
+                    common = int(1000 * frequent.has(members).sum()) // n
                     if n <= limit:
                         found = np.array(subset_keys(members, limit, percent), np.uint64)
                         keys.append(mixed(found))
-                        sets.append((v, n, len(found), True))
+                        sets.append((v, n, len(found), True, common))
                     if 100 * n >= percent * (limit + 1):
                         head = _head(members, percent, frequent)
                         head = head[shared.has(head)]
                         keys.append(head)
-                        sets.append((v, n, len(head), False))
+                        sets.append((v, n, len(head), False, common))
                 if sets:
-                    v, n, counts, light = zip(*sets)
+                    v, n, counts, light, common = zip(*sets)
                     yield {
                         "list": np.concatenate(keys).view(np.int64),
                         "v": np.repeat(np.array(v, np.uint64), counts).view(np.int64),
                         "n": np.repeat(n, counts),
                         "light": np.repeat(light, counts),
+                        "common": np.repeat(common, counts),
                     }
 
-    return map_batches(texts, run, "list long, v long, n int, light boolean")
+    return map_batches(texts, run, "list long, v long, n int, light boolean, common int")
 
 
 def _members(texts: DataFrame, size: int, salt: int, rows: Bitmap, wanted: Bitmap) -> DataFrame:
@@ -244,6 +253,12 @@ def join(
     Repeated rows link like other equal texts, a null doc_id is never the smallest, an empty
     table gives an empty one, other columns are left out.
     """
+    joined = _joined(docs, size, percent, id_col, text_col)
+    return joined.select("doc_id", "n_shingles", "n_spanning_links", "component_id")
+
+
+def _joined(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """join() with k, a hash of doc_id and text."""
     texts = texts_of(docs, id_col, text_col).withColumn("k", F.xxhash64("doc_id", "text"))
     for salt in range(SALTS):
         sets = saved(_sets(texts, size, salt), "sets")
@@ -280,30 +295,41 @@ def join(
     listed = saved(_entries(texts, size, percent, salt, limit, shared, frequent), "lists")
 
     rows = Bitmap.of(classes, "k")
-    sketches = sets.where("n > 0").select("v", "n", "sketch").dropDuplicates(["v"])
+    sketches = sets.where("n > 0").select("v", "n", "sketch", *ODD).dropDuplicates(["v"])
     sketches = saved(sketches, "sketches")
-    edge = F.struct("n", "v")
-    ends = listed.groupBy("list").agg(F.min(edge).alias("lo"), F.max(edge).alias("hi"))
-    ends = ends.where("lo.v <> hi.v")
+    odd, sketches = sketches.select("v", *ODD), sketches.select("v", "n", "sketch")
+    # Each member of a list against its smallest set and its hub, the set with most in common with
+    # others: of a text and its edited copies, that is the text.
+    hub = F.max(F.struct("common", "n", "v")).alias("hub")
+    ends = listed.groupBy("list").agg(F.min(F.struct("n", "v")).alias("lo"), F.max(F.struct("n", "v"))["v"].alias("hi"), hub)
+    ends = ends.where("lo.v <> hi").select("list", "lo", F.struct("hub.n", "hub.v").alias("hub"))
     fits = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
     pair = (F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b"))
-    stars = listed.join(ends, "list").select("v", "n", F.explode(F.array("lo", "hi")).alias("p"))
+    stars = listed.join(ends, "list").select("v", "n", F.explode(F.array("lo", "hub")).alias("p"))
     stars = stars.select("v", "n", F.col("p.v").alias("w"), F.col("p.n").alias("m"))
     tried = saved(stars.where("v <> w").where(fits).select(*pair).distinct(), "tried")
     links = saved(_linked(texts, tried, sketches, size, percent, salt, rows), "links")
 
     found = saved(components(links), "components")
     of = found.select(F.col("id").alias("v"), "component")
-    members = listed.where("not light").join(ends.select("list", "lo.v"). withColumnRenamed("v", "lo"), "list")
+    members = listed.where("not light").select("list", "v", "n").join(ends.select("list", F.col("hub.v").alias("hub")), "list")
     members = members.join(of, "v", "left").withColumn("c", F.coalesce("component", "v"))
-    members = members.select("list", "v", "n", "c", "lo").distinct()
+    members = members.select("list", "v", "n", "c", "hub").distinct()
     split = members.groupBy("list").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1")
-    members = saved(members.join(split.select("list"), "list", "left_semi"), "split")
-    # Members outside the component of the list's smallest set, against all of other components.
-    home = members.where("v = lo").select("list", F.col("c").alias("home"))
-    outside = members.join(home, "list").where("c <> home").select("list", "v", "n", "c")
-    others = members.select("list", F.col("v").alias("w"), F.col("n").alias("m"), F.col("c").alias("d"))
-    across = outside.join(others, (outside["list"] == others["list"]) & (F.col("c") != F.col("d")) & fits)
+    members = members.join(split.select("list"), "list", "left_semi")
+    members = saved(members.join(odd, "v"), "split")
+    # Members outside the component of the list's hub, against all of other components. A shingle
+    # that one of two sets lacks changes one bit of their parities at most, so sets whose parities
+    # differ in more bits than linked sets have such shingles are told apart as they meet.
+    home = members.where("v = hub").select("list", F.col("c").alias("home")).distinct()
+    outside = members.join(home, "list").where("c <> home").select("list", "v", "n", "c", *ODD)
+    others = members.select(
+        "list", F.col("v").alias("w"), F.col("n").alias("m"), F.col("c").alias("d"), *[F.col(o).alias(f"p{o}") for o in ODD]
+    )
+    unlike = sum((F.bit_count(F.col(o).bitwiseXOR(F.col(f"p{o}"))) for o in ODD), F.lit(0))
+    overlap = F.expr(f"({percent} * (n + m) + {99 + percent}) div {100 + percent}")
+    near = unlike <= F.col("n") + F.col("m") - 2 * overlap
+    across = outside.join(others, (outside["list"] == others["list"]) & (F.col("c") != F.col("d")) & fits & near)
     across = across.select(*pair).distinct().join(tried, ["a", "b"], "left_anti")
     more = saved(_linked(texts, across, sketches, size, percent, salt, rows), "links")
 
@@ -326,19 +352,22 @@ def join(
     labels = rooted.join(leasts, "root").select("v", "n_spanning_links", "component_id")
     apart = F.col("n") == 0
     some = sets.where(~apart).join(labels, "v")
-    return some.select("doc_id", F.col("n").alias("n_shingles"), "n_spanning_links", "component_id").union(
-        sets.where(apart).select("doc_id", "n", F.lit(0).cast("long"), "doc_id")
+    return some.select("doc_id", "k", F.col("n").alias("n_shingles"), "n_spanning_links", "component_id").union(
+        sets.where(apart).select("doc_id", "k", "n", F.lit(0).cast("long"), "doc_id")
     )
 
 
 def one_of_each(
     docs: DataFrame, size: int, percent: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of docs, with all columns, without those that a row of a smaller id is linked to.
-    Rows of one id stay or go together; a null id stays."""
-    joined = join(docs, size, percent, id_col, text_col)
-    gone = joined.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == gone["__gone"], "left_anti")
+    """The rows of docs, with all columns, without those of a component of linked rows that have
+    another doc_id than its smallest. Rows of one id and text stay or go together; a null id stays."""
+    joined = _joined(docs, size, percent, id_col, text_col)
+    gone = joined.where("doc_id <> component_id").select("doc_id", "k").distinct()
+    names = [unused(f"_{name}", docs) for name in ("doc_id", "k")]
+    row = (column(id_col).cast("long"), F.coalesce(column(text_col).cast("string"), F.lit("")))
+    marked = docs.withColumn(names[0], row[0]).withColumn(names[1], F.xxhash64(*row))
+    return marked.join(gone.toDF(*names), names, "left_anti").select(*[column(c) for c in docs.columns])
 
 
 def _plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:

@@ -126,3 +126,26 @@ def test_sets_that_clash_part_under_another_salt_or_are_told(spark, table, monke
     monkeypatch.setattr(jaccard, "_sets", lambda *rest: sets(*rest).withColumn("v", F.lit(1).cast("long")))
     with pytest.raises(RuntimeError, match="equal hashes"):
         jaccard.join(docs, size=4, percent=85)
+
+
+def test_only_copies_of_an_id_go(table):
+    text = "one two three four five six seven eight"
+    docs = table((1, text), (2, text), (2, "other words that stand alone in here"), (3, "z"), (2, text), (None, text))
+    kept = jaccard.one_of_each(docs, 5, 80)
+    assert kept.columns == docs.columns
+    found = sorted(((r["doc_id"], r["text"][:5]) for r in kept.collect()), key=repr)
+    assert found == [(1, "one t"), (2, "other"), (3, "z"), (None, "one t")]
+
+
+def test_a_text_and_many_edited_copies(table, chance):
+    """Copies that are linked with the text but hardly with each other, and some with neither."""
+    words = [f"w{i}" for i in range(120)]
+    rows = [(0, " ".join(words))]
+    for i in range(1, 90):
+        copy = list(words)
+        for place in chance.sample(range(120), 2 if i % 3 else 9):
+            copy[place] = f"x{i}_{place}"
+        rows.append((i, " ".join(copy)))
+    found = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.join(table(*rows), 4, 85).collect())
+    assert found == sorted((d, n, c) for d, n, c in plain(rows, 4, 85))
+    assert sum(c == 0 for _, _, c in found) > 50 and sum(d == c for d, _, c in found) > 20
