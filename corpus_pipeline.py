@@ -29,7 +29,10 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: personal data is replaced by its kind; n_chars follows."""
-    return pii.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    clean = pii.redact(docs)
+    if "n_chars" not in docs.columns:
+        return clean
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
