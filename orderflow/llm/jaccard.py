@@ -38,6 +38,8 @@ ODD_BITS = 512
 ODD = [f"o{i}" for i in range(ODD_BITS // 64)]
 # No set above this size is light.
 MOST_LIGHT = 24
+# List entries that a task makes before it hands them on.
+MOST_KEYS = 100_000
 
 
 def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -182,11 +184,21 @@ def _entries(
     set's shingles that are frequent, in thousandths."""
     bitmaps = texts.sparkSession.sparkContext.broadcast((shared, frequent))
 
+    def entries(keys: list, sets: list) -> dict:
+        v, n, counts, light, common = zip(*sets)
+        return {
+            "list": np.concatenate(keys).view(np.int64),
+            "v": np.repeat(np.array(v, np.uint64), counts).view(np.int64),
+            "n": np.repeat(np.array(n, np.int32), counts),
+            "light": np.repeat(np.array(light, bool), counts),
+            "common": np.repeat(np.array(common, np.int32), counts),
+        }
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         shared, frequent = bitmaps.value
         for batch in batches:
             for _, _, words in word_blocks(batch["text"], lower=True):
-                keys, counts, sets, light = [], [], [], []
+                keys, sets, held = [], [], 0
                 for members in text_sets(words, size):
                     n = len(members)
                     if not n:
@@ -197,20 +209,19 @@ def _entries(
                         found = np.array(subset_keys(members, limit, percent), np.uint64)
                         keys.append(mixed(found))
                         sets.append((v, n, len(found), True, common))
+                        held += len(found)
                     if 100 * n >= percent * (limit + 1):
                         head = _head(members, percent, frequent)
                         head = head[shared.has(head)]
                         keys.append(head)
                         sets.append((v, n, len(head), False, common))
+                        held += len(head)
+                    # A small set may be in thousands of lists.
+                    if held > MOST_KEYS:
+                        yield entries(keys, sets)
+                        keys, sets, held = [], [], 0
                 if sets:
-                    v, n, counts, light, common = zip(*sets)
-                    yield {
-                        "list": np.concatenate(keys).view(np.int64),
-                        "v": np.repeat(np.array(v, np.uint64), counts).view(np.int64),
-                        "n": np.repeat(n, counts),
-                        "light": np.repeat(light, counts),
-                        "common": np.repeat(common, counts),
-                    }
+                    yield entries(keys, sets)
 
     return map_batches(texts, run, "list long, v long, n int, light boolean, common int")
 
