@@ -58,17 +58,70 @@ def beyond(orders: DataFrame, lo: Cursor, hi: Cursor | None = None) -> DataFrame
     return rows.select(*ORDER_COLS)
 
 
+# Parts that rows are counted in at a time, and how many rows may meet on the driver.
+PART_BITS = 10
+FEW = 10_000
+
+
+def _micros(at: Column) -> Column:
+    """Microseconds since EPOCH by the calendar, whatever the session's zone does in between."""
+    since = at.cast("timestamp_ntz") - _moment(EPOCH)
+    return (since.cast("interval second").cast("decimal(20,6)") * 1_000_000).cast("long")
+
+
+def _narrowed(rows: DataFrame, name: str, number: Column, nth: int) -> tuple[DataFrame, int, bool]:
+    """The rows around the nth by a column, null first: FEW at most, or all rows of one value. Also
+    its place among them, and whether they are few.
+
+    number is the column as a long. Its range is cut into parts, in which rows are counted, then the
+    part that holds the nth is cut again. The driver gets a count for each part and no rows.
+    """
+    at, shift = F.col(name), 64 - PART_BITS
+    while True:
+        parts = rows.groupBy(F.shiftright(number, shift).alias("part")).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min(number).alias("lo"),
+            F.max(number).alias("hi"),
+            F.min(at).cast("string").alias("first"),
+            F.max(at).cast("string").alias("last"),
+        )
+        for part in sorted(parts.collect(), key=lambda p: (p["part"] is not None, p["part"])):
+            if nth <= part["n"]:
+                break
+            nth -= part["n"]
+        else:
+            return rows.limit(0), 1, True
+        lo, hi = part["lo"], part["hi"]
+        if lo is None:
+            rows = rows.where(at.isNull())
+        else:
+            kind = rows.schema[name].dataType
+            rows = rows.where(at.between(F.lit(part["first"]).cast(kind), F.lit(part["last"]).cast(kind)))
+        if part["n"] <= FEW or lo == hi:
+            return rows, nth, part["n"] <= FEW
+        shift = next(s for s in range(64) if (hi >> s) - (lo >> s) < 1 << PART_BITS)
+
+
 def cursor_after(orders: DataFrame, lo: Cursor, rows: int) -> Cursor | None:
     """The cursor of the last of the next rows after lo, or of the last there is; None when
-    there is nothing."""
-    ahead = in_order(beyond(orders, lo).select("created_at", "order_id"))
-    found = ahead.offset(rows - 1).limit(1)
-    newest = beyond(orders, lo).agg(F.max(F.struct("created_at", "order_id")).alias("m")).select("m.*")
-    for at in (found, newest):
-        row = at.select(F.col("created_at").cast("string"), "order_id").first()
-        if row is not None and row[0] is not None:
-            return Cursor(*row)
-    return None
+    there is nothing.
+
+    However many rows a poll takes, FEW of them are ordered at most: those around the last one.
+    """
+    ahead = beyond(orders, lo).select("created_at", "order_id")
+    newest = ahead.agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("created_at", "order_id")).alias("m"))
+    n, *last = newest.select("n", F.col("m.created_at").cast("string"), "m.order_id").first()
+    if n <= rows:
+        return Cursor(*last) if n else None
+    nth = rows
+    for name, number in (("created_at", _micros(F.col("created_at"))), ("order_id", F.col("order_id").cast("long"))):
+        ahead, nth, few = _narrowed(ahead, name, number, nth)
+        if few:
+            break
+    else:
+        nth = 1  # All that are left are of one moment and id.
+    found = in_order(ahead).offset(nth - 1).limit(1).select(F.col("created_at").cast("string"), "order_id").first()
+    return Cursor(*(found or last))
 
 
 def in_order(rows: DataFrame) -> DataFrame:

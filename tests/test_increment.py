@@ -3,7 +3,9 @@ import datetime
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from orderflow.operators import increment as increments
 from orderflow.operators.increment import (
     Cursor,
     beyond,
@@ -97,6 +99,49 @@ def test_polls_by_cursor_take_each_row_once(spark, orders, rows, size):
     table.unpersist()
 
 
+@settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(
+    st.lists(st.tuples(st.sampled_from([0, 1, 3601, 10**9]), st.none() | st.sampled_from([-(2**63), -1, 0, 7, 2**63 - 1])), min_size=1, max_size=25),
+    st.integers(1, 9),
+)
+def test_a_cursor_among_more_rows_than_may_be_ordered(spark, orders, monkeypatch, rows, size):
+    """Rows far apart and rows that are equal, ids at both ends of the range."""
+    monkeypatch.setattr(increments, "FEW", 2)
+    monkeypatch.setattr(increments, "PART_BITS", 2)
+    start = datetime.datetime(2025, 3, 9, 2, 30)
+    table = orders(*[order(i, str(start + datetime.timedelta(seconds=m, microseconds=m % 7))) for m, i in rows]).persist()
+    found = cursor_after(table, Cursor(), size)
+    wanted = sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1]))[min(size, len(rows)) - 1]
+    moment = datetime.datetime.fromisoformat(found.moment) - start
+    assert (moment, found.id) == (datetime.timedelta(seconds=wanted[0], microseconds=wanted[0] % 7), wanted[1])
+    table.unpersist()
+
+
+def test_a_cursor_sends_counts_to_the_driver(spark, orders):
+    """The rows of a poll are counted, not ordered there, however many they are."""
+    table = spark.range(60_000).select(
+        F.col("id").alias("order_id"),
+        *[F.lit("x").alias(c) for c in ("customer_name", "restaurant_name", "item", "order_status")],
+        F.lit(1.0).alias("amount"),
+        F.timestamp_seconds(F.col("id") % 3 + 1).cast("timestamp_ntz").alias("created_at"),
+    )
+    ordered = []
+    in_order = increments.in_order
+
+    def noting(rows):
+        ordered.append(rows.count())
+        return in_order(rows)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(increments, "in_order", noting)
+        found = cursor_after(table, Cursor(), 50_000)
+    # Ids 2, 5, 8, ... are the last of the three moments, and the first 40,000 rows are before them.
+    assert found == Cursor("1970-01-01 00:00:03", 2 + 3 * 9_999)
+    assert ordered and max(ordered) <= increments.FEW
+
+
 def test_a_cursor_reaches_the_scan_as_a_range(spark, orders, folder):
     orders(order(1), order(2)).write.parquet(folder("table"))
     rows = beyond(spark.read.parquet(folder("table")), Cursor("2025-01-01 00:00:00", 5), Cursor("2025-02-01 00:00:00", 7))
