@@ -9,10 +9,12 @@ ids. With the lengths, a span of ids is found and expanded without expanding wha
 
 from __future__ import annotations
 
+import os
 import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -157,6 +159,14 @@ class _Encoder:
         return out
 
 
+@lru_cache(maxsize=1)
+def _encoder(definition: str) -> _Encoder:
+    """A worker's encoder, for one task after another: the library keeps memory for each tokenizer
+    and each of its threads that it never gives back. Tasks fill the cores without its threads."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return _Encoder(definition)
+
+
 _SHARD = (
     "range int, number int, base int, size long, doc_ids binary, counts binary, rules binary, "
     "lengths binary, symbols binary"
@@ -181,7 +191,7 @@ def write(
     rows = texts.withColumn("range", cut.of(key)).repartitionById(cut.width, "range")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        encoder = _Encoder(definition.value)
+        encoder = _encoder(definition.value)
         end = end_id.to_bytes(4, "little")
         base = max(encoder.tokenizer.get_vocab_size(), end_id + 1)
         held: list[tuple[int, int | None, bytes]] = []
@@ -254,7 +264,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            for row in batch.to_pylist():
+            # A row is a shard, so a batch may be large already.
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
                 grammar = _grammar(row)
                 data = grammar.expanded(grammar.symbols).astype("<u4").tobytes()
                 counts = np.frombuffer(row["counts"], "<u4").astype(np.int64)

@@ -1,3 +1,5 @@
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -5,6 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from orderflow.llm import tokens
+from orderflow.llm.common import PACKAGE_ROOT
 from orderflow.llm.queries import WORD_BPE
 from tests.llm.conftest import ODD
 
@@ -25,6 +28,23 @@ def test_words_cut_apart_get_the_ids_of_the_whole_text(tokenizer, chance):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_a_worker_keeps_one_encoder_and_starts_no_threads():
+    """In a process of its own, as a worker is: a tokenizer for each task, or threads, would hold
+    on to memory there."""
+    code = """if True:
+        import os, sys
+        from orderflow.llm import tokens
+        with open(sys.argv[1], encoding="utf-8") as file:
+            definition = file.read()
+        threads = len(os.listdir("/proc/self/task"))
+        encoder = tokens._encoder(definition)
+        encoder.encode([f"it's{number} don't{number}" for number in range(3000)])
+        assert tokens._encoder(definition[:9] + definition[9:]) is encoder
+        assert len(os.listdir("/proc/self/task")) == threads
+    """
+    subprocess.run([sys.executable, "-c", code, WORD_BPE], check=True, timeout=120, cwd=PACKAGE_ROOT)
+
+
 def test_grammar_round_trip_and_spans(chance):
     rng = np.random.default_rng(3)
     for ids in (
