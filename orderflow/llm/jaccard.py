@@ -117,17 +117,23 @@ def _head(members: np.ndarray, percent: int, frequent: Bitmap, wide: int = 1) ->
     return ordered[: wide * prefix_size(len(members), percent)] if len(members) else ordered
 
 
+def _standing(batch: pa.RecordBatch, rows: Bitmap) -> pa.RecordBatch:
+    """The rows of a batch that stand for their classes, and by chance some others."""
+    return batch.filter(pa.array(rows.has(batch["k"].to_numpy())))
+
+
 def _heads(
-    texts: DataFrame, size: int, percent: int, frequent: Bitmap, wide: int = 1
+    texts: DataFrame, size: int, percent: int, rows: Bitmap, frequent: Bitmap, wide: int = 1
 ) -> DataFrame:
-    """top, count: how many texts have a shingle with these upper 32 bits in their heads, if two
-    at least."""
-    bitmap = texts.sparkSession.sparkContext.broadcast(frequent)
+    """top, count: how many of the rows that stand for classes have a shingle with these upper 32
+    bits in their heads, if two at least."""
+    bitmaps = texts.sparkSession.sparkContext.broadcast((rows, frequent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        rows, frequent = bitmaps.value
         for batch in batches:
-            for _, _, words in word_blocks(batch["text"], lower=True):
-                heads = [_head(s, percent, bitmap.value, wide) for s in text_sets(words, size)]
+            for _, _, words in word_blocks(_standing(batch, rows)["text"], lower=True):
+                heads = [_head(s, percent, frequent, wide) for s in text_sets(words, size)]
                 tops = (np.concatenate(heads) >> np.uint64(32)).astype(np.uint32)
                 yield {"top": tops.view(np.int32)}
 
@@ -177,12 +183,12 @@ def _sets(texts: DataFrame, size: int, salt: int) -> DataFrame:
 
 
 def _entries(
-    texts: DataFrame, size: int, percent: int, salt: int, limit: int, shared: Bitmap, frequent: Bitmap
+    texts: DataFrame, size: int, percent: int, salt: int, limit: int, rows: Bitmap, shared: Bitmap, frequent: Bitmap
 ) -> DataFrame:
-    """list, v, n, light, common: one row for each list a set is in. Shingles that only one text has
-    in its first ones are left out; light tells lists of subsets; common is the share of the
-    set's shingles that are frequent, in thousandths."""
-    bitmaps = texts.sparkSession.sparkContext.broadcast((shared, frequent))
+    """list, v, n, light, common: one row for each list a set is in, from the rows that stand for the
+    classes. Shingles that only one text has in its first ones are left out; light tells lists of
+    subsets; common is the share of the set's shingles that are frequent, in thousandths."""
+    bitmaps = texts.sparkSession.sparkContext.broadcast((rows, shared, frequent))
 
     def entries(keys: list, sets: list) -> dict:
         v, n, counts, light, common = zip(*sets)
@@ -195,9 +201,9 @@ def _entries(
         }
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        shared, frequent = bitmaps.value
+        rows, shared, frequent = bitmaps.value
         for batch in batches:
-            for _, _, words in word_blocks(batch["text"], lower=True):
+            for _, _, words in word_blocks(_standing(batch, rows)["text"], lower=True):
                 keys, sets, held = [], [], 0
                 for members in text_sets(words, size):
                     n = len(members)
@@ -233,8 +239,7 @@ def _members(texts: DataFrame, size: int, salt: int, rows: Bitmap, wanted: Bitma
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         rows, wanted = bitmaps.value
         for batch in batches:
-            batch = batch.filter(pa.array(rows.has(batch["k"].to_numpy())))
-            for _, _, words in word_blocks(batch["text"], lower=True):
+            for _, _, words in word_blocks(_standing(batch, rows)["text"], lower=True):
                 found = text_sets(words, size)
                 v = np.array([set_hash(s, salt) for s in found], np.uint64)
                 kept = np.flatnonzero(wanted.has(v) & np.array([len(s) > 0 for s in found]))
@@ -293,9 +298,10 @@ def _joined(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str
     top = F.shiftleft(F.col("top").cast("long"), 32)
     # Counted beyond the heads, as what takes the place of a frequent shingle there may be
     # frequent as well.
-    heads = _heads(texts, size, percent, Bitmap.none(), wide=3)
+    rows = Bitmap.of(classes, "k")
+    heads = _heads(texts, size, percent, rows, Bitmap.none(), wide=3)
     frequent = Bitmap.of(heads.where(F.col("count") > FREQUENT), top, 24)
-    heads = _heads(texts, size, percent, frequent)
+    heads = _heads(texts, size, percent, rows, frequent)
     shared = Bitmap.of(heads, top)
     met = heads.where(F.col("count") <= FREQUENT).agg(
         F.sum(F.col("count") * F.col("count")), F.sum("count")
@@ -303,9 +309,10 @@ def _joined(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str
     squares, entries = met.first()
     small = classes.groupBy(F.least("n", F.lit(2 * MOST_LIGHT)).alias("n")).count().collect()
     limit = light_limit({r["n"]: r["count"] for r in small}, (squares or 0) / max(1, entries or 0), percent)
-    listed = saved(_entries(texts, size, percent, salt, limit, shared, frequent), "lists")
+    listed = saved(_entries(texts, size, percent, salt, limit, rows, shared, frequent), "lists")
+    # Grouped and joined as they are dealt out here, once for both.
+    listed = listed.repartition("list")
 
-    rows = Bitmap.of(classes, "k")
     sketches = sets.where("n > 0").select("v", "n", "sketch", *ODD).dropDuplicates(["v"])
     sketches = saved(sketches, "sketches")
     odd, sketches = sketches.select("v", *ODD), sketches.select("v", "n", "sketch")
@@ -333,14 +340,16 @@ def _joined(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str
     # that one of two sets lacks changes one bit of their parities at most, so sets whose parities
     # differ in more bits than linked sets have such shingles are told apart as they meet.
     home = members.where("v = hub").select("list", F.col("c").alias("home")).distinct()
-    outside = members.join(home, "list").where("c <> home").select("list", "v", "n", "c", *ODD)
+    outside = members.join(home, "list").where("c <> home").select("list", "v", "n", "c", "home", *ODD)
     others = members.select(
         "list", F.col("v").alias("w"), F.col("n").alias("m"), F.col("c").alias("d"), *[F.col(o).alias(f"p{o}") for o in ODD]
     )
     unlike = sum((F.bit_count(F.col(o).bitwiseXOR(F.col(f"p{o}"))) for o in ODD), F.lit(0))
     overlap = F.expr(f"({percent} * (n + m) + {99 + percent}) div {100 + percent}")
     near = unlike <= F.col("n") + F.col("m") - 2 * overlap
-    across = outside.join(others, (outside["list"] == others["list"]) & (F.col("c") != F.col("d")) & fits & near)
+    # Two that are both outside meet once.
+    once = (F.col("d") == F.col("home")) | (F.col("v") < F.col("w"))
+    across = outside.join(others, (outside["list"] == others["list"]) & (F.col("c") != F.col("d")) & once & fits & near)
     across = across.select(*pair).distinct().join(tried, ["a", "b"], "left_anti")
     more = saved(_linked(texts, across, sketches, size, percent, salt, rows), "links")
 

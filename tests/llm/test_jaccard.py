@@ -149,3 +149,23 @@ def test_a_text_and_many_edited_copies(table, chance):
     found = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.join(table(*rows), 4, 85).collect())
     assert found == sorted((d, n, c) for d, n, c in plain(rows, 4, 85))
     assert sum(c == 0 for _, _, c in found) > 50 and sum(d == c for d, _, c in found) > 20
+
+
+def test_copies_are_listed_once(table, monkeypatch):
+    """However many copies a text has, its class is in each list once."""
+    counts, saved = {}, jaccard.saved
+
+    def noting(rows, name):
+        out = saved(rows, name)
+        counts.setdefault(name, out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "saved", noting)
+    text = " ".join(f"w{i}" for i in range(40))
+    listed = []
+    for copies in (1, 30):
+        counts.clear()
+        joined = jaccard.join(table(*[(i, text) for i in range(copies)], (100, text + "x")), size=4, percent=85)
+        assert {r["component_id"] for r in joined.collect()} == {0}
+        listed.append(counts["lists"])
+    assert listed[0] == listed[1] > 0

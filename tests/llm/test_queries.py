@@ -16,7 +16,7 @@ SF_DIR = "/root/testdata/sf0.01"
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     return con
 
