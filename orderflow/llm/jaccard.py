@@ -15,13 +15,14 @@ thousands of near copies takes one pair a member, and no link between two compon
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import combinations
 from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderflow.llm.common import Bitmap, column, map_batches, mixed, saved, texts_of, unused
@@ -40,6 +41,12 @@ ODD = [f"o{i}" for i in range(ODD_BITS // 64)]
 MOST_LIGHT = 24
 # List entries that a task makes before it hands them on.
 MOST_KEYS = 100_000
+# Shingles of heads that a task counts before it hands the counts on, and ranges of the hash at
+# least that they are dealt by.
+MOST_TOPS = 1 << 20
+LEAST_PARTS = 1024
+# Bits that a word of two parity sketches must have for its equality to tell that they are near.
+TELLING_BITS = 4
 
 
 def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -129,16 +136,50 @@ def _heads(
     bits in their heads, if two at least."""
     bitmaps = texts.sparkSession.sparkContext.broadcast((rows, frequent))
 
+    parts = max(LEAST_PARTS, 4 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+    def counted(held: list[np.ndarray]) -> dict:
+        top, count = np.unique(np.concatenate(held), return_counts=True)
+        part = (top.astype(np.uint64) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+        first = np.flatnonzero(np.diff(part, prepend=-1))
+        cuts = (4 * np.append(first, len(part))).tolist()
+        tops, counts = top.tobytes(), count.astype(np.uint32).tobytes()
+        return {
+            "part": part[first],
+            "tops": [tops[a:b] for a, b in zip(cuts, cuts[1:])],
+            "counts": [counts[a:b] for a, b in zip(cuts, cuts[1:])],
+        }
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         rows, frequent = bitmaps.value
+        held, size_held = [], 0
         for batch in batches:
             for _, _, words in word_blocks(_standing(batch, rows)["text"], lower=True):
                 heads = [_head(s, percent, frequent, wide) for s in text_sets(words, size)]
-                tops = (np.concatenate(heads) >> np.uint64(32)).astype(np.uint32)
-                yield {"top": tops.view(np.int32)}
+                held.append((np.concatenate(heads) >> np.uint64(32)).astype(np.uint32))
+                size_held += len(held[-1])
+                if size_held > MOST_TOPS:
+                    yield counted(held)
+                    held, size_held = [], 0
+        if size_held:
+            yield counted(held)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        held = defaultdict(list)
+        for batch in batches:
+            for part, *both in zip(*(batch[c].to_pylist() for c in ("part", "tops", "counts"))):
+                held[part].append(both)
+        for part in list(held):
+            top, count = (np.frombuffer(b"".join(some), np.uint32) for some in zip(*held.pop(part)))
+            order = np.argsort(top)
+            top, count = top[order], count[order].astype(np.int64)
+            first = np.flatnonzero(np.append(True, top[1:] != top[:-1]))
+            top, count = top[first], np.add.reduceat(count, first)
+            yield {"top": top[count > 1].view(np.int32), "count": count[count > 1]}
 
-    tops = map_batches(texts, run, "top int")
-    return saved(tops.groupBy("top").count().where("count > 1"), "heads")
+    # Packed by range of the hash, for as many rows as there are shingles fill an executor's heap.
+    dealt = map_batches(texts, run, "part int, tops binary, counts binary").repartition("part")
+    return saved(map_batches(dealt, summed, "top int, count long"), "heads")
 
 
 SALTS = 8
@@ -315,7 +356,7 @@ def _joined(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str
 
     sketches = sets.where("n > 0").select("v", "n", "sketch", *ODD).dropDuplicates(["v"])
     sketches = saved(sketches, "sketches")
-    odd, sketches = sketches.select("v", *ODD), sketches.select("v", "n", "sketch")
+    odd, sketches = sketches.select("v", "n", *ODD), sketches.select("v", "n", "sketch")
     # Each member of a list against its smallest set and its hub, the set with most in common with
     # others: of a text and its edited copies, that is the text.
     hub = F.max(F.struct("common", "n", "v")).alias("hub")
@@ -325,8 +366,11 @@ def _joined(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str
     pair = (F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b"))
     stars = listed.join(ends, "list").select("v", "n", F.explode(F.array("lo", "hub")).alias("p"))
     stars = stars.select("v", "n", F.col("p.v").alias("w"), F.col("p.n").alias("m"))
-    tried = saved(stars.where("v <> w").where(fits).select(*pair).distinct(), "tried")
-    links = saved(_linked(texts, tried, sketches, size, percent, salt, rows), "links")
+    stars = stars.where("v <> w").where(fits).select(*pair)
+    # Edited copies that are far from hub and smallest, by a neighbour each.
+    beside = _neighbours(odd).where(fits).select(*pair)
+    tried = saved(stars.union(beside).distinct(), "tried")
+    links = saved(_linked(texts, tried, sketches, size, percent, salt, classes), "links")
 
     found = saved(components(links), "components")
     of = found.select(F.col("id").alias("v"), "component")
@@ -335,23 +379,19 @@ def _joined(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str
     members = members.select("list", "v", "n", "c", "hub").distinct()
     split = members.groupBy("list").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1")
     members = members.join(split.select("list"), "list", "left_semi")
-    members = saved(members.join(odd, "v"), "split")
-    # Members outside the component of the list's hub, against all of other components. A shingle
-    # that one of two sets lacks changes one bit of their parities at most, so sets whose parities
-    # differ in more bits than linked sets have such shingles are told apart as they meet.
+    members = saved(members.join(odd.drop("n"), "v"), "split")
+    # Members outside the component of the list's hub, against all of other components.
     home = members.where("v = hub").select("list", F.col("c").alias("home")).distinct()
     outside = members.join(home, "list").where("c <> home").select("list", "v", "n", "c", "home", *ODD)
     others = members.select(
         "list", F.col("v").alias("w"), F.col("n").alias("m"), F.col("c").alias("d"), *[F.col(o).alias(f"p{o}") for o in ODD]
     )
-    unlike = sum((F.bit_count(F.col(o).bitwiseXOR(F.col(f"p{o}"))) for o in ODD), F.lit(0))
-    overlap = F.expr(f"({percent} * (n + m) + {99 + percent}) div {100 + percent}")
-    near = unlike <= F.col("n") + F.col("m") - 2 * overlap
+    near = _near(percent)
     # Two that are both outside meet once.
     once = (F.col("d") == F.col("home")) | (F.col("v") < F.col("w"))
     across = outside.join(others, (outside["list"] == others["list"]) & (F.col("c") != F.col("d")) & once & fits & near)
     across = across.select(*pair).distinct().join(tried, ["a", "b"], "left_anti")
-    more = saved(_linked(texts, across, sketches, size, percent, salt, rows), "links")
+    more = saved(_linked(texts, across, sketches, size, percent, salt, classes), "links")
 
     links = links.union(more)
     found = components(links)
@@ -390,6 +430,30 @@ def one_of_each(
     return marked.join(gone.toDF(*names), names, "left_anti").select(*[column(c) for c in docs.columns])
 
 
+def _near(percent: int) -> Column:
+    """Whether sets of n and m shingles with parities ODD and pODD may be linked. A shingle that one
+    of two sets lacks changes one bit of their parities at most, so sets whose parities differ in
+    more bits than linked sets have such shingles are told apart."""
+    unlike = sum((F.bit_count(F.col(o).bitwiseXOR(F.col(f"p{o}"))) for o in ODD), F.lit(0))
+    overlap = F.expr(f"({percent} * (n + m) + {99 + percent}) div {100 + percent}")
+    return unlike <= F.col("n") + F.col("m") - 2 * overlap
+
+
+def _neighbours(odd: DataFrame) -> DataFrame:
+    """v, n and w, m: sets that agree in 64 bits in a row of their parities, each with the one before
+    it by the next bits; so of a group of any size, a set takes one pair a place. Bits are cut at
+    words and halfway."""
+    words = [F.col(o) for o in ODD]
+    halfway = [F.shiftrightunsigned(a, 32).bitwiseOR(F.shiftleft(b, 32)) for a, b in zip(words, words[1:] + words[:1])]
+    places = F.array(*words, *halfway)
+    rows = odd.select("v", "n", F.posexplode(places).alias("at", "word"), places.alias("places"))
+    rows = rows.where(F.bit_count("word") >= TELLING_BITS)
+    rows = rows.select("v", "n", "at", "word", F.col("places")[(F.col("at") + 1) % (2 * len(ODD))].alias("next"))
+    line = Window.partitionBy("at", "word").orderBy("next", "v")
+    before = rows.select("v", "n", F.lag("v").over(line).alias("w"), F.lag("n").over(line).alias("m"))
+    return before.where("w IS NOT NULL")
+
+
 def _plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """The pairs whose overlap can be enough: it is at most the sum, over the ranges of the hash,
     of the smaller of the two counts. A count of 255 stands for any number and passes."""
@@ -414,11 +478,12 @@ def _plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
 
 def _linked(
     texts: DataFrame, pairs: DataFrame, sketches: DataFrame, size: int, percent: int, salt: int,
-    rows: Bitmap,
+    classes: DataFrame,
 ) -> DataFrame:
     """The pairs (a, b) of classes whose sets are alike enough, by exact overlap."""
     pairs = saved(_plausible(pairs, sketches, percent), "plausible")
     ends = pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v")))
+    rows = Bitmap.of(classes.join(ends.distinct(), "v", "left_semi"), "k")
     members = saved(_members(texts, size, salt, rows, Bitmap.of(ends, "v")), "members")
     one = members.select(F.col("v").alias("a"), F.col("members").alias("x"))
     other = members.select(F.col("v").alias("b"), F.col("members").alias("y"))

@@ -169,3 +169,51 @@ def test_copies_are_listed_once(table, monkeypatch):
         assert {r["component_id"] for r in joined.collect()} == {0}
         listed.append(counts["lists"])
     assert listed[0] == listed[1] > 0
+
+
+def test_pairs_of_a_group_of_copies_grow_with_its_size(table, monkeypatch):
+    """Copies of a text with two edits each of thirty: they link by a common edit, but hardly with one
+    of them. What is left to try across components is less than a pair for each."""
+    tried, linked = [], jaccard._linked
+
+    def noting(texts, pairs, *rest):
+        tried.append(pairs.count())
+        return linked(texts, pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "_linked", noting)
+    rows = []
+    for edits in combinations(range(30), 2):
+        copy = [f"w{i}" for i in range(100)]
+        for edit in edits:
+            copy[5 * edit % 100] = f"x{edit}"
+        rows.append((len(rows), " ".join(copy)))
+    found = jaccard.join(table(*rows), 4, 85).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == sorted(plain(rows, 4, 85))
+    across = tried[1]
+    assert across < len(rows) and sum(tried) < 20 * len(rows), tried
+
+
+@pytest.mark.parametrize("most", [1 << 20, 1000])
+def test_shingles_of_heads_are_counted_packed(table, rows, monkeypatch, most):
+    """As one by one, but a row for many: a row for each filled an executor's heap."""
+    monkeypatch.setattr(jaccard, "MOST_TOPS", most)
+    made, saved = [], jaccard.map_batches
+
+    def noting(frame, function, schema):
+        out = saved(frame, function, schema)
+        made.append((schema, out))
+        return out
+
+    monkeypatch.setattr(jaccard, "map_batches", noting)
+    texts = jaccard.texts_of(table(*rows)).withColumn("k", F.xxhash64("doc_id", "text")).coalesce(2)
+    every = jaccard.Bitmap(np.full(1, -1, np.int64).view(np.uint64), 6)
+    heads = jaccard._heads(texts, 4, 85, every, jaccard.Bitmap.none(), wide=3)
+    sets = [s for _, _, w in jaccard.word_blocks(texts.toArrow()["text"].combine_chunks(), lower=True) for s in jaccard.text_sets(w, 4)]
+    tops = np.concatenate([jaccard._head(s, 85, jaccard.Bitmap.none(), 3) for s in sets]) >> np.uint64(32)
+    top, count = np.unique(tops.astype(np.uint32), return_counts=True)
+    wanted = dict(zip(top[count > 1].view(np.int32).tolist(), count[count > 1].tolist()))
+    assert {r["top"]: r["count"] for r in heads.collect()} == wanted
+    assert heads.count() == len(wanted)
+    schema, packed = made[0]
+    assert "tops binary" in schema and packed.selectExpr("sum(length(tops))").first()[0] <= 4 * len(tops)
+    assert packed.groupBy("part").count().count() <= jaccard.LEAST_PARTS
