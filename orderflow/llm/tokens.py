@@ -14,7 +14,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,17 +23,37 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from orderflow.llm.common import map_batches, ranges, texts_of
-from orderflow.llm.words import slices
+from orderflow.llm.words import column_bytes, slices
 
 SHARD_IDS = 1 << 20
 # Rules of a shard; a pair rarer than this is not worth one.
 MAX_RULES = 16_000
 LEAST_COUNT = 6
-# Distinct words, and runs of them, that a worker keeps between groups of texts.
-CACHED = 250_000
+# Rules that stand for so many ids at most are expanded by one look at a table.
+SHORT_RULE = 64
+# Distinct pieces that a worker keeps from one group of texts to the next.
+CACHED = 600_000
 LONG_WORD = 200
-# What the tokenizer's pattern cuts lower-cased printable ASCII without apostrophes and spaces into.
-_RUNS = re.compile("[a-z]+|[0-9]|[^a-z0-9]+").findall
+
+# Kinds of bytes. What stands together in a word and is of one kind, or a digit, is a piece; an odd
+# byte makes the whole word one piece.
+_LETTER, _DIGIT, _SIGN, _SPACE, _ODD = range(5)
+_KIND = np.full(256, _ODD, np.uint8)
+_KIND[0x21:0x7F] = _SIGN
+_KIND[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = _LETTER
+_KIND[list(b"0123456789")] = _DIGIT
+_KIND[list(b" \n")] = _SPACE
+_KIND[ord("'")] = _ODD
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 32
+# U+00C0 to U+00FF are letters but for two; they are 0xC3 and a byte from 0x80 on.
+_WIDE, _TIMES, _DIVIDED = 0xC3, 0x97, 0xB7
+_LOWER_WIDE = np.arange(256, dtype=np.uint8)
+_LOWER_WIDE[0x80:0x9F] += 32
+_LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
+# The characters by which byte-level vocabularies write bytes.
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_CHARS = {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)}.difference(_PLAIN)))}
 
 
 @dataclass
@@ -58,7 +78,7 @@ class Grammar:
             least = max(LEAST_COUNT, (top if most is None else min(top, most)) // 2)
             if top < LEAST_COUNT:
                 break
-            places = np.flatnonzero(held[bucket] >= least)
+            places = np.flatnonzero((held >= least)[bucket])
             pairs, which, counts = np.unique(key[places], return_inverse=True, return_counts=True)
             wanted = counts >= least
             most = least
@@ -89,17 +109,35 @@ class Grammar:
             sizes[self.base + number] = sizes[left] + sizes[right]
         return sizes[self.base :]
 
+    def _opened(self, out: np.ndarray, deep: np.ndarray) -> np.ndarray:
+        """The symbols with each of the deep ones replaced by its two."""
+        ends = np.cumsum(1 + deep)
+        grown = np.empty(int(ends[-1]), np.int64)
+        grown[ends - 1] = out
+        rule = self.rules[out[deep] - self.base]
+        grown[ends[deep] - 2], grown[ends[deep] - 1] = rule[:, 0], rule[:, 1]
+        return grown
+
+    @cached_property
+    def _table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """ids, and for each symbol where its ids begin among them and how many they are; a rule of
+        more than SHORT_RULE ids has none there."""
+        sizes = np.ones(self.base + len(self.rules), np.int64)
+        sizes[self.base :] = self.lengths()
+        out = self.base + np.flatnonzero(sizes[self.base :] <= SHORT_RULE)
+        starts = np.arange(len(sizes))
+        starts[out] = self.base + np.cumsum(sizes[out]) - sizes[out]
+        while len(out) and (deep := out >= self.base).any():
+            out = self._opened(out, deep)
+        return np.concatenate([np.arange(self.base), out]).astype(np.uint32), starts, sizes
+
     def expanded(self, symbols: np.ndarray) -> np.ndarray:
-        """All levels of rules undone, one array operation a level."""
+        """All levels of rules undone: long rules one array operation a level, the rest by table."""
+        ids, starts, sizes = self._table
         out = symbols.astype(np.int64)
-        while len(out) and (deep := out >= self.base).any():
-            ends = np.cumsum(1 + deep)
-            grown = np.empty(int(ends[-1]), np.int64)
-            grown[ends - 1] = out
-            rule = self.rules[out[deep] - self.base]
-            grown[ends[deep] - 2], grown[ends[deep] - 1] = rule[:, 0], rule[:, 1]
-            out = grown
-        return out.astype(np.uint32)
+        while len(out) and (deep := sizes[out] > SHORT_RULE).any():
+            out = self._opened(out, deep)
+        return _gathered(ids, starts[out], sizes[out])
 
     def span(self, lengths: np.ndarray, start: int, n: int) -> np.ndarray:
         """ids start to start + n; only the symbols that touch them are expanded."""
@@ -113,50 +151,94 @@ class Grammar:
         return self.expanded(self.symbols[first:last])[start - before : start - before + n]
 
 
+def _gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """values[starts[0] : starts[0] + sizes[0]], then the next, and so on."""
+    ends = np.cumsum(sizes)
+    return values[np.repeat(starts - (ends - sizes), sizes) + np.arange(int(sizes.sum()))]
+
+
 class _Encoder:
-    """The tokenizer with its earlier results by word. Words are cut at spaces and line breaks:
+    """The tokenizer with its earlier results by piece. Words are cut at spaces and line breaks:
     no token reaches across either.
 
-    A printable ASCII word without an apostrophe is cut on into what the tokenizer's pattern cuts it into,
-    and a run of its letters, which normalization leaves alone, goes to the library's model.
+    A word of printable ASCII without apostrophes and of letters up to U+00FF is lower-cased and cut
+    on into what the tokenizer's pattern cuts it into; a run of its letters, which normalization
+    leaves alone then, goes to the library's model. Any other word goes to the library whole.
     """
 
     def __init__(self, definition: str):
         self.tokenizer = Tokenizer.from_str(definition)
         # The strings of special tokens are ordinary text in a document.
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {"": b""}
-        self.runs: dict[str, bytes] = {}
-
-    def _run(self, run: str) -> bytes:
-        if (ids := self.runs.get(run)) is None:
-            if run.isalpha():
-                ids = array("I", [token.id for token in self.tokenizer.model.tokenize(run)]).tobytes()
-            else:
-                ids = array("I", self.tokenizer.encode(run, add_special_tokens=False).ids).tobytes()
-            self.runs[run] = ids
-        return ids
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [text.replace("\n", " ").split(" ") for text in texts]
-        known = self.known
-        rest = []
-        for word in set().union(*parts).difference(known):
-            if word.isascii() and word.isprintable() and "'" not in word and len(word) <= LONG_WORD:
-                known[word] = b"".join(map(self._run, _RUNS(word.lower())))
+        self._forget()
+
+    def _forget(self) -> None:
+        """known: the number of each piece; its ids are the next so many as sizes says."""
+        self.known: dict[bytes, int] = {}
+        self.ids, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        tokenize, fresh, sizes = self.tokenizer.model.tokenize, [], []
+        for piece in pieces:
+            text = piece.decode()
+            if len(text) <= LONG_WORD and (piece.isalpha() or _LETTERS(text)):
+                written = text if len(text) == len(piece) else piece.decode("latin-1").translate(_BYTE_CHARS)
+                ids = [token.id for token in tokenize(written)]
             else:
-                rest.append(word)
-        for at in range(0, len(rest), 2000):
-            some = rest[at : at + 2000]
-            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            known.update((word, array("I", one.ids).tobytes()) for word, one in zip(some, found))
-        look = known.__getitem__
-        out = [b"".join(map(look, words)) for words in parts]
-        if len(known) > CACHED:
-            self.known = {"": b""}
-        if len(self.runs) > CACHED:
-            self.runs = {}
-        return out
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            fresh += ids
+            sizes.append(len(ids))
+        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces))))
+        self.ids = np.append(self.ids, np.array(fresh, np.uint32))
+        self.sizes = np.append(self.sizes, np.array(sizes, np.int64))
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        data, offsets = column_bytes(column)
+        data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
+        pieces, first = _pieces(data, offsets)
+        coded = pieces.dictionary_encode()
+        joined, cuts = column_bytes(coded.dictionary)
+        joined, cuts = joined.tobytes(), cuts.tolist()
+        distinct = [joined[a:b] for a, b in zip(cuts, cuts[1:])]
+        self._learn([piece for piece in distinct if piece not in self.known])
+        number = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        which = number[coded.indices.to_numpy()]
+        sizes = self.sizes[which]
+        out = _gathered(self.ids, (np.cumsum(self.sizes) - self.sizes)[which], sizes).tobytes()
+        if len(self.known) > CACHED:
+            self._forget()
+        cuts = (4 * np.append(0, np.cumsum(sizes))[first]).tolist()
+        return [out[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
+def _pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of texts data[offsets[d]:offsets[d + 1]] as binary, and the number of each text's
+    first."""
+    kind = _KIND[data]
+    inside = kind != _SPACE
+    low = _LOWER[data]
+    wide = np.flatnonzero(data == _WIDE)
+    second = data[wide + 1]
+    letters = (second != _TIMES) & (second != _DIVIDED)
+    kind[wide], kind[wide[letters] + 1] = _LETTER, _LETTER
+    low[wide[letters] + 1] = _LOWER_WIDE[second[letters]]
+    begin = np.zeros(len(data) + 1, bool)
+    begin[1:] = ~inside
+    begin[offsets] = True
+    # An odd byte's word, with the space after it.
+    words = np.flatnonzero(begin)
+    whole = np.unique(np.searchsorted(words, np.flatnonzero(kind == _ODD), "right"))
+    odd = _gathered(np.arange(len(data)), words[whole - 1], words[whole] - words[whole - 1])
+    odd = odd[inside[odd]]
+    kind[odd], low[odd] = _ODD, data[odd]
+    begin[1:-1] |= kind[1:] != kind[:-1]
+    begin[:-1] |= kind == _DIGIT
+    begin = begin[:-1] & inside
+    starts = np.append(np.flatnonzero(begin[inside]), np.count_nonzero(inside)).astype(np.int32)
+    first = np.searchsorted(np.flatnonzero(begin), offsets)
+    buffers = [None, pa.py_buffer(starts.tobytes()), pa.py_buffer(low[inside].tobytes())]
+    return pa.Array.from_buffers(pa.binary(), len(starts) - 1, buffers), first
 
 
 @lru_cache(maxsize=1)
@@ -198,7 +280,7 @@ def write(
         size, numbers = 0, {}
         for batch in batches:
             for part in slices(batch):
-                ids = encoder.encode(part["text"].to_pylist())
+                ids = encoder.encode(part["text"])
                 for number, doc_id, mine in zip(part["range"].to_pylist(), part["doc_id"].to_pylist(), ids):
                     if held and (size >= 4 * SHARD_IDS or held[0][0] != number):
                         yield shard(held, numbers, base)

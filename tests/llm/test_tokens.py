@@ -28,6 +28,43 @@ def test_words_cut_apart_get_the_ids_of_the_whole_text(tokenizer, chance):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_pieces_of_any_bytes_get_the_ids_of_the_whole_text(tokenizer, chance):
+    """Letters up to U+00FF, and what is beside them or looks like them."""
+    with open(WORD_BPE, encoding="utf-8") as file:
+        encoder = tokens._Encoder(file.read())
+    parts = [
+        "The", "'s", "''s", "É", "ß", "ÿ", "Ÿ", "×", "a÷B", "Ã", "Þorn", "µ", "ª", "²", "½", "\u0301", "e\u0301", "\u0327",
+        "Ł", "ſ", "\u212a", "12", "!?", "\t", "\x7f", "\xa0", "\x85", "<|endoftext|>", "日本", "x" * 300, "é" * 250, "öÖ1ñ!ü",
+    ]
+    texts = ["".join(chance.choice(parts + [" ", "\n"] * 6) for _ in range(40)) for _ in range(600)] + ["", " ", "\n\n"]
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+    assert encoder.encode([]) == []
+
+
+def test_words_with_accents_take_the_short_way(tokenizer, chance):
+    """Only signs, and words with bytes of other kinds, pass the library's whole chain."""
+    with open(WORD_BPE, encoding="utf-8") as file:
+        encoder = tokens._Encoder(file.read())
+    passed = []
+
+    class Noting:
+        model = encoder.tokenizer.model
+
+        def encode(self, text, add_special_tokens):
+            passed.append(text)
+            return tokenizer.encode(text, add_special_tokens=add_special_tokens)
+
+        def encode_batch_fast(self, texts, add_special_tokens):
+            return [self.encode(text, add_special_tokens) for text in texts]
+
+    encoder.tokenizer = Noting()
+    words = ["".join(chance.choice("aéÈßñz") for _ in range(9)) + chance.choice(["", ",", "..."]) for _ in range(500)]
+    text = " ".join(words) + " it's"
+    assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert sorted(passed) == [",", "...", "it's"]
+
+
 def test_a_worker_keeps_one_encoder_and_starts_no_threads():
     """In a process of its own, as a worker is: a tokenizer for each task, or threads, would hold
     on to memory there."""
