@@ -8,7 +8,8 @@ first, as any partner must share one of. The boundary between light and heavy is
 which the expected number of list entries is least.
 
 Lists yield candidates without pairing their members: first each member with the list's
-smallest set and its hub, then, where exact overlaps have not connected all, members outside the
+smallest set and its hub, and sets with a neighbour each by 64 bits of their parity sketches;
+then, where exact overlaps have not connected all, members outside the
 hub's component with those of other components whose parity sketches are near. So a list of
 thousands of near copies takes one pair a member, and no link between two components is lost.
 """
