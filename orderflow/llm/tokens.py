@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from orderflow.llm.common import map_batches, ranges, texts_of
-from orderflow.llm.words import column_bytes, slices
+from orderflow.llm.words import blocks, column_bytes, slices
 
 SHARD_IDS = 1 << 20
 # Rules of a shard; a pair rarer than this is not worth one.
@@ -31,6 +31,8 @@ MAX_RULES = 16_000
 LEAST_COUNT = 6
 # Rules that stand for so many ids at most are expanded by one look at a table.
 SHORT_RULE = 64
+# Bytes of texts whose pieces are looked up together.
+GROUP_BYTES = 8 << 20
 # Distinct pieces that a worker keeps from one group of texts to the next.
 CACHED = 600_000
 LONG_WORD = 200
@@ -46,6 +48,8 @@ _KIND[list(b" \n")] = _SPACE
 _KIND[ord("'")] = _ODD
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
+# As tables of bytes.translate.
+_KIND, _LOWER = _KIND.tobytes(), _LOWER.tobytes()
 # U+00C0 to U+00FF are letters but for two; they are 0xC3 and a byte from 0x80 on.
 _WIDE, _TIMES, _DIVIDED = 0xC3, 0x97, 0xB7
 _LOWER_WIDE = np.arange(256, dtype=np.uint8)
@@ -56,6 +60,19 @@ _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_CHARS = {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)}.difference(_PLAIN)))}
 
 
+# Pairs are counted in so many buckets, and what is no pair in one more.
+_NO_PAIR = 1 << 20
+
+
+def _bucket(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The bucket of each pair, by a hash."""
+    key = left.astype(np.uint64) << np.uint64(32)
+    key |= right
+    key *= np.uint64(0x9E3779B97F4A7C15)
+    key >>= np.uint64(44)
+    return key.astype(np.int64)
+
+
 @dataclass
 class Grammar:
     """Symbol base + r stands for the two symbols of rules[r]; smaller ones are ids."""
@@ -67,19 +84,24 @@ class Grammar:
     @classmethod
     def of(cls, ids: np.ndarray, base: int) -> Grammar:
         """Re-Pair in rounds: each replaces the pairs that are at least half as frequent as the
-        most frequent one, so no pair waits behind one less than half as frequent."""
-        symbols, rules = ids.astype(np.uint64), []
+        most frequent one, so no pair waits behind one less than half as frequent.
+
+        held counts the pairs by bucket and follows what is replaced; the last symbol begins no
+        pair and is in the bucket of none."""
+        symbols, rules = ids.astype(np.uint32), []
+        bucket = np.append(_bucket(symbols[:-1], symbols[1:]), _NO_PAIR)[: len(symbols)]
+        held = np.bincount(bucket, minlength=_NO_PAIR + 1).astype(np.int32)
         most = None
         while len(symbols) > 1 and len(rules) < MAX_RULES:
-            key = symbols[:-1] << np.uint64(32) | symbols[1:]
-            bucket = (key * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64)
-            held = np.bincount(bucket, minlength=1 << 20)
-            top = int(held.max())
+            top = int(held[:_NO_PAIR].max())
             least = max(LEAST_COUNT, (top if most is None else min(top, most)) // 2)
             if top < LEAST_COUNT:
                 break
-            places = np.flatnonzero((held >= least)[bucket])
-            pairs, which, counts = np.unique(key[places], return_inverse=True, return_counts=True)
+            many = held >= least
+            many[_NO_PAIR] = False
+            places = np.flatnonzero(many.take(bucket, mode="clip"))
+            key = symbols[places].astype(np.uint64) << np.uint64(32) | symbols[places + 1]
+            pairs, which, counts = np.unique(key, return_inverse=True, return_counts=True)
             wanted = counts >= least
             most = least
             if wanted.any():
@@ -93,8 +115,21 @@ class Grammar:
                 run = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
                 kept = (np.arange(len(places)) - run) % 2 == 0
                 places, which = places[kept], which[kept]
-                symbols[places] = (base + len(rules) + which).astype(np.uint64)
-                symbols = np.delete(symbols, places + 1)
+                # The pairs that touch a replaced one: itself, the next, and the one before unless
+                # it is the next of another.
+                before = (places > 0) & (np.diff(places, prepend=-3) > 2)
+                gone = np.concatenate([places, places + 1, places[before] - 1])
+                np.subtract.at(held, bucket[gone], np.int32(1))
+                symbols[places] = (base + len(rules) + which).astype(np.uint32)
+                stay = np.ones(len(symbols), bool)
+                stay[places + 1] = False
+                symbols, bucket = symbols[stay], bucket[stay]
+                places -= np.arange(len(places))
+                made = np.concatenate([places, places[before] - 1])
+                made = made[made < len(symbols) - 1]
+                bucket[made] = _bucket(symbols[made], symbols[made + 1])
+                bucket[-1] = _NO_PAIR
+                np.add.at(held, bucket[made], np.int32(1))
                 rules += pairs[chosen].tolist()
             elif least == LEAST_COUNT:
                 break
@@ -179,11 +214,13 @@ class _Encoder:
 
     def _learn(self, pieces: list[bytes]) -> None:
         tokenize, fresh, sizes = self.tokenizer.model.tokenize, [], []
-        for piece in pieces:
-            text = piece.decode()
-            if len(text) <= LONG_WORD and (piece.isalpha() or _LETTERS(text)):
-                written = text if len(text) == len(piece) else piece.decode("latin-1").translate(_BYTE_CHARS)
-                ids = [token.id for token in tokenize(written)]
+        # No piece has a line break.
+        texts = b"\n".join(pieces).decode().split("\n") if pieces else []
+        for piece, text in zip(pieces, texts):
+            if piece.isalpha() and len(piece) <= LONG_WORD:
+                ids = [token.id for token in tokenize(text)]
+            elif len(text) <= LONG_WORD and _LETTERS(text):
+                ids = [token.id for token in tokenize(piece.decode("latin-1").translate(_BYTE_CHARS))]
             else:
                 ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             fresh += ids
@@ -195,29 +232,39 @@ class _Encoder:
     def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         data, offsets = column_bytes(column)
-        data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
-        pieces, first = _pieces(data, offsets)
-        coded = pieces.dictionary_encode()
-        joined, cuts = column_bytes(coded.dictionary)
+        # Pieces are cut block by block, and distinct ones looked up once for all blocks.
+        parts = [
+            _pieces(data[offsets[at] : offsets[upto]], offsets[at : upto + 1] - offsets[at])
+            for at, upto in blocks(offsets)
+        ]
+        # Empty chunks may go.
+        coded = pa.chunked_array([pieces for pieces, _ in parts], pa.binary()).dictionary_encode().chunks
+        indices = np.concatenate([np.zeros(0, np.int32), *[chunk.indices.to_numpy() for chunk in coded]])
+        joined, cuts = column_bytes(coded[-1].dictionary if coded else pa.array([], pa.binary()))
         joined, cuts = joined.tobytes(), cuts.tolist()
         distinct = [joined[a:b] for a, b in zip(cuts, cuts[1:])]
         self._learn([piece for piece in distinct if piece not in self.known])
         number = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
-        which = number[coded.indices.to_numpy()]
-        sizes = self.sizes[which]
-        out = _gathered(self.ids, (np.cumsum(self.sizes) - self.sizes)[which], sizes).tobytes()
+        starts = np.cumsum(self.sizes) - self.sizes
+        found = []
+        for pieces, first in parts:
+            which, indices = number[indices[: len(pieces)]], indices[len(pieces) :]
+            sizes = self.sizes[which]
+            out = _gathered(self.ids, starts[which], sizes).tobytes()
+            cuts = (4 * np.append(0, np.cumsum(sizes))[first]).tolist()
+            found += [out[a:b] for a, b in zip(cuts, cuts[1:])]
         if len(self.known) > CACHED:
             self._forget()
-        cuts = (4 * np.append(0, np.cumsum(sizes))[first]).tolist()
-        return [out[a:b] for a, b in zip(cuts, cuts[1:])]
+        return found
 
 
 def _pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     """The pieces of texts data[offsets[d]:offsets[d + 1]] as binary, and the number of each text's
     first."""
-    kind = _KIND[data]
+    raw = data.tobytes()
+    kind = np.frombuffer(bytearray(raw.translate(_KIND)), np.uint8)
     inside = kind != _SPACE
-    low = _LOWER[data]
+    low = np.frombuffer(bytearray(raw.translate(_LOWER)), np.uint8)
     wide = np.flatnonzero(data == _WIDE)
     second = data[wide + 1]
     letters = (second != _TIMES) & (second != _DIVIDED)
@@ -279,7 +326,7 @@ def write(
         held: list[tuple[int, int | None, bytes]] = []
         size, numbers = 0, {}
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=GROUP_BYTES):
                 ids = encoder.encode(part["text"])
                 for number, doc_id, mine in zip(part["range"].to_pylist(), part["doc_id"].to_pylist(), ids):
                     if held and (size >= 4 * SHARD_IDS or held[0][0] != number):

@@ -166,10 +166,10 @@ def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
         at = upto
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The rows of a batch, about BLOCK_BYTES of a string or binary column at a time."""
+def slices(batch: pa.RecordBatch, column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, about limit bytes of a string or binary column at a time."""
     _, offsets = column_bytes(batch[column])
-    for at, upto in blocks(offsets):
+    for at, upto in blocks(offsets, limit):
         yield batch.slice(at, upto - at)
 
 

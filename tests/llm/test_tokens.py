@@ -120,3 +120,40 @@ def test_files(spark, table, folder, tokenizer, chance, monkeypatch):
         assert (tokens.span(spark, folder("t"), at, n) == every[at : at + n]).all()
     tokens.write(table(*rows).limit(0), WORD_BPE, folder("empty"))
     assert tokens.read(spark, folder("empty")).collect() == []
+
+
+def test_pieces_of_all_blocks_of_a_group_are_looked_up_once(tokenizer, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(tokens, "blocks", lambda offsets: ((i, i + 1) for i in range(len(offsets) - 1)))
+    with open(WORD_BPE, encoding="utf-8") as file:
+        encoder = tokens._Encoder(file.read())
+
+    class Counting(dict):
+        asked = 0
+
+        def __getitem__(self, piece):
+            self.asked += 1
+            return super().__getitem__(piece)
+
+    encoder.known = Counting()
+    texts = [f"The cat's w\u00f6rd {i % 3}" for i in range(50)] + [""]
+    texts[20] = " "
+    found = encoder.encode(pa.array(texts))
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [
+        tokenizer.encode(text, add_special_tokens=False).ids for text in texts
+    ]
+    assert encoder.known.asked == len(encoder.known) < 10
+    assert encoder.encode(pa.array([], pa.string())) == []
+
+
+def test_pairs_are_counted_anew_only_where_one_was_replaced(chance, monkeypatch):
+    """The pairs whose buckets are worked out are a few times the symbols, not symbols by rounds."""
+    seen = []
+    bucket = tokens._bucket
+    monkeypatch.setattr(tokens, "_bucket", lambda left, right: seen.append(len(left)) or bucket(left, right))
+    words = [[chance.randint(0, 99) for _ in range(12)] for _ in range(300)]
+    ids = np.array([i for _ in range(3000) for i in words[int(chance.random() ** 6 * 300)]], np.uint32)
+    grammar = tokens.Grammar.of(ids, 100)
+    assert np.array_equal(grammar.expanded(grammar.symbols), ids)
+    assert len(seen) > 10 and sum(seen) < 4 * len(ids)
