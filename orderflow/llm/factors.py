@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,10 @@ from orderflow.llm.common import Bitmap, map_batches, mixed, saved, texts_of
 from orderflow.llm.words import byte_values, blocks, column_bytes, power_pair, span_hashes
 
 _NO_ID = -(2**63)
-PIECE = 1 << 18
+# Bytes whose 64-bit hashes, and what is made of them step by step, stay in a core's cache.
+PIECE = 1 << 16
+# Pieces whose rows are handed on together.
+TOGETHER = 32
 # Classes of an anchor that meet in one bucket.
 MOST_CLASSES = 1000
 # Copies of a row written by one step.
@@ -45,18 +49,16 @@ def anchor_bytes(length: int) -> int:
 
 
 def sliding_least(values: np.ndarray, width: int, most: bool = False) -> np.ndarray:
-    """The least (or most) of each run of width values, from running ones of blocks of width."""
+    """The least (or most) of each run of width values, from runs twice as wide each time."""
     n = len(values) - width + 1
     if n <= 0:
         return values[:0]
     pick = np.maximum if most else np.minimum
-    rows = -(-len(values) // width)
-    padded = np.full(rows * width, 0 if most else ~np.uint64(0), values.dtype)
-    padded[: len(values)] = values
-    table = padded.reshape(rows, width)
-    ahead = pick.accumulate(table, axis=1).ravel()
-    back = pick.accumulate(table[:, ::-1], axis=1)[:, ::-1].ravel()
-    return pick(back[:n], ahead[width - 1 : width - 1 + n])
+    out, span = values, 1
+    while 2 * span <= width:
+        out = pick(out[:-span], out[span:])
+        span *= 2
+    return pick(out[:n], out[width - span : width - span + n])
 
 
 def least_places(values: np.ndarray, width: int, starts: np.ndarray) -> np.ndarray:
@@ -95,15 +97,17 @@ class Piece:
 
 def pieces(column: pa.Array, length: int) -> Iterator[Piece]:
     data, offsets = column_bytes(column)
-    for at, upto in blocks(offsets, PIECE):
+    # What comes along with a stretch is a small part of it.
+    size = max(PIECE, 16 * length)
+    for at, upto in blocks(offsets, size):
         start, end = int(offsets[at]), int(offsets[upto])
-        if end - start <= 2 * PIECE or upto - at > 1:
+        if end - start <= 2 * size or upto - at > 1:
             edges = offsets[at : upto + 1] - start
             yield Piece(data[start:end], np.arange(at, upto), edges[:-1], edges[1:], 0, 0, end - start)
             continue
         # What surrounds the strings of a stretch comes along on both sides.
-        for lo in range(start, end, PIECE):
-            hi = min(end, lo + PIECE)
+        for lo in range(start, end, size):
+            hi = min(end, lo + size)
             left, right = max(start, lo - length), min(end, hi + 2 * length)
             whole = np.array([right - left])
             yield Piece(data[left:right], np.array([at]), whole * 0, whole, left - start, lo - left, hi - left)
@@ -177,20 +181,34 @@ class Heads:
 def _anchored(
     texts: DataFrame, heads: Heads, length: int, schema: str, rows: Callable, *bitmaps: Bitmap
 ) -> DataFrame:
-    """What rows(batch, anchors, *bitmaps) yields for each piece of the texts that stand for others."""
+    """What rows(batch, anchors, *bitmaps) makes of each piece of the texts that stand for others."""
     held = texts.sparkSession.sparkContext.broadcast((heads, bitmaps))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         heads, bitmaps = held.value
+        found: list[dict] = []
         for batch in heads.of(batches):
             for piece in pieces(batch["text"], length):
-                found = rows(batch, Anchors(piece, length), *bitmaps)
-                if found is not None:
-                    yield found
+                made = rows(batch, Anchors(piece, length), *bitmaps)
+                found += [] if made is None else [made]
+                if len(found) == TOGETHER:
+                    yield _joined(found)
+                    found = []
+        if found:
+            yield _joined(found)
 
     return map_batches(texts.select("d", "t", "u", "mark", "text"), run, schema)
 
 
+def _joined(parts: list[dict]) -> dict:
+    """The columns of all parts, one after another."""
+    together = {name: [part[name] for part in parts] for name in parts[0]}
+    return {
+        name: np.concatenate(columns) if isinstance(columns[0], np.ndarray) else list(chain(*columns))
+        for name, columns in together.items()
+    }
+
+
 def _tops(batch: pa.RecordBatch, found: Anchors) -> dict:
     tops, counts = np.unique((found.hash >> np.uint64(32)).astype(np.uint32), return_counts=True)
     return {"top": tops.view(np.int32), "n": counts}

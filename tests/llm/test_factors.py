@@ -122,3 +122,18 @@ def test_smaller_before(chance):
         x = [chance.randint(0, 9) for _ in range(40)]
         wanted = [max((j for j in range(i) if x[j] < x[i]), default=-1) for i in range(40)]
         assert factors.smaller_before(np.array(x)).tolist() == wanted
+
+
+def test_hashes_of_a_piece_fit_a_cache_and_rows_of_pieces_go_on_together():
+    """A text is never cut into so many stretches that what surrounds them is most of the work."""
+    import pyarrow as pa
+
+    texts = pa.array(["x" * 3000] * 300 + ["y" * 2_000_000])
+    for length in (100, 40_000):
+        found = list(factors.pieces(texts, length))
+        assert sum(p.hi - p.lo for p in found) == 2_900_000
+        assert sum(len(p.data) for p in found) < 1.3 * 2_900_000
+        assert length > 100 or max(8 * len(p.data) for p in found) <= 1 << 20
+    parts = [{"a": np.arange(n), "b": [b"x"] * n} for n in (2, 0, 3)]
+    joined = factors._joined(parts)
+    assert joined["a"].tolist() == [0, 1, 0, 1, 2] and joined["b"] == [b"x"] * 5
