@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -63,6 +64,7 @@ def map_batches(
             yield pa.RecordBatch.from_arrays(
                 [a if a.type == types[n] else a.cast(types[n]) for n, a in zip(names, arrays)], names
             )
+        give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -74,10 +76,22 @@ def filter_rows(df: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray]) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(keep(batch), pa.bool_()))
+        give_back()
 
     return df.mapInArrow(run, df.schema)
 
 
+def give_back() -> None:
+    """Hands freed memory to the system at the end of a task: a worker waits for its next one beside
+    others and the executor's heap, and would keep what its largest task took."""
+    pa.default_memory_pool().release_unused()
+    try:
+        trim = ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):
+        return  # another C library
+    trim(0)
+
+
 # A batch of long texts and what is made of it must fit a worker several times over.
 ROWS_PER_BATCH = 2000
 

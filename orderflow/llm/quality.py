@@ -27,6 +27,9 @@ DIMENSIONS = 8
 EPOCHS = 4
 MAX_TRAIN = 6000
 MAX_PACKED = 64 << 20
+# Text whose features a worker makes at once: they take a hundred times its bytes, and what a worker
+# has once taken it seldom gives back.
+BLOCK_BYTES = 256 << 10
 RATE = 0.5
 # Vectors get the gradient of the average times this, or rare features would hardly move.
 VECTOR_GAIN = 300.0
@@ -146,7 +149,7 @@ def counted(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            for at, upto, words in word_blocks(batch["text"]):
+            for at, upto, words in word_blocks(batch["text"], limit=BLOCK_BYTES):
                 found = list(features(words))
                 key = np.concatenate([t * np.int64(BUCKETS) + b for b, t in found])
                 key, counts = np.unique(key, return_counts=True)
@@ -203,7 +206,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            for at, upto, words in word_blocks(batch["text"]):
+            for at, upto, words in word_blocks(batch["text"], limit=BLOCK_BYTES):
                 yield {"doc_id": batch["doc_id"][at:upto], "score": held.value.scores(words)}
 
     return map_batches(texts_of(docs, id_col, text_col), run, "doc_id long, score double")
@@ -217,7 +220,7 @@ def keep(
 
     def good(batch: pa.RecordBatch) -> np.ndarray:
         column = batch[text_col].cast(pa.string()).fill_null("")
-        parts = [held.value.scores(words) for _, _, words in word_blocks(column)]
+        parts = [held.value.scores(words) for _, _, words in word_blocks(column, limit=BLOCK_BYTES)]
         return np.concatenate([np.zeros(0), *parts]) >= least
 
     return filter_rows(docs, good)

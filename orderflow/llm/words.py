@@ -174,10 +174,10 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = BLOCK_BYTES
 
 
 def word_blocks(
-    column: pa.Array, lower: bool = False, separators: bytes = SPACES, unspaced: bool = False
+    column: pa.Array, lower: bool = False, separators: bytes = SPACES, unspaced: bool = False, limit: int = BLOCK_BYTES
 ) -> Iterator[tuple[int, int, Words]]:
     data, offsets = column_bytes(column)
-    for at, upto in blocks(offsets):
+    for at, upto in blocks(offsets, limit):
         yield at, upto, split_words(data, offsets[at : upto + 1], lower, separators, unspaced)
 
 

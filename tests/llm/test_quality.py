@@ -1,11 +1,15 @@
 import math
+import re
+import tracemalloc
 from collections import Counter
+from pathlib import Path
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 
 from orderflow.llm import quality
+from orderflow.llm.common import map_batches
 from orderflow.llm.queries import op10_quality
 from orderflow.llm.words import word_blocks
 from tests.llm.conftest import ODD
@@ -133,3 +137,53 @@ def test_packed_features_are_the_same_again(chance):
         counts = np.array([chance.choice([1, 300, 10**6]) for _ in range(n)], np.int64)
         again = quality.unpacked(quality.packed(buckets, counts))
         assert again[0].tolist() == buckets.tolist() and again[1].tolist() == counts.tolist()
+
+
+class InThisProcess:
+    """A frame whose mapInArrow gives the function that a worker would run."""
+
+    def __init__(self, spark):
+        self.sparkSession = spark
+
+    def mapInArrow(self, function, schema):
+        return function
+
+
+def test_features_of_a_large_batch_take_little_memory(spark, chance):
+    words = ["".join(chance.choices("abcdefgh", k=5)) for _ in range(5000)]
+    texts = [" ".join(chance.choices(words, k=300)) for _ in range(2000)]
+    n = len(texts)
+    batch = pa.record_batch({"place": pa.array(range(n), pa.int32()), "label": pa.array([1] * n, pa.int32()), "text": texts})
+    model = quality.Model(np.random.default_rng(3).normal(0, 1, quality.BUCKETS).astype(np.float32), 0.1)
+    whole = np.concatenate([model.scores(part) for _, _, part in word_blocks(batch["text"])])
+    functions = (
+        quality.counted(InThisProcess(spark)),
+        quality.keep(type("Texts", (InThisProcess,), {"schema": None})(spark), model, float(np.median(whole))),
+    )
+    found = []
+    for function in functions:
+        tracemalloc.start()
+        found.append(pa.Table.from_batches(function(iter([batch]))))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 60 << 20
+    assert found[0]["place"].to_pylist() == list(range(n))
+    assert found[1]["place"].to_pylist() == np.flatnonzero(whole >= np.median(whole)).tolist()
+
+
+def test_a_worker_gives_memory_back_after_a_task(spark):
+    held = []
+
+    def untidy(batches):
+        pieces = [np.ones(12_500) for _ in range(6000)]
+        held.extend(pieces[::100])
+        del pieces
+        yield {"x": [1]}
+
+    def taken():
+        return int(re.search(r"RssAnon:\s+(\d+)", Path("/proc/self/status").read_text())[1]) >> 10
+
+    run = map_batches(InThisProcess(spark), untidy, "x long")
+    before = taken()
+    assert len(list(run(iter([])))) == 1
+    assert taken() - before < 100
